@@ -95,11 +95,17 @@ def drop_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df.drop(*columns)
 
 
-def conform(df: DataFrame, schema: T.StructType, extra: str | None = "_extra") -> DataFrame:
+def conform(
+    df: DataFrame,
+    schema: T.StructType,
+    keep: tuple[str, ...] = (),
+    extra: str | None = "_extra",
+) -> DataFrame:
     """Project to the declared columns with `try_cast`; absent ones are null.
 
     Adds `_violations`, the names of columns whose value would not cast or that are
-    required and null. Undeclared columns go to the `extra` map as text.
+    required and null. Undeclared columns go to the `extra` map as text, but for the
+    `keep` columns, which pass unchanged.
     """
     present = set(df.columns)
     cast, broken = [], []
@@ -114,12 +120,12 @@ def conform(df: DataFrame, schema: T.StructType, extra: str | None = "_extra") -
             bad = value.isNull()
         cast.append(value.alias(field.name))
         broken.append(F.when(bad, F.lit(field.name)))
-    columns = [*cast, F.array_compact(F.array(*broken)).alias("_violations")]
+    columns = [*keep, *cast, F.array_compact(F.array(*broken)).alias("_violations")]
     if extra:
         entries = [
             part
             for name in df.columns
-            if name not in schema.names
+            if name not in (*schema.names, *keep)
             for part in (F.lit(name), F.col(f"`{name}`").cast("string"))
         ]
         leftovers = F.create_map(*entries) if entries else F.lit(None)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pacegrid.functions.columns import path_activity, path_athlete, path_channel
 from pacegrid.model import CHANNELS, DOCUMENT_KEY
+from pacegrid.operators.bounds import broadcast_if_small
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 PACKED_SCHEMA = "athlete_id string, activity_id string, document string, channel string, landed string"
@@ -27,7 +28,7 @@ class UnknownChannel(ValueError):
     pass
 
 
-def _with_identity(files: DataFrame) -> DataFrame:
+def with_identity(files: DataFrame) -> DataFrame:
     path = F.col("path")
     return files.select(
         path_athlete(path).alias("athlete_id"),
@@ -61,7 +62,7 @@ def list_files(spark: SparkSession, root: str, channels: list[str] | None = None
     A channel list narrows the listing itself. Channels without a directory are absent.
     """
     try:
-        return _with_identity(_binary_files(spark, _tree(root, channels)).select("path"))
+        return with_identity(_binary_files(spark, _tree(root, channels)).select("path"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -75,7 +76,7 @@ def read_files(files: DataFrame, root: str, channels: list[str] | None = None) -
     if not paths:
         return spark.createDataFrame([], DOCUMENT_SCHEMA)
     few = len(paths) <= MAX_EXPLICIT_PATHS
-    contents = _with_identity(
+    contents = with_identity(
         _binary_files(spark, paths if few else _tree(root, channels)).select("path", "content")
     ).select(*DOCUMENT_KEY, "file_path", F.col("content").cast("string").alias("value"))
     if few:
@@ -91,19 +92,34 @@ def scan_files(spark: SparkSession, root: str, channels: list[str] | None = None
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], DOCUMENT_SCHEMA)
-    return _with_identity(files.select("path", F.col("content").cast("string").alias("value")))
+    return with_identity(files.select("path", F.col("content").cast("string").alias("value")))
 
 
 def scan_packed(spark: SparkSession, root: str, channels: list[str] | None = None) -> DataFrame:
-    """Every packed document; a document landed again replaces the earlier one.
+    """Every packed document with its landing time. The channel list prunes directories.
 
-    The channel list becomes a partition filter.
+    A document may have been landed more than once; see `latest_documents`.
     """
     lines = spark.read.schema(PACKED_SCHEMA).json(root)
     if channels:
         lines = lines.filter(F.col("channel").isin(list(channels)))
-    latest = lines.groupBy(*DOCUMENT_KEY).agg(F.max_by("document", "landed").alias("value"))
-    return latest.select(*DOCUMENT_KEY, F.lit(None).cast("string").alias("file_path"), "value")
+    return lines.select(*DOCUMENT_KEY, F.col("document").alias("value"), "landed")
+
+
+def latest_documents(staged: DataFrame) -> DataFrame:
+    """Of documents landed more than once, only the last.
+
+    Counts narrow keys first, so document contents move only if repeats are many.
+    Needs a stored frame: `doc_no` breaks ties and must not change between reads.
+    """
+    last = F.max(F.struct("landed", "doc_no"))["doc_no"]
+    seen = staged.groupBy(*DOCUMENT_KEY).agg(F.count(F.lit(1)).alias("_times"), last.alias("_last"))
+    repeated = seen.filter(F.col("_times") > 1).select(*DOCUMENT_KEY, "_last")
+    if repeated.isEmpty():
+        return staged
+    marked = staged.join(broadcast_if_small(repeated), list(DOCUMENT_KEY), "left")
+    kept = marked.filter(F.col("_last").isNull() | (F.col("_last") == F.col("doc_no")))
+    return kept.select(*staged.columns)
 
 
 def discover_channels(files: DataFrame) -> DataFrame:
