@@ -98,7 +98,9 @@ def silver_projection(aligned: DataFrame, at: datetime | None = None) -> DataFra
     """The declared silver columns in order, stamped."""
     stamped = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
     frame = aligned.withColumn("metadata_insert_timestamp", stamped)
-    return frame.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER_SCHEMA])
+    return frame.selectExpr(
+        *[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in SILVER_SCHEMA]
+    )
 
 
 def athlete_slice(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,20 +19,24 @@ def decode_document(df: DataFrame, column: str = "value") -> DataFrame:
     return df.withColumn(column, decoded(F.col(column)))
 
 
+def _quoted(*parts: str) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
+
+
 def flatten(df: DataFrame) -> DataFrame:
     """Nested structs to leaf columns with dotted names; arrays stay as values."""
 
-    def leaves(fields: T.StructType, at: tuple[str, ...]) -> list[Column]:
-        found: list[Column] = []
+    def leaves(fields: T.StructType, at: tuple[str, ...]) -> list[str]:
+        found: list[str] = []
         for field in fields:
             here = (*at, field.name)
             if isinstance(field.dataType, T.StructType):
                 found += leaves(field.dataType, here)
             else:
-                found.append(F.col(".".join(f"`{p}`" for p in here)).alias(".".join(here)))
+                found.append(f"{_quoted(*here)} AS {_quoted('.'.join(here))}")
         return found
 
-    return df.select(*leaves(df.schema, ()))
+    return df.selectExpr(*leaves(df.schema, ()))
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:
@@ -107,30 +111,20 @@ def conform(
     required and null. Undeclared columns go to the `extra` map as text, but for the
     `keep` columns, which pass unchanged.
     """
-    present = set(df.columns)
     cast, broken = [], []
     for field in schema:
-        if field.name in present:
-            raw = F.col(f"`{field.name}`")
-            value = raw.try_cast(field.dataType)
-            bad = raw.isNotNull() & value.isNull()
-        else:
-            value, bad = F.lit(None).cast(field.dataType), F.lit(False)
-        if not field.nullable:
-            bad = value.isNull()
-        cast.append(value.alias(field.name))
-        broken.append(F.when(bad, F.lit(field.name)))
-    columns = [*keep, *cast, F.array_compact(F.array(*broken)).alias("_violations")]
+        name = _quoted(field.name)
+        raw = name if field.name in df.columns else "NULL"
+        value = f"try_cast({raw} AS {field.dataType.simpleString()})"
+        fault = f"{value} IS NULL" + (f" AND {raw} IS NOT NULL" if field.nullable else "")
+        cast.append(f"{value} AS {name}")
+        broken.append(f"CASE WHEN {fault} THEN '{field.name}' END")
+    columns = [*map(_quoted, keep), *cast, f"array_compact(array({', '.join(broken)})) AS _violations"]
     if extra:
-        entries = [
-            part
-            for name in df.columns
-            if name not in (*schema.names, *keep)
-            for part in (F.lit(name), F.col(f"`{name}`").cast("string"))
-        ]
-        leftovers = F.create_map(*entries) if entries else F.lit(None)
-        columns.append(leftovers.cast("map<string,string>").alias(extra))
-    return df.select(*columns)
+        others = [c for c in df.columns if c not in (*schema.names, *keep)]
+        entries = ", ".join(f"'{c}', CAST({_quoted(c)} AS STRING)" for c in others)
+        columns.append(f"CAST({f'map({entries})' if others else 'NULL'} AS MAP<STRING, STRING>) AS {extra}")
+    return df.selectExpr(*columns)
 
 
 def stamp(df: DataFrame, at: datetime, column: str = "metadata_insert_timestamp") -> DataFrame:

@@ -90,15 +90,14 @@ def stage_documents(documents: DataFrame) -> DataFrame:
     a channel that holds much of the data is split again by the rebalance.
     """
     path = scratch_path(documents.sparkSession, "bronze")
+    parsed = parse_documents(documents)
     (
-        parse_documents(documents)
-        .hint("rebalance", "channel")
+        parsed.hint("rebalance", "channel")
         .sortWithinPartitions("channel", "athlete_id", "activity_id")
         .write.partitionBy("channel")
         .parquet(path)
     )
-    schema = parse_documents(documents).schema
-    return documents.sparkSession.read.schema(schema).parquet(path)
+    return documents.sparkSession.read.schema(parsed.schema).parquet(path)
 
 
 def sample_rows(staged: DataFrame, at: datetime, transforms: dict | None = None) -> DataFrame:

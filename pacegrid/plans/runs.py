@@ -15,8 +15,8 @@ from pacegrid.plans.silver import silver_refresh
 from pacegrid.sinks.landing import land_raw
 from pacegrid.sources.tables import Tables, connection_scan
 
-# Fixed value: the body of a channel the source did not deliver.
-EMPTY_BODY = '{"original_size":null,"resolution":null,"series_type":null,"data":null}'
+# The body of a channel the source did not deliver.
+EMPTY_BODY = '{"data":null,"original_size":null,"series_type":null}'
 
 
 def land_new(tables: Tables, activities: DataFrame, bodies: DataFrame, root: str, at: datetime) -> None:

@@ -8,7 +8,7 @@ JSON line each with the identity inside, in directories `channel=C/landed=T/`.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pacegrid.functions.columns import path_activity, path_athlete, path_channel
@@ -179,14 +179,18 @@ def sample_files(
     return first(first(files.withColumn("_slice", slices), "_slice").drop("_slice"))
 
 
-def rejected_paths(files: DataFrame) -> DataFrame:
-    """Files whose path does not carry athlete, channel and activity."""
-    reason = (
+def path_fault() -> Column:
+    """What a path lacks of athlete, channel and activity; null when complete."""
+    return (
         F.when(F.col("athlete_id").isNull(), F.lit("no_athlete_in_path"))
         .when(F.col("activity_id").isNull(), F.lit("no_activity_in_path"))
         .when(F.col("channel").isNull(), F.lit("no_channel_in_path"))
     )
-    return files.select("file_path", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def rejected_paths(files: DataFrame) -> DataFrame:
+    """Files whose path does not carry a complete identity, with the reason."""
+    return files.select("file_path", path_fault().alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def named_files(files: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from pacegrid.functions.schemas import ACTIVITY_SCHEMA, ATHLETE_SCHEMA, LEDGER_SCHEMA, SILVER_SCHEMA
 from pacegrid.functions.schemas import schema_for_channel
-from pacegrid.model import PAIR_CHANNEL, SAMPLE_CHANNELS, source_name
+from pacegrid.model import SAMPLE_CHANNELS, source_name
 
 EXTRA = T.StructField("_extra", T.MapType(T.StringType(), T.StringType()))
 BATCH = T.StructField("batch", T.StringType())
@@ -124,6 +124,3 @@ def connection_scan(users: DataFrame, connections: DataFrame, source: str) -> Da
     found = wanted.withColumn("_found", F.lit(True))
     joined = users.join(found, "uid", "left")
     return joined.withColumn("has_connection", F.col("_found").isNotNull()).drop("_found")
-
-
-assert PAIR_CHANNEL in SAMPLE_CHANNELS
