@@ -100,6 +100,14 @@ def stage_documents(documents: DataFrame) -> DataFrame:
     return documents.sparkSession.read.schema(parsed.schema).parquet(path)
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    # A filter on `_violations` would otherwise sink below the parse and repeat it for
+    # every column; the rows are also read twice, for bronze and for the ledger.
+    path = scratch_path(rows.sparkSession, "objects")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def sample_rows(staged: DataFrame, at: datetime, transforms: dict | None = None) -> DataFrame:
     """Bronze sample rows of the loadable documents, all channels in one long frame.
 
@@ -185,7 +193,7 @@ def load_documents(
     if "landed" in documents.columns:
         staged = landing.latest_documents(staged)
     append_bronze(sample_rows(staged, at, transforms), tables, "samples", at)
-    objects = {c: object_rows(staged, c, at, transforms) for c in DOCUMENT_CHANNELS}
+    objects = {c: _stored(object_rows(staged, c, at, transforms)) for c in DOCUMENT_CHANNELS}
     for channel, rows in objects.items():
         good = rows.filter(F.size("_violations") == 0)
         append_bronze(good.drop("_violations", "_athlete", "_activity"), tables, channel, at)
