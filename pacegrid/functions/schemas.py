@@ -271,7 +271,7 @@ def _raw_activity() -> T.StructType:
     for name, parts in nested.items():
         raw.add(name, T.StructType([T.StructField(part, kind) for part, kind in parts]))
     for end in ("start", "end"):
-        raw.add(f"{end}_latlng", T.ArrayType(T.DoubleType()))
+        raw.add(f"{end}_latlng", T.ArrayType(T.StringType()))
     return raw
 
 

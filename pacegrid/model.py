@@ -19,6 +19,7 @@ SAMPLE_CHANNELS = (
 )
 CHANNELS = DOCUMENT_CHANNELS + SAMPLE_CHANNELS
 PAIR_CHANNEL = "latlng"
+FLAG_CHANNEL = "moving"
 
 # Ledger states and supported sources.
 SUCCESS = "SUCCESS"

@@ -107,19 +107,23 @@ def conform(
 ) -> DataFrame:
     """Project to the declared columns with `try_cast`; absent ones are null.
 
-    Adds `_violations`, the names of columns whose value would not cast or that are
-    required and null. Undeclared columns go to the `extra` map as text, but for the
-    `keep` columns, which pass unchanged.
+    Adds `_violations`, the comma-joined names of columns whose value would not cast or
+    that are required and null, null when there are none. Undeclared columns go to the
+    `extra` map as text, but for the `keep` columns, which pass unchanged.
     """
+    given = {f.name: f.dataType for f in df.schema}
     cast, broken = [], []
     for field in schema:
         name = _quoted(field.name)
-        raw = name if field.name in df.columns else "NULL"
+        raw = name if field.name in given else "NULL"
         value = f"try_cast({raw} AS {field.dataType.simpleString()})"
-        fault = f"{value} IS NULL" + (f" AND {raw} IS NOT NULL" if field.nullable else "")
         cast.append(f"{value} AS {name}")
-        broken.append(f"CASE WHEN {fault} THEN '{field.name}' END")
-    columns = [*map(_quoted, keep), *cast, f"array_compact(array({', '.join(broken)})) AS _violations"]
+        if not field.nullable:
+            broken.append(f"IF({value} IS NULL, '{field.name}', NULL)")
+        elif given.get(field.name, field.dataType) != field.dataType and field.dataType != T.StringType():
+            broken.append(f"IF({raw} IS NOT NULL AND {value} IS NULL, '{field.name}', NULL)")
+    faults = f"nullif(concat_ws(',', {', '.join(broken)}), '')" if broken else "CAST(NULL AS STRING)"
+    columns = [*map(_quoted, keep), *cast, f"{faults} AS _violations"]
     if extra:
         others = [c for c in df.columns if c not in (*schema.names, *keep)]
         entries = ", ".join(f"'{c}', CAST({_quoted(c)} AS STRING)" for c in others)

@@ -191,9 +191,9 @@ SELECT CAST(o_orderkey AS VARCHAR) AS activity_id,
   TRY_CAST(substr(o_orderpriority, 1, CAST(1 + o_orderkey % 2 AS INTEGER)) AS BIGINT) AS kudos_count,
   CAST(NULL AS DOUBLE) AS distance,
   CASE WHEN o_orderstatus <> 'P' THEN 'S' || o_orderstatus END AS series_type,
-  concat_ws(',', CASE WHEN o_orderstatus <> 'F' THEN 'commute' END,
+  nullif(concat_ws(',', CASE WHEN o_orderstatus <> 'F' THEN 'commute' END,
     CASE WHEN o_orderkey % 2 = 1 THEN 'kudos_count' END,
-    CASE WHEN o_orderstatus = 'P' THEN 'series_type' END) AS violations,
+    CASE WHEN o_orderstatus = 'P' THEN 'series_type' END), '') AS violations,
   o_orderpriority AS device_name
 FROM orders
 """
@@ -221,7 +221,7 @@ def conform_columns(spark: SparkSession, sf: str) -> DataFrame:
     done = reshape.conform(raw, schema)
     return done.select(
         *schema.names,
-        F.array_join("_violations", ",").alias("violations"),
+        F.col("_violations").alias("violations"),
         F.col("_extra")["device_name"].alias("device_name"),
     )
 
