@@ -103,13 +103,18 @@ def silver_projection(aligned: DataFrame, at: datetime | None = None) -> DataFra
     )
 
 
+def in_scope(frame: DataFrame, scope: DataFrame | None) -> DataFrame:
+    """Rows whose athlete, or athlete and activity, is in `scope`; None keeps all."""
+    if scope is None:
+        return frame
+    wanted = scope.distinct()
+    return frame.join(broadcast_if_small(wanted), scope.columns, "left_semi")
+
+
 def athlete_slice(
     frame: DataFrame, athletes: DataFrame | None = None, activity_id: str | None = None
 ) -> DataFrame:
     """Rows of a set of athletes, and of one activity when given."""
     if activity_id is not None:
         frame = frame.filter(F.col("activity_id") == activity_id)
-    if athletes is None:
-        return frame
-    wanted = athletes.select("athlete_id").distinct()
-    return frame.join(broadcast_if_small(wanted), "athlete_id", "left_semi")
+    return in_scope(frame, None if athletes is None else athletes.select("athlete_id"))

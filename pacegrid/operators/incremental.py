@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.model import DOCUMENT_KEY, SUCCESS
+from pacegrid.operators.bounds import broadcast_if_small
 
 
 def succeeded(ledger: DataFrame, source: str) -> DataFrame:
@@ -20,9 +21,16 @@ def processed_ids(ledger: DataFrame, source: str) -> DataFrame:
     return succeeded(ledger, source).distinct()
 
 
-def skip_processed(files: DataFrame, ledger: DataFrame, source: str) -> DataFrame:
-    """Documents without a SUCCESS row. Run it on paths, before contents are read."""
-    return files.join(succeeded(ledger, source), list(DOCUMENT_KEY), "left_anti")
+def skip_processed(files: DataFrame, ledger: DataFrame, source: str, few: bool = False) -> DataFrame:
+    """Documents without a SUCCESS row. Run it on paths, before contents are read.
+
+    `few` says that the files are few beside the ledger, as in a stream's batch: the ledger
+    is then cut to their keys by a broadcast, if they are few indeed, and not shuffled.
+    """
+    key, known = list(DOCUMENT_KEY), succeeded(ledger, source)
+    if few:
+        known = known.join(broadcast_if_small(files.select(*key)), key, "left_semi")
+    return files.join(known, key, "left_anti")
 
 
 def high_water_mark(activity: DataFrame) -> DataFrame:

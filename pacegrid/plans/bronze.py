@@ -237,10 +237,13 @@ def fresh_documents(
     if layout not in ("files", "packed"):
         raise ValueError(f"Unknown layout: {layout}")
     as_files = layout == "files"
-    found = landing.list_files(tables.spark, root) if as_files else landing.scan_packed(tables.spark, root)
-    landing.assert_known_channels(found)
     if as_files:
-        found = landing.named_files(found)
+        listed = landing.list_files(tables.spark, root)
+        landing.assert_known_channels(listed)
+        found = landing.named_files(listed)
+    else:
+        landing.assert_known_channels(landing.packed_files(tables.spark, root))
+        found = landing.scan_packed(tables.spark, root)
     found = athlete_slice(landing.select_channels(found, channels), athletes)
     if sample is not None:
         found = landing.sample_files(found, sample, order="file_path" if as_files else "activity_id")

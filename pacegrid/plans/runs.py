@@ -12,6 +12,7 @@ from pacegrid.operators.incremental import densify_channels, high_water_mark, ne
 from pacegrid.operators.quality import batch_status, check_connections, drop_keyless_users
 from pacegrid.plans.bronze import bronze_load, utc_now
 from pacegrid.plans.silver import silver_refresh
+from pacegrid.session import scratch_path
 from pacegrid.sinks.landing import land_raw
 from pacegrid.sources.tables import Tables, connection_scan
 
@@ -32,6 +33,13 @@ def land_new(tables: Tables, activities: DataFrame, bodies: DataFrame, root: str
     land_raw(every.unionByName(new.select(*keys.columns, F.lit("activity").alias("channel"), "document")), root, at)
 
 
+def _kept(frame: DataFrame) -> DataFrame:
+    # Read several times in a run; must not change in between.
+    path = scratch_path(frame.sparkSession, "users")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def full_run(
     tables: Tables,
     root: str,
@@ -41,17 +49,17 @@ def full_run(
     at: datetime | None = None,
     **options,
 ) -> DataFrame:
-    """Land (when given), load bronze, rebuild silver for the athletes of the batch.
+    """Land (when given), load bronze, rebuild silver for the activities of the batch.
 
-    Stops at the first error. Returns the ledger rows of the batch.
+    Only activities with a document in this batch can differ in silver, so only they are
+    rebuilt. Stops at the first error. Returns the ledger rows of the batch.
     """
     at = at or utc_now()
     if activities is not None and bodies is not None:
         land_new(tables, activities, bodies, root, at)
         options.setdefault("layout", "packed")
     entries = bronze_load(tables, root, at, athletes=athletes, **options)
-    loaded = entries.filter(F.col("status") == SUCCESS).select("athlete_id").distinct()
-    silver_refresh(tables, loaded if athletes is None else athletes, at=at)
+    silver_refresh(tables, activities=entries.filter(F.col("status") == SUCCESS), at=at)
     return entries
 
 
@@ -69,7 +77,7 @@ def run_all(
     """
     scanned = connection_scan(drop_keyless_users(users), connections, tables.source)
     valid, rejected = check_connections(scanned)
-    linked = valid.select("uid", F.col("athlete.id").cast("string").alias("athlete_id"))
+    linked = _kept(valid.select("uid", F.col("athlete.id").cast("string").alias("athlete_id")))
     entries = full_run(tables, root, athletes=linked, at=at, **options)
     states = linked.join(batch_status(entries), "athlete_id", "left").select(
         "uid",

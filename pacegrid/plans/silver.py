@@ -4,44 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.functions.schemas import SILVER_SCHEMA
-from pacegrid.operators.alignment import add_activity, align_channels, athlete_slice, silver_projection
+from pacegrid.operators.alignment import add_activity, align_channels, in_scope, silver_projection
 from pacegrid.operators.bounds import broadcast_if_small
 from pacegrid.operators.quality import check_required
 from pacegrid.operators.sql import sql_directory, sql_transform
 from pacegrid.plans.bronze import utc_now
+from pacegrid.session import scratch_path
 from pacegrid.sinks.tables import replace_by_key, stage_bucketed
 from pacegrid.sources.tables import Tables
 
-Build = Callable[[Tables, "DataFrame | None", "str | None", datetime], DataFrame]
+Build = Callable[[Tables, "DataFrame | None", datetime], DataFrame]
 
 
-def aggregate_stream(
-    tables: Tables, athletes: DataFrame | None, activity_id: str | None, at: datetime, how: str = "agg"
-) -> DataFrame:
-    """The wide per-sample rows of a set of athletes."""
-    samples = athlete_slice(tables.samples(), athletes, activity_id)
-    activity = athlete_slice(tables.bronze("activity"), athletes, activity_id)
+def aggregate_stream(tables: Tables, scope: DataFrame | None, at: datetime, how: str = "agg") -> DataFrame:
+    """The wide per-sample rows of a scope."""
+    samples = in_scope(tables.samples(scope), scope)
+    activity = in_scope(tables.bronze("activity", scope), scope)
     return silver_projection(add_activity(align_channels(samples, how), activity), at)
 
 
 def from_sql(text: str) -> Build:
     """A silver table from a SELECT over the registered bronze views.
 
-    Parameters of the text: `:schema` (prefix of the views), `:activity_id` (null for all)
-    and `:at`. The view `athletes` holds the athletes of the run.
+    Parameters of the text: `:schema` (prefix of the views) and `:at`. The view `scope`
+    holds the athletes, or athletes and activities, to rebuild.
     """
 
-    def build(tables: Tables, athletes: DataFrame | None, activity_id: str | None, at: datetime) -> DataFrame:
-        tables.register()
-        wanted = tables.samples().select("athlete_id") if athletes is None else athletes.select("athlete_id")
-        wanted.distinct().createOrReplaceTempView("athletes")
-        args = {"schema": f"{tables.bronze_schema}__", "activity_id": activity_id, "at": at}
-        return sql_transform(tables.spark, text, args)
+    def build(tables: Tables, scope: DataFrame | None, at: datetime) -> DataFrame:
+        tables.register(scope)
+        wanted = tables.samples().select("athlete_id").distinct() if scope is None else scope
+        wanted.createOrReplaceTempView("scope")
+        return sql_transform(tables.spark, text, {"schema": f"{tables.bronze_schema}__", "at": at})
 
     return build
 
@@ -51,45 +50,55 @@ def builds_of(folder: str) -> dict[str, Build]:
     return {table: from_sql(text) for table, text in sql_directory(folder).items()}
 
 
+def refresh_scope(
+    athletes: DataFrame | None = None,
+    activity_id: str | None = None,
+    activities: DataFrame | None = None,
+) -> DataFrame | None:
+    """What to rebuild, as a stored frame of distinct keys; None is everything."""
+    if activities is not None:
+        keys = activities.select("athlete_id", "activity_id")
+    elif athletes is not None:
+        keys = athletes.select("athlete_id")
+        if activity_id is not None:
+            keys = keys.withColumn("activity_id", F.lit(activity_id))
+    elif activity_id is not None:
+        raise ValueError("an activity needs its athlete")
+    else:
+        return None
+    path = scratch_path(keys.sparkSession, "scope")
+    keys.distinct().write.parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)
+
+
 def silver_refresh(
     tables: Tables,
     athletes: DataFrame | None = None,
     activity_id: str | None = None,
+    activities: DataFrame | None = None,
     at: datetime | None = None,
     builds: dict[str, Build] | None = None,
 ) -> DataFrame:
-    """Rebuild silver rows for a set of athletes, or for one activity of theirs.
+    """Rebuild silver rows of athletes, of one activity of theirs, or of given activities.
 
-    What is replaced is exactly what is rebuilt: athletes without samples end up without
-    rows. An athlete with a null in a required column keeps the rows stored before and is
-    counted as failed. Returns rows deleted and inserted and athletes failed per table.
+    What is replaced is exactly what is rebuilt: keys without samples end up without rows.
+    A key with a null in a required column keeps the rows stored before and is counted as
+    failed. Returns rows deleted and inserted and keys failed per table.
     """
     at = at or utc_now()
     builds = builds or {"aggregate_stream": aggregate_stream}
+    scope = refresh_scope(athletes, activity_id, activities)
+    on = ("athlete_id",) if scope is None else tuple(scope.columns)
     reports = []
     for table, build in builds.items():
-        rows = stage_bucketed(build(tables, athletes, activity_id, at), tables.buckets)
-        scope = athletes
-        if scope is None:
-            stored = tables.silver(table, rows.drop("athlete_bucket").schema)
-            scope = stored.select("athlete_id").unionByName(rows.select("athlete_id"))
-        keys = scope.select("athlete_id").distinct()
-        failed, checked = 0, False
+        rows, keys, failed = stage_bucketed(build(tables, scope, at), tables.buckets), scope, 0
         if table == "aggregate_stream":
-            broken = check_required(rows, SILVER_SCHEMA, ["athlete_id"]).select("athlete_id").distinct()
+            broken = check_required(rows, SILVER_SCHEMA, list(on)).select(*on).distinct()
             failed = broken.count()
-            checked = failed > 0
-        if checked:
-            small = broadcast_if_small(broken)
-            rows = rows.join(small, "athlete_id", "left_anti")
-            keys = keys.join(small, "athlete_id", "left_anti")
-        on: tuple[str, ...] = ("athlete_id",)
-        if activity_id is not None:
-            on = ("athlete_id", "activity_id")
-            keys = keys.withColumn("activity_id", F.lit(activity_id))
+            if failed:
+                keys = rows.select(*on).distinct() if scope is None else scope
+                small = broadcast_if_small(broken)
+                rows, keys = (f.join(small, list(on), "left_anti") for f in (rows, keys))
         done = replace_by_key(tables.silver_path(table), rows, keys, tables.buckets, on, staged=True)
         reports.append(done.select(F.lit(table).alias("table"), "*", F.lit(failed).cast("long").alias("failed")))
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+    return reduce(DataFrame.unionByName, reports)

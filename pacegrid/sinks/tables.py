@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from pacegrid.functions.schemas import LEDGER_SCHEMA
 from pacegrid.operators.bounds import broadcast_if_small
 from pacegrid.session import scratch_path
 from pacegrid.sinks.landing import batch_name
-from pacegrid.sources.tables import Tables
+from pacegrid.sources.tables import Tables, read_or_empty
 
 BUCKET = "athlete_bucket"
 
@@ -71,45 +70,58 @@ def stage_bucketed(rows: DataFrame, buckets: int, anchor: str = "athlete_id") ->
 def replace_by_key(
     path: str,
     new_rows: DataFrame,
-    keys: DataFrame,
+    keys: DataFrame | None,
     buckets: int,
     on: tuple[str, ...] = ("athlete_id",),
     staged: bool = False,
 ) -> DataFrame:
     """Replace the rows of `keys` in a bucketed parquet table by `new_rows`.
 
-    `keys` names what is replaced, `on` its columns, the first of which picks the bucket.
-    A key without new rows ends up deleted. Only the buckets touched are read and
-    rewritten. Their next contents are stored in the shared folder before the table is
-    changed, so a lost executor or a failed write costs a retry, not rows. `staged` says
+    `keys` names what is replaced (None: everything), `on` its columns, the first of which
+    picks the bucket. A key without new rows ends up deleted. Key columns of the buckets
+    concerned are read to find which of them hold rows to delete: those alone are rewritten,
+    in the others the new rows are appended, so adding new keys costs no rewrite.
+
+    The next contents of rewritten buckets are stored in the shared folder before the table
+    is changed. Running it again after a failure gives the same table. `staged` says that
     `new_rows` already come from `stage_bucketed`. Returns rows deleted and inserted.
     """
     spark = new_rows.sparkSession
     fresh = new_rows if staged else stage_bucketed(new_rows, buckets, on[0])
+    stored = read_or_empty(spark, path, fresh.schema)
+    inserted = fresh.count()
+    if keys is None:
+        deleted = stored.count()
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
+        return spark.createDataFrame([(deleted, inserted)], "deleted long, inserted long")
+
     replaced = stage_bucketed(keys.select(*on).distinct(), buckets, on[0])
-    incoming = _buckets(fresh)
-    touched = sorted({*incoming, *_buckets(replaced)})
-
-    try:
-        stored = spark.read.schema(fresh.schema).parquet(path).filter(F.col(BUCKET).isin(touched))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = spark.createDataFrame([], fresh.schema)
     pairing = [*on, BUCKET]
-    kept = stage_bucketed(
-        stored.join(broadcast_if_small(replaced), pairing, "left_anti"), buckets, on[0]
-    )
-    before, left, inserted = (f.count() for f in (stored, kept, fresh))
-
-    (
-        kept.unionByName(fresh)
-        .hint("rebalance", BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
-    # A dynamic overwrite leaves partitions alone that receive no rows.
-    _drop_buckets(spark, path, sorted({*touched} - {*incoming, *_buckets(kept)}))
-    return spark.createDataFrame([(before - left, inserted)], "deleted long, inserted long")
+    wanted = broadcast_if_small(replaced)
+    concerned = stored.filter(F.col(BUCKET).isin(_buckets(replaced)))
+    hits = {
+        r[0]: r[1]
+        for r in concerned.select(*pairing)
+        .join(wanted, pairing, "left_semi")
+        .groupBy(BUCKET)
+        .agg(F.count(F.lit(1)))
+        .collect()
+    }
+    rewritten = F.col(BUCKET).isin(sorted(hits))
+    if hits:
+        kept = stage_bucketed(
+            concerned.filter(rewritten).join(wanted, pairing, "left_anti"), buckets, on[0]
+        )
+        following = kept.unionByName(fresh.filter(rewritten))
+        filled = _buckets(following)
+        (
+            following.hint("rebalance", BUCKET)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUCKET)
+            .parquet(path)
+        )
+        # A dynamic overwrite leaves partitions alone that receive no rows.
+        _drop_buckets(spark, path, sorted(hits.keys() - set(filled)))
+    fresh.filter(~rewritten).write.mode("append").partitionBy(BUCKET).parquet(path)
+    return spark.createDataFrame([(sum(hits.values()), inserted)], "deleted long, inserted long")

@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pacegrid.functions.columns import path_activity, path_athlete, path_channel
+from pacegrid.functions.columns import path_activity, path_athlete, path_channel, path_part
 from pacegrid.model import CHANNELS, DOCUMENT_KEY
 from pacegrid.operators.bounds import broadcast_if_small
 
@@ -106,18 +106,28 @@ def scan_packed(spark: SparkSession, root: str, channels: list[str] | None = Non
     return lines.select(*DOCUMENT_KEY, F.col("document").alias("value"), "landed")
 
 
+def packed_files(spark: SparkSession, root: str) -> DataFrame:
+    """Path and channel of the packed files, from the listing alone."""
+    listed = (
+        spark.read.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true").load(root)
+    )
+    return listed.select("path", path_part(F.col("path"), r"/channel=([^/]+)/").alias("channel"))
+
+
 def latest_documents(staged: DataFrame) -> DataFrame:
     """Of documents landed more than once, only the last.
 
     Counts narrow keys first, so document contents move only if repeats are many.
     Needs a stored frame: `doc_no` breaks ties and must not change between reads.
     """
-    last = F.max(F.struct("landed", "doc_no"))["doc_no"]
-    seen = staged.groupBy(*DOCUMENT_KEY).agg(F.count(F.lit(1)).alias("_times"), last.alias("_last"))
-    repeated = seen.filter(F.col("_times") > 1).select(*DOCUMENT_KEY, "_last")
+    key = list(DOCUMENT_KEY)
+    counted = staged.groupBy(*key).agg(F.count(F.lit(1)).alias("_times"))
+    repeated = counted.filter(F.col("_times") > 1).select(*key)
     if repeated.isEmpty():
         return staged
-    marked = staged.join(broadcast_if_small(repeated), list(DOCUMENT_KEY), "left")
+    copies = staged.select(*key, "landed", "doc_no").join(broadcast_if_small(repeated), key, "left_semi")
+    last = copies.groupBy(*key).agg(F.max(F.struct("landed", "doc_no"))["doc_no"].alias("_last"))
+    marked = staged.join(broadcast_if_small(last), key, "left")
     kept = marked.filter(F.col("_last").isNull() | (F.col("_last") == F.col("doc_no")))
     return kept.select(*staged.columns)
 

@@ -16,7 +16,11 @@ from pyspark.sql import types as T
 
 from pacegrid.functions.schemas import ACTIVITY_SCHEMA, ATHLETE_SCHEMA, LEDGER_SCHEMA, SILVER_SCHEMA
 from pacegrid.functions.schemas import schema_for_channel
-from pacegrid.model import SAMPLE_CHANNELS, source_name
+from pacegrid.model import DOCUMENT_CHANNELS, SAMPLE_CHANNELS, source_name
+from pacegrid.operators.bounds import broadcast_if_small
+
+# Batches named in a plan at most; beyond it the batch list is joined instead.
+MAX_BATCH_LIST = 5_000
 
 EXTRA = T.StructField("_extra", T.MapType(T.StringType(), T.StringType()))
 BATCH = T.StructField("batch", T.StringType())
@@ -86,36 +90,50 @@ class Tables:
     def _ledger_batches(self) -> DataFrame:
         return read_or_empty(self.spark, self.ledger_path, T.StructType([*LEDGER_SCHEMA, BATCH]))
 
-    def _published(self, frame: DataFrame) -> DataFrame:
-        # `batch` is a partition column on both sides: the list comes from directory
-        # names and prunes the scan at run time.
-        batches = self._ledger_batches().select("batch").distinct()
-        return frame.join(batches, "batch", "left_semi")
-
-    def samples(self) -> DataFrame:
-        """All sample channels as one long table."""
+    def _published(self, frame: DataFrame, scope: DataFrame | None) -> DataFrame:
+        entries = self._ledger_batches()
+        if scope is not None:
+            entries = entries.join(broadcast_if_small(scope), scope.columns, "left_semi")
+        batches = entries.select("batch").distinct()
+        names = [r[0] for r in batches.limit(MAX_BATCH_LIST + 1).collect()]
+        if len(names) > MAX_BATCH_LIST:
+            return frame.join(batches, "batch", "left_semi")
+        return frame.filter(F.col("batch").isin(names))
+
+    def samples(self, scope: DataFrame | None = None) -> DataFrame:
+        """All sample channels as one long table.
+
+        With a `scope` (distinct athletes, or athletes and activities) only batches that
+        loaded any of its documents are read, as the ledger tells; rows of others that
+        share those batches are still there.
+        """
         rows = read_or_empty(self.spark, self.bronze_path("samples"), SAMPLES_SCHEMA)
-        return self._published(rows).drop("batch")
+        return self._published(rows, scope).drop("batch")
 
-    def bronze(self, table: str) -> DataFrame:
+    def bronze(self, table: str, scope: DataFrame | None = None) -> DataFrame:
         """A bronze table under its channel name, with its declared columns."""
         if table in SAMPLE_CHANNELS:
             columns = schema_for_channel(self.source, table).names
-            return self.samples().filter(F.col("channel") == table).select(*columns)
+            return self.samples(scope).filter(F.col("channel") == table).select(*columns)
         declared = {"activity": ACTIVITY_SCHEMA, "athlete_summary": ATHLETE_SCHEMA}[table]
         rows = read_or_empty(self.spark, self.bronze_path(table), T.StructType([*declared, EXTRA, BATCH]))
-        return self._published(rows).select(*declared.names, "_extra")
+        return self._published(rows, scope).select(*declared.names, "_extra")
 
     def silver(self, table: str = "aggregate_stream", schema: T.StructType = SILVER_SCHEMA) -> DataFrame:
         bucket = T.StructField("athlete_bucket", T.IntegerType())
         return read_or_empty(self.spark, self.silver_path(table), T.StructType([*schema, bucket]))
 
-    def register(self) -> None:
+    def register(self, scope: DataFrame | None = None) -> None:
         """Name every bronze table as a temporary view `{bronze schema}__{table}`."""
         prefix = f"{self.bronze_schema}__"
-        self.samples().createOrReplaceTempView(f"{prefix}samples")
-        for table in (*SAMPLE_CHANNELS, "activity", "athlete_summary"):
-            self.bronze(table).createOrReplaceTempView(f"{prefix}{table}")
+        samples = self.samples(scope)
+        samples.createOrReplaceTempView(f"{prefix}samples")
+        for table in SAMPLE_CHANNELS:
+            columns = schema_for_channel(self.source, table).names
+            rows = samples.filter(F.col("channel") == table).select(*columns)
+            rows.createOrReplaceTempView(f"{prefix}{table}")
+        for table in DOCUMENT_CHANNELS:
+            self.bronze(table, scope).createOrReplaceTempView(f"{prefix}{table}")
 
 
 def connection_scan(users: DataFrame, connections: DataFrame, source: str) -> DataFrame:

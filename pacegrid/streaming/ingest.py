@@ -46,7 +46,7 @@ def ingest_available(
 
     def load(batch: DataFrame, _: int) -> None:
         landing.assert_known_channels(batch)
-        fresh = skip_processed(batch, tables.ledger(), tables.source)
+        fresh = skip_processed(batch, tables.ledger(), tables.source, few=True)
         load_documents(fresh, tables)
 
     stream = stream_documents(tables.spark, root, layout, max_files)

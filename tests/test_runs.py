@@ -35,6 +35,7 @@ def test_replace_by_key(spark, tmp_path):
     assert {(r.athlete_id, r.activity_id, r.v) for r in state.collect()} == expected and state.count() == len(expected)
     one = spark.createDataFrame([("a1", "2")], "athlete_id string, activity_id string")
     assert rows(replace_by_key(path, new.limit(0), one, 4, on=("athlete_id", "activity_id"))) == [(1, 0)]
+    assert rows(replace_by_key(path, new.limit(0), one, 4, on=("athlete_id", "activity_id"))) == [(0, 0)]
     everything = spark.read.parquet(path).select("athlete_id").distinct()
     assert rows(replace_by_key(path, new.limit(0), everything, 4)) == [(12, 0)]
     assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith("athlete_bucket=")]
@@ -142,8 +143,7 @@ def test_silver_from_sql_files(spark, tables, tmp_path):
     (folder / "daily_peak.sql").write_text(
         """
         SELECT h.athlete_id, h.activity_id, max(h.data) AS peak, CAST(:at AS TIMESTAMP) AS at
-        FROM IDENTIFIER(:schema || 'heartrate') h LEFT SEMI JOIN athletes a ON h.athlete_id = a.athlete_id
-        WHERE :activity_id IS NULL OR h.activity_id = :activity_id
+        FROM IDENTIFIER(:schema || 'heartrate') h LEFT SEMI JOIN scope s ON h.athlete_id = s.athlete_id
         GROUP BY h.athlete_id, h.activity_id;
         """
     )
