@@ -30,7 +30,9 @@ def skip_processed(files: DataFrame, ledger: DataFrame, source: str, few: bool =
     key, known = list(DOCUMENT_KEY), succeeded(ledger, source)
     if few:
         known = known.join(broadcast_if_small(files.select(*key)), key, "left_semi")
-    return files.join(known, key, "left_anti")
+    # Distinct before the join: a document logged very often shrinks to one row on the map
+    # side, and the join reuses the same partitioning.
+    return files.join(known.distinct(), key, "left_anti")
 
 
 def high_water_mark(activity: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +70,21 @@ def batch_status(ledger: DataFrame) -> DataFrame:
     )
 
 
+def observed(frame: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Count a frame's rows while another action runs it; no action of its own."""
+    counter = Observation(name)
+    return frame.observe(counter, F.count(F.lit(1)).alias("rows")), counter
+
+
+def row_counters(**frames: DataFrame) -> DataFrame:
+    """One row per named frame with its number of rows."""
+    counts = [
+        frame.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("counter"), "rows")
+        for name, frame in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def without_empty_batches(ledger: DataFrame) -> DataFrame:
     """Ledger rows of (athlete, channel) batches that hold at least one record."""
     batch = ["athlete_id", "data_stream"]

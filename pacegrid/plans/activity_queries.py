@@ -324,6 +324,24 @@ def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
     return keyed.upsert(base.select("c_custkey", "c_name", "c_acctbal"), changes, ["c_custkey"], "at")
 
 
+@query(
+    """
+SELECT 'processed' AS counter, count(DISTINCT l_orderkey) AS rows FROM lineitem WHERE l_returnflag = 'R'
+UNION ALL
+SELECT 'users', count(DISTINCT user_id) FROM events WHERE user_id % 11 <> 0
+UNION ALL
+SELECT 'users_without_uid', count(*) FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 11 = 0
+"""
+)
+def row_counters(spark: SparkSession, sf: str) -> DataFrame:
+    users, _ = user_connections(spark, sf)
+    return quality.row_counters(
+        processed=incremental.processed_ids(line_ledger(spark, sf), "STRAVA"),
+        users=quality.drop_keyless_users(users),
+        users_without_uid=quality.keyless_users(users),
+    )
+
+
 _PER_DAY = """
 SELECT athlete_id, activity_id, count(*) AS samples, max(data) AS greatest
 FROM IDENTIFIER(:samples)

@@ -135,6 +135,37 @@ class Tables:
         for table in DOCUMENT_CHANNELS:
             self.bronze(table, scope).createOrReplaceTempView(f"{prefix}{table}")
 
+    def create_views(self) -> list[str]:
+        """Name the stored bronze and silver tables in the catalog as `{schema}.{table}`.
+
+        Views over the files, so they follow later loads. A table not yet written has none.
+        """
+        published = f"batch IN (SELECT batch FROM parquet.`{self.ledger_path}`)"
+        named = []
+
+        def view(name: str, columns: list[str], path: str, where: str) -> None:
+            listed = ", ".join(f"`{c}`" for c in columns)
+            text = f"SELECT {listed} FROM parquet.`{path}` WHERE {where}"
+            try:
+                self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
+            except AnalysisException as error:
+                if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                    raise
+                return
+            named.append(name)
+
+        for schema in (self.bronze_schema, self.silver_schema):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+        for table in SAMPLE_CHANNELS:
+            columns = schema_for_channel(self.source, table).names
+            where = f"channel = '{table}' AND {published}"
+            view(f"{self.bronze_schema}.{table}", columns, self.bronze_path("samples"), where)
+        for table in DOCUMENT_CHANNELS:
+            columns = schema_for_channel(self.source, table).names
+            view(f"{self.bronze_schema}.{table}", columns, self.bronze_path(table), published)
+        view(f"{self.silver_schema}.aggregate_stream", SILVER_SCHEMA.names, self.silver_path(), "true")
+        return named
+
 
 def connection_scan(users: DataFrame, connections: DataFrame, source: str) -> DataFrame:
     """Every user beside the connection record of one source; none gives nulls."""

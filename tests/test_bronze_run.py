@@ -197,3 +197,28 @@ def test_silver_keeps_an_athlete_whose_rows_break_a_requirement(spark, tables, r
 def test_parse_has_no_python_and_reads_once(spark, root):
     plan = parse_documents(landing.scan_files(spark, root))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and plan.count("FileScan") == 1
+
+
+def test_catalog_views_follow_loads(spark, tables, root):
+    bronze_load(tables, root)
+    silver_refresh(tables)
+    names = tables.create_views()
+    assert "dev_bronze_strava.heartrate" in names and "dev_silver_strava.aggregate_stream" in names
+    count = "SELECT count(*) FROM dev_bronze_strava.heartrate"
+    assert spark.sql(count).first()[0] == 3
+    put(root, "9", "heartrate", 7, samples([60]))
+    bronze_load(tables, root)
+    spark.catalog.refreshTable("dev_bronze_strava.heartrate")
+    assert spark.sql(count).first()[0] == 4
+    assert spark.sql("SELECT max(heartrate) FROM dev_silver_strava.aggregate_stream").first()[0] == 101.0
+
+
+def test_batches_outside_the_scope_are_not_read(spark, tables, root):
+    bronze_load(tables, root)
+    put(root, "9", "time", 8, samples([6, 7]))
+    bronze_load(tables, root)
+    scope = spark.createDataFrame([("9", "8")], "athlete_id string, activity_id string")
+    scoped = tables.samples(scope)
+    assert rows(scoped, "activity_id", "data") == [("8", 6.0), ("8", 7.0)]
+    plan = scoped._jdf.queryExecution().executedPlan().toString()
+    assert "batch" in plan.split("PartitionFilters:")[1].split("]")[0]

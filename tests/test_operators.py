@@ -285,3 +285,16 @@ def test_sql_parameters_and_directory(spark, tmp_path):
     texts = sql_directory(str(tmp_path))
     assert list(texts) == ["per_channel"]
     assert sql_transform(spark, texts["per_channel"], {"a": 4}).first()[0] == 5
+
+
+def test_counters(spark):
+    frame, counter = quality.observed(spark.range(7), "seven")
+    assert frame.filter("id > 4").count() == 2 and counter.get == {"rows": 7}
+    assert rows(quality.row_counters(a=spark.range(2), b=spark.range(0))) == [("a", 2), ("b", 0)]
+
+
+def test_skip_processed_with_few_files(spark):
+    files = spark.createDataFrame([("a", "time", "1"), ("a", "time", "2")], "athlete_id string, channel string, activity_id string")
+    ledger = spark.createDataFrame([("a", "1", "STRAVA", "time", "SUCCESS")] * 50, "athlete_id string, activity_id string, data_source string, data_stream string, status string")
+    for few in (True, False):
+        assert rows(incremental.skip_processed(files, ledger, "STRAVA", few)) == [("a", "time", "2")]
