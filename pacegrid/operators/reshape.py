@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pacegrid.functions.columns import clean_name, decoded, first_of, number_of, second_of
 
 Transform = Callable[[DataFrame], DataFrame]
+COMMA = "','"
 
 
 def decode_document(df: DataFrame, column: str = "value") -> DataFrame:
@@ -108,7 +109,7 @@ def conform(
     """Project to the declared columns with `try_cast`; absent ones are null.
 
     Adds `_violations`, the comma-joined names of columns whose value would not cast or
-    that are required and null, null when there are none. Undeclared columns go to the
+    that are required and null, empty when there are none. Undeclared columns go to the
     `extra` map as text, but for the `keep` columns, which pass unchanged.
     """
     given = {f.name: f.dataType for f in df.schema}
@@ -122,8 +123,7 @@ def conform(
             broken.append(f"IF({value} IS NULL, '{field.name}', NULL)")
         elif given.get(field.name, field.dataType) != field.dataType and field.dataType != T.StringType():
             broken.append(f"IF({raw} IS NOT NULL AND {value} IS NULL, '{field.name}', NULL)")
-    faults = f"nullif(concat_ws(',', {', '.join(broken)}), '')" if broken else "CAST(NULL AS STRING)"
-    columns = [*map(_quoted, keep), *cast, f"{faults} AS _violations"]
+    columns = [*map(_quoted, keep), *cast, f"concat_ws({', '.join([COMMA, *broken])}) AS _violations"]
     if extra:
         others = [c for c in df.columns if c not in (*schema.names, *keep)]
         entries = ", ".join(f"'{c}', CAST({_quoted(c)} AS STRING)" for c in others)

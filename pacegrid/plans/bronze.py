@@ -20,6 +20,7 @@ from pacegrid.sources import landing
 from pacegrid.sources.tables import SAMPLES_SCHEMA, Tables
 
 _CORRUPT = "_corrupt"
+SLICES = 16
 _OBJECTS = {
     "activity": (RAW_ACTIVITY, ACTIVITY_SCHEMA, "activity_id"),
     "athlete_summary": (RAW_ATHLETE, ATHLETE_SCHEMA, "athlete_id"),
@@ -103,13 +104,15 @@ def stage_documents(documents: DataFrame) -> DataFrame:
     """Parse documents into a stored frame, one directory per channel.
 
     The text is read and parsed once although several writes follow, and those all see
-    the same documents. Documents are gathered by channel while samples are still arrays;
-    a channel that holds much of the data is split again by the rebalance.
+    the same documents. Documents are gathered by channel while samples are still arrays,
+    in a few slices each; a slice that holds much of the data is split by the rebalance.
     """
     path = scratch_path(documents.sparkSession, "bronze")
     parsed = parse_documents(documents)
+    sliced = parsed.withColumn("_slice", F.pmod(F.xxhash64("activity_id"), F.lit(SLICES)))
     (
-        parsed.hint("rebalance", "channel")
+        sliced.hint("rebalance", "channel", "_slice")
+        .drop("_slice")
         .sortWithinPartitions("channel", "athlete_id", "activity_id")
         .write.partitionBy("channel")
         .parquet(path)
@@ -166,9 +169,14 @@ def object_rows(staged: DataFrame, channel: str, at: datetime, transforms: dict
     leaves = reshape.flatten(documents.select(*kept, "_doc.*"))
     named = reshape.rename_id(reshape.clean_column_names(leaves), id_column)
     rows = reshape.stamp(reshape.dispatch(channel, named, transforms), at)
-    conformed = reshape.conform(rows, schema, keep=kept, extra=None)
-    broken = F.when(F.col("_extra").isNull(), F.lit("malformed_json")).otherwise(F.col("_violations"))
-    return conformed.withColumn("_violations", broken)
+    return reshape.conform(rows, schema, keep=kept, extra=None)
+
+
+def object_reason() -> Column:
+    """Fault of an object row; a document that is no JSON object has no entries at all."""
+    return F.when(F.col("_extra").isNull(), F.lit("malformed_json")).when(
+        F.col("_violations") != "", F.col("_violations")
+    )
 
 
 def ledger_entries(staged: DataFrame, objects: dict[str, DataFrame], source: str) -> DataFrame:
@@ -183,7 +191,7 @@ def ledger_entries(staged: DataFrame, objects: dict[str, DataFrame], source: str
                 F.col("_activity").alias("activity_id"),
                 F.lit(channel).alias("channel"),
                 F.lit(1).cast("long").alias("record_count"),
-                F.col("_violations").alias("reason"),
+                object_reason().alias("reason"),
             )
         )
     entries = load_status(reshape.union_batches(*parts))
@@ -210,7 +218,7 @@ def load_documents(
     append_bronze(sample_rows(staged, at, transforms), tables, "samples", at)
     objects = {c: _stored(object_rows(staged, c, at, transforms)) for c in DOCUMENT_CHANNELS}
     for channel, rows in objects.items():
-        good = rows.filter(F.col("_violations").isNull())
+        good = rows.filter(object_reason().isNull())
         append_bronze(good.drop("_violations", "_athlete", "_activity"), tables, channel, at)
     entries = ledger_entries(staged, objects, tables.source)
     if not ledger_empty:

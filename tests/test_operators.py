@@ -77,7 +77,7 @@ def test_conform(spark):
     done = reshape.conform(df, schema)
     assert done.columns == ["id", "n", "gone", "_violations", "_extra"]
     assert [tuple(r) for r in done.collect()] == [
-        ("a", 7, None, None, {"other": "k1"}),
+        ("a", 7, None, "", {"other": "k1"}),
         (None, None, None, "id,n", {"other": "k2"}),
     ]
 
