@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pacegrid.functions.schemas import SILVER_SCHEMA
 from pacegrid.model import SAMPLE_KEY, SILVER_MEASURES
-from pacegrid.operators.bounds import broadcast_if_small
+from pacegrid.operators.bounds import in_scope
 
 DRIVER = "time"
 
@@ -103,14 +103,6 @@ def silver_projection(aligned: DataFrame, at: datetime | None = None) -> DataFra
     )
 
 
-def in_scope(frame: DataFrame, scope: DataFrame | None) -> DataFrame:
-    """Rows whose athlete, or athlete and activity, is in `scope`; None keeps all."""
-    if scope is None:
-        return frame
-    wanted = scope.distinct()
-    return frame.join(broadcast_if_small(wanted), scope.columns, "left_semi")
-
-
 def athlete_slice(
     frame: DataFrame, athletes: DataFrame | None = None, activity_id: str | None = None
 ) -> DataFrame:

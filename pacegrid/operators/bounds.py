@@ -14,3 +14,11 @@ def broadcast_if_small(frame: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> Data
     For narrow key frames. Beyond the bound it is returned unhinted and the join shuffles.
     """
     return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+
+
+def in_scope(frame: DataFrame, scope: DataFrame | None) -> DataFrame:
+    """Rows whose athlete, or athlete and activity, is in `scope`; None keeps all."""
+    if scope is None:
+        return frame
+    wanted = scope.distinct()
+    return frame.join(broadcast_if_small(wanted), scope.columns, "left_semi")

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.functions.schemas import SILVER_SCHEMA
-from pacegrid.operators.alignment import add_activity, align_channels, in_scope, silver_projection
-from pacegrid.operators.bounds import broadcast_if_small
+from pacegrid.operators.alignment import add_activity, align_channels, silver_projection
+from pacegrid.operators.bounds import broadcast_if_small, in_scope
 from pacegrid.operators.quality import check_required
 from pacegrid.operators.sql import sql_directory, sql_transform
 from pacegrid.plans.bronze import utc_now
@@ -19,6 +20,8 @@ from pacegrid.session import scratch_path
 from pacegrid.sinks.tables import replace_by_key, stage_bucketed
 from pacegrid.sources.tables import Tables
 
+SQL_FOLDER = str(Path(__file__).parent / "sql")
+
 Build = Callable[[Tables, "DataFrame | None", datetime], DataFrame]
 
 
@@ -32,21 +35,19 @@ def aggregate_stream(tables: Tables, scope: DataFrame | None, at: datetime, how:
 def from_sql(text: str) -> Build:
     """A silver table from a SELECT over the registered bronze views.
 
-    Parameters of the text: `:schema` (prefix of the views) and `:at`. The view `scope`
-    holds the athletes, or athletes and activities, to rebuild.
+    The views hold the rows to rebuild, so the text needs no predicate. Its parameters are
+    `:schema` (prefix of the views) and `:at` (load time).
     """
 
     def build(tables: Tables, scope: DataFrame | None, at: datetime) -> DataFrame:
         tables.register(scope)
-        wanted = tables.samples().select("athlete_id").distinct() if scope is None else scope
-        wanted.createOrReplaceTempView("scope")
         return sql_transform(tables.spark, text, {"schema": f"{tables.bronze_schema}__", "at": at})
 
     return build
 
 
-def builds_of(folder: str) -> dict[str, Build]:
-    """One silver table per `*.sql` file."""
+def builds_of(folder: str = SQL_FOLDER) -> dict[str, Build]:
+    """One silver table per `*.sql` file; by default the one shipped here."""
     return {table: from_sql(text) for table, text in sql_directory(folder).items()}
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pacegrid.functions.schemas import ACTIVITY_SCHEMA, ATHLETE_SCHEMA, LEDGER_SCHEMA, SILVER_SCHEMA
 from pacegrid.functions.schemas import schema_for_channel
 from pacegrid.model import DOCUMENT_CHANNELS, SAMPLE_CHANNELS, source_name
-from pacegrid.operators.bounds import broadcast_if_small
+from pacegrid.operators.bounds import broadcast_if_small, in_scope
 
 # Batches named in a plan at most; beyond it the batch list is joined instead.
 MAX_BATCH_LIST = 5_000
@@ -124,16 +124,20 @@ class Tables:
         return read_or_empty(self.spark, self.silver_path(table), T.StructType([*schema, bucket]))
 
     def register(self, scope: DataFrame | None = None) -> None:
-        """Name every bronze table as a temporary view `{bronze schema}__{table}`."""
+        """Name every bronze table as a temporary view `{bronze schema}__{table}`.
+
+        With a `scope` the views hold its rows only; profiles go by athlete.
+        """
         prefix = f"{self.bronze_schema}__"
-        samples = self.samples(scope)
+        samples = in_scope(self.samples(scope), scope)
         samples.createOrReplaceTempView(f"{prefix}samples")
         for table in SAMPLE_CHANNELS:
             columns = schema_for_channel(self.source, table).names
             rows = samples.filter(F.col("channel") == table).select(*columns)
             rows.createOrReplaceTempView(f"{prefix}{table}")
-        for table in DOCUMENT_CHANNELS:
-            self.bronze(table, scope).createOrReplaceTempView(f"{prefix}{table}")
+        athletes = None if scope is None else scope.select("athlete_id").distinct()
+        for table, part in (("activity", scope), ("athlete_summary", athletes)):
+            in_scope(self.bronze(table, part), part).createOrReplaceTempView(f"{prefix}{table}")
 
     def create_views(self) -> list[str]:
         """Name the stored bronze and silver tables in the catalog as `{schema}.{table}`.

@@ -142,9 +142,9 @@ def test_silver_from_sql_files(spark, tables, tmp_path):
     folder.mkdir()
     (folder / "daily_peak.sql").write_text(
         """
-        SELECT h.athlete_id, h.activity_id, max(h.data) AS peak, CAST(:at AS TIMESTAMP) AS at
-        FROM IDENTIFIER(:schema || 'heartrate') h LEFT SEMI JOIN scope s ON h.athlete_id = s.athlete_id
-        GROUP BY h.athlete_id, h.activity_id;
+        SELECT athlete_id, activity_id, max(data) AS peak, CAST(:at AS TIMESTAMP) AS at
+        FROM IDENTIFIER(:schema || 'heartrate')
+        GROUP BY athlete_id, activity_id;
         """
     )
     builds = builds_of(str(folder))
@@ -152,3 +152,18 @@ def test_silver_from_sql_files(spark, tables, tmp_path):
         report = silver_refresh(tables, builds=builds, at=AT)
     assert rows(report) == [("daily_peak", 1, 1, 0)]
     assert rows(spark.read.parquet(tables.silver_path("daily_peak")), "athlete_id", "peak") == [("0017", 101.0)]
+
+
+def test_shipped_sql_equals_the_dataframe_form(spark, tables, tmp_path):
+    root = tmp_path / "raw"
+    bronze_load(tables, landing_tree(root))
+    put(root, "0017", "time", 8, samples([3]))
+    bronze_load(tables, str(root))
+    silver_refresh(tables, at=AT)
+    expected = rows(tables.silver().drop("athlete_bucket"))
+    other = Tables(spark, tables.root, env="dev", buckets=4)
+    scope = spark.createDataFrame([("0017",)], "athlete_id string")
+    for options in ({}, {"athletes": scope}, {"athletes": scope, "activity_id": "8"}):
+        report = silver_refresh(other, builds=builds_of(), at=AT, **options)
+        assert [r[2] for r in rows(report)] == [{0: 5, 1: 4, 2: 1}[len(options)]]
+        assert rows(tables.silver().drop("athlete_bucket")) == expected
