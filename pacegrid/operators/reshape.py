@@ -24,6 +24,10 @@ def _quoted(*parts: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
 
 
+def _text(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def flatten(df: DataFrame) -> DataFrame:
     """Nested structs to leaf columns with dotted names; arrays stay as values."""
 
@@ -120,13 +124,13 @@ def conform(
         value = f"try_cast({raw} AS {field.dataType.simpleString()})"
         cast.append(f"{value} AS {name}")
         if not field.nullable:
-            broken.append(f"IF({value} IS NULL, '{field.name}', NULL)")
+            broken.append(f"IF({value} IS NULL, {_text(field.name)}, NULL)")
         elif given.get(field.name, field.dataType) != field.dataType and field.dataType != T.StringType():
-            broken.append(f"IF({raw} IS NOT NULL AND {value} IS NULL, '{field.name}', NULL)")
+            broken.append(f"IF({raw} IS NOT NULL AND {value} IS NULL, {_text(field.name)}, NULL)")
     columns = [*map(_quoted, keep), *cast, f"concat_ws({', '.join([COMMA, *broken])}) AS _violations"]
     if extra:
         others = [c for c in df.columns if c not in (*schema.names, *keep)]
-        entries = ", ".join(f"'{c}', CAST({_quoted(c)} AS STRING)" for c in others)
+        entries = ", ".join(f"{_text(c)}, CAST({_quoted(c)} AS STRING)" for c in others)
         columns.append(f"CAST({f'map({entries})' if others else 'NULL'} AS MAP<STRING, STRING>) AS {extra}")
     return df.selectExpr(*columns)
 

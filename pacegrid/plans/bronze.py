@@ -204,17 +204,22 @@ def load_documents(
     at: datetime | None = None,
     ledger_empty: bool = True,
     transforms: dict | None = None,
+    skip_known: bool = False,
 ) -> DataFrame:
     """Write documents to bronze, then their ledger rows, as one batch.
 
     Returns the batch's ledger rows with `reason`, read back from the stored stage.
     `ledger_empty=False` logs nothing for an athlete's channel whose documents are all
-    empty, so they are looked at again by the next run.
+    empty, so they are looked at again by the next run. `skip_known` leaves out documents
+    the ledger holds, for callers that have not done so and expect hardly any.
     """
     at = at or utc_now()
     staged = stage_documents(documents)
+    landing.assert_known_channels(staged)
     if "landed" in documents.columns:
         staged = landing.latest_documents(staged)
+    if skip_known:
+        staged = skip_processed(staged, tables.ledger(), tables.source, few=True)
     append_bronze(sample_rows(staged, at, transforms), tables, "samples", at)
     objects = {c: _stored(object_rows(staged, c, at, transforms)) for c in DOCUMENT_CHANNELS}
     for channel, rows in objects.items():
@@ -235,12 +240,14 @@ def fresh_documents(
     sample: int | None = None,
     athletes: DataFrame | None = None,
     refresh_profiles: bool = False,
+    landed_since: datetime | None = None,
 ) -> DataFrame:
     """Landed documents the ledger does not hold as loaded.
 
     An unknown channel fails the run, also when channels are selected. With files, the
     ledger is applied to paths and only the remaining files are opened. A sample is taken
-    before the ledger is applied and may leave nothing new.
+    before the ledger is applied and may leave nothing new. `landed_since` leaves out
+    directories of packed documents landed earlier, unread.
     """
     if layout not in ("files", "packed"):
         raise ValueError(f"Unknown layout: {layout}")
@@ -251,7 +258,7 @@ def fresh_documents(
         found = landing.named_files(listed)
     else:
         landing.assert_known_channels(landing.packed_files(tables.spark, root))
-        found = landing.scan_packed(tables.spark, root)
+        found = landing.scan_packed(tables.spark, root, channels, landed_since)
     found = athlete_slice(landing.select_channels(found, channels), athletes)
     if sample is not None:
         found = landing.sample_files(found, sample, order="file_path" if as_files else "activity_id")

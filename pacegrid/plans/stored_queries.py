@@ -167,7 +167,7 @@ def silver_table(spark: SparkSession, sf: str) -> DataFrame:
     for n, part in enumerate((first, ~first)):
         at = LOADED_AT + timedelta(hours=n)
         land_raw(documents.filter(part), root, at)
-        load_documents(landing.scan_packed(spark, root).filter(F.col("landed").contains(f"T0{n}")), tables, at)
+        load_documents(landing.scan_packed(spark, root, landed_since=at), tables, at)
         silver_refresh(tables, at=at)
     return tables.silver().drop("athlete_bucket", "metadata_insert_timestamp")
 

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.model import DOCUMENT_KEY
-
-
-def batch_name(at: datetime) -> str:
-    """Sortable name of a load or landing time."""
-    return at.astimezone(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+from pacegrid.sources.landing import batch_name
 
 
 def as_document(df: DataFrame, *columns: str) -> DataFrame:

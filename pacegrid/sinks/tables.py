@@ -11,7 +11,7 @@ from pacegrid.functions.columns import bucket_of
 from pacegrid.functions.schemas import LEDGER_SCHEMA
 from pacegrid.operators.bounds import broadcast_if_small
 from pacegrid.session import scratch_path
-from pacegrid.sinks.landing import batch_name
+from pacegrid.sources.landing import batch_name
 from pacegrid.sources.tables import Tables, read_or_empty
 
 BUCKET = "athlete_bucket"

@@ -7,6 +7,8 @@ JSON line each with the identity inside, in directories `channel=C/landed=T/`.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -95,14 +97,26 @@ def scan_files(spark: SparkSession, root: str, channels: list[str] | None = None
     return with_identity(files.select("path", F.col("content").cast("string").alias("value")))
 
 
-def scan_packed(spark: SparkSession, root: str, channels: list[str] | None = None) -> DataFrame:
-    """Every packed document with its landing time. The channel list prunes directories.
+def batch_name(at: datetime) -> str:
+    """Sortable name of a load or landing time."""
+    return at.astimezone(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+
+
+def scan_packed(
+    spark: SparkSession,
+    root: str,
+    channels: list[str] | None = None,
+    landed_since: datetime | None = None,
+) -> DataFrame:
+    """Every packed document with its landing time. Both filters prune directories.
 
     A document may have been landed more than once; see `latest_documents`.
     """
     lines = spark.read.schema(PACKED_SCHEMA).json(root)
     if channels:
         lines = lines.filter(F.col("channel").isin(list(channels)))
+    if landed_since is not None:
+        lines = lines.filter(F.col("landed") >= batch_name(landed_since))
     return lines.select(*DOCUMENT_KEY, F.col("document").alias("value"), "landed")
 
 

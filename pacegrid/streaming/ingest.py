@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pacegrid.model import DOCUMENT_KEY
-from pacegrid.operators.incremental import skip_processed
 from pacegrid.plans.bronze import load_documents
 from pacegrid.sources import landing
 from pacegrid.sources.tables import Tables
@@ -45,9 +44,7 @@ def ingest_available(
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        landing.assert_known_channels(batch)
-        fresh = skip_processed(batch, tables.ledger(), tables.source, few=True)
-        load_documents(fresh, tables)
+        load_documents(batch, tables, skip_known=True)
 
     stream = stream_documents(tables.spark, root, layout, max_files)
     return (

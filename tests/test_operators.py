@@ -213,7 +213,7 @@ def test_activity_dimension(spark):
 def test_athlete_slice_beyond_the_broadcast_bound(spark):
     many = spark.range(50).select(F.col("id").cast("string").alias("athlete_id"))
     assert "broadcast" in str(broadcast_if_small(many)._jdf.queryExecution().logical()).lower()
-    assert broadcast_if_small(many, rows=10) is many
+    assert broadcast_if_small(many, rows=10) is many and broadcast_if_small(many, size=20) is many
     frame = spark.createDataFrame([("1", "x"), ("99", "x"), ("2", "y")], "athlete_id string, activity_id string")
     assert rows(alignment.athlete_slice(frame, many)) == [("1", "x"), ("2", "y")]
     assert rows(alignment.athlete_slice(frame, many, "y")) == [("2", "y")]

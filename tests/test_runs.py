@@ -2,6 +2,7 @@ import json
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from pacegrid.plans.bronze import bronze_load
@@ -63,6 +64,8 @@ def test_document_landed_twice_counts_once(spark, tables, tmp_path):
     bronze_load(tables, root, layout="packed")
     assert rows(tables.bronze("time"), "data") == [(2.0,)]
     assert tables.ledger().count() == 1
+    scan = landing.scan_packed(spark, root, ["time"], AT + timedelta(hours=1))
+    assert scan.count() == 2 and landing.scan_packed(spark, root).count() == 4
 
 
 def test_stream_takes_each_document_once(spark, tables, tmp_path):
@@ -83,6 +86,10 @@ def test_stream_takes_each_document_once(spark, tables, tmp_path):
     bronze_load(batch, str(root))
     keys = ["athlete_id", "activity_id", "channel", "index", "data", "latitude"]
     assert rows(batch.samples(), *keys) == rows(tables.samples(), *keys)
+    put(root, "9", "gyroscope", 7, samples([1]))
+    with pytest.raises(StreamingQueryException, match="gyroscope"):
+        ingest_available(tables, str(root), log).awaitTermination()
+    assert tables.samples().count() == 14
 
 
 def activity_frame(spark, data):
