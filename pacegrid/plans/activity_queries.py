@@ -127,11 +127,11 @@ def skip_processed(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
 WITH files AS (
-  SELECT event_id, CAST(user_id AS VARCHAR) AS athlete_id, {EVENT_CHANNEL_SQL} AS channel,
+  SELECT event_id, value, CAST(user_id AS VARCHAR) AS athlete_id, {EVENT_CHANNEL_SQL} AS channel,
     row_number() OVER (PARTITION BY user_id, event_type ORDER BY lpad(CAST(event_id AS VARCHAR), 12, '0')) AS rank
   FROM events)
 SELECT athlete_id, channel, CAST(event_id AS VARCHAR) AS activity_id FROM files
-WHERE rank <= 3 AND event_id % 2 = 1
+WHERE rank <= 3 AND value <= 20
 """
 )
 def sampled_docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,12 +142,12 @@ def sampled_docs(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id").cast("string").alias("activity_id"),
         F.lpad(F.col("event_id").cast("string"), 12, "0").alias("file_path"),
     )
-    ledger = keys.filter("event_id % 2 = 0").select(
+    ledger = keys.select(
         "athlete_id",
         F.col("channel").alias("data_stream"),
         F.col("event_id").cast("string").alias("activity_id"),
         F.lit("STRAVA").alias("data_source"),
-        F.lit("SUCCESS").alias("status"),
+        F.when(F.col("value") > 20, F.lit("SUCCESS")).otherwise(F.lit("FAILURE")).alias("status"),
     )
     return incremental.skip_processed(landing.sample_files(files, 3), ledger, "STRAVA").drop("file_path")
 
@@ -244,12 +244,10 @@ def batch_status(spark: SparkSession, sf: str) -> DataFrame:
     return quality.batch_status(_dense_ledger(spark, sf))
 
 
-_CONNECTED_SQL = """users AS (
-  SELECT DISTINCT CAST(user_id AS VARCHAR) AS uid FROM events WHERE user_id % 11 <> 0
-), checked AS (
-  SELECT uid, CASE WHEN c_custkey IS NULL THEN 'no_connection'
-      WHEN c_custkey % 3 = 0 OR c_custkey % 7 = 0 THEN 'missing_athlete_id' END AS reason
-  FROM users LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 5 <> 0) ON CAST(c_custkey AS VARCHAR) = uid
+_CONNECTED_SQL = """checked AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS uid, CASE WHEN c_acctbal < 0 THEN 'no_connection'
+      WHEN c_mktsegment = 'BUILDING' OR c_nationkey = 0 THEN 'missing_athlete_id' END AS reason
+  FROM customer WHERE c_mktsegment <> 'FURNITURE'
 )"""
 
 
@@ -266,12 +264,12 @@ def check_connections(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
 WITH old AS (
-  SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 4 <> 0
+  SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment <> 'MACHINERY'
 ), changes AS (
-  SELECT o_custkey AS c_custkey, arg_min(o_orderpriority, o_orderkey) AS first_name,
+  SELECT o_custkey AS c_custkey, arg_min(CAST(o_orderdate AS DATE)::VARCHAR, o_orderkey) AS first_name,
     arg_max(o_totalprice, o_orderkey) AS last_balance,
     arg_max(o_orderstatus, o_orderkey) FILTER (WHERE o_orderstatus <> 'P') AS last_segment
-  FROM orders WHERE o_custkey % 3 = 0 GROUP BY o_custkey
+  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey
 )
 SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey,
   CASE WHEN o.c_custkey IS NULL THEN n.first_name ELSE o.c_name END AS c_name,
@@ -281,16 +279,19 @@ FROM old o FULL JOIN changes n ON o.c_custkey = n.c_custkey
 """
 )
 def upsert_partial(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers updated by their orders, in order of order key; the name is never updated."""
-    base = table(spark, sf, "customer").filter("c_custkey % 4 <> 0").drop("c_nationkey")
+    """Customers updated by their urgent orders, in order of order key, but for the name.
+
+    Machinery customers are not known before, so they take the whole first record.
+    """
+    base = table(spark, sf, "customer").filter("c_mktsegment <> 'MACHINERY'").drop("c_nationkey")
     status = F.col("o_orderstatus")
     changes = (
         table(spark, sf, "orders")
-        .filter("o_custkey % 3 = 0")
+        .filter("o_orderpriority = '1-URGENT'")
         .select(
             F.col("o_custkey").alias("c_custkey"),
             F.col("o_orderkey").alias("at"),
-            F.col("o_orderpriority").alias("c_name"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("c_name"),
             F.col("o_totalprice").alias("c_acctbal"),
             F.when(status != "P", status).alias("c_mktsegment"),
         )
@@ -301,7 +302,7 @@ def upsert_partial(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
 WITH old AS (
-  SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 4 <> 0
+  SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment <> 'MACHINERY'
 ), changes AS (
   SELECT o_custkey AS c_custkey, arg_max(o_orderpriority, o_orderkey) AS c_name,
     arg_max(o_totalprice, o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS c_acctbal
@@ -314,7 +315,7 @@ FROM old o FULL JOIN changes n ON o.c_custkey = n.c_custkey
 )
 def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Whole-record merge: what a change leaves out keeps its value."""
-    base = table(spark, sf, "customer").filter("c_custkey % 4 <> 0")
+    base = table(spark, sf, "customer").filter("c_mktsegment <> 'MACHINERY'")
     changes = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("c_custkey"),
         F.col("o_orderkey").alias("at"),
@@ -328,9 +329,9 @@ def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
     """
 SELECT 'processed' AS counter, count(DISTINCT l_orderkey) AS rows FROM lineitem WHERE l_returnflag = 'R'
 UNION ALL
-SELECT 'users', count(DISTINCT user_id) FROM events WHERE user_id % 11 <> 0
+SELECT 'users', count(*) FROM customer WHERE c_mktsegment <> 'FURNITURE'
 UNION ALL
-SELECT 'users_without_uid', count(*) FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 11 = 0
+SELECT 'users_without_uid', count(*) FROM customer WHERE c_mktsegment = 'FURNITURE'
 """
 )
 def row_counters(spark: SparkSession, sf: str) -> DataFrame:

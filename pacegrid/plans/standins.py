@@ -173,18 +173,20 @@ def order_activities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def user_connections(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Users are those of `events` and a nameless one each; connections are customers."""
-    events = table(spark, sf, "events")
-    users = events.select(F.col("user_id").cast("string").alias("uid")).distinct()
-    users = users.withColumn("uid", F.when(F.col("uid").cast("long") % 11 != 0, F.col("uid")))
+    """Customers as users and as connection records.
+
+    Furniture customers have no uid, those in debt no connection, building customers no
+    athlete, and those of nation 0 an athlete without id.
+    """
     customers = table(spark, sf, "customer")
-    key = F.col("c_custkey")
-    connections = customers.filter(key % 5 != 0).select(
-        key.cast("string").alias("uid"),
+    segment, uid = F.col("c_mktsegment"), F.col("c_custkey").cast("string")
+    users = customers.select(F.when(segment != "FURNITURE", uid).alias("uid"))
+    connections = customers.filter("c_acctbal >= 0").select(
+        uid.alias("uid"),
         F.lit("strava").alias("source"),
         F.when(
-            key % 3 != 0,
-            F.struct(F.when(key % 7 != 0, key).alias("id"), F.col("c_name").alias("firstname")),
+            segment != "BUILDING",
+            F.struct(F.when(F.col("c_nationkey") != 0, F.col("c_custkey")).alias("id"), F.col("c_name").alias("firstname")),
         ).alias("athlete"),
     )
     return users, connections

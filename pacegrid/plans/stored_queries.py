@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacegrid.model import CHANNELS, SILVER_MEASURES
+from pacegrid.operators.bounds import broadcast_if_small
 from pacegrid.operators.reshape import decode_document
 from pacegrid.plans.bronze import load_documents
 from pacegrid.plans.registry import query
@@ -208,32 +209,37 @@ def landed_again(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _REPLACED_SQL = """
-SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_custkey % 10 <> 0
+SELECT o_custkey, o_orderkey, o_totalprice FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY')
 UNION ALL
-SELECT o_custkey, o_orderkey, 2 * o_totalprice FROM orders WHERE o_custkey % 20 = 10
+SELECT o_custkey, o_orderkey, 2 * o_totalprice FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY') AND o_orderpriority = '1-URGENT'
 """
 
 
 def _replaced(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
-    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority")
+    columns = ["o_custkey", "o_orderkey", "o_totalprice"]
     path, buckets = scratch_path(spark, "orders"), 16
-    stage_bucketed(orders, buckets, "o_custkey").write.partitionBy("athlete_bucket").parquet(path)
-    keys = orders.filter("o_custkey % 10 = 0")
-    new = orders.filter("o_custkey % 20 = 10").withColumn("o_totalprice", 2 * F.col("o_totalprice"))
+    stage_bucketed(orders.select(columns), buckets, "o_custkey").write.partitionBy("athlete_bucket").parquet(path)
+    keys = table(spark, sf, "customer").filter("c_mktsegment = 'MACHINERY'")
+    keys = keys.select(F.col("c_custkey").alias("o_custkey"))
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").join(broadcast_if_small(keys), "o_custkey", "left_semi")
+    new = urgent.withColumn("o_totalprice", 2 * F.col("o_totalprice")).select(columns)
     return path, replace_by_key(path, new, keys, buckets, on=("o_custkey",))
 
 
 @query(_REPLACED_SQL)
 def replace_by_key_state(spark: SparkSession, sf: str) -> DataFrame:
-    """A tenth of the customers replaced; half of those have no new rows."""
+    """Machinery customers replaced by their urgent orders; those without any end up gone."""
     path, _ = _replaced(spark, sf)
     return spark.read.parquet(path).drop("athlete_bucket")
 
 
 @query(
     """
-SELECT count(*) FILTER (WHERE o_custkey % 10 = 0) AS deleted, count(*) FILTER (WHERE o_custkey % 20 = 10) AS inserted
-FROM orders
+SELECT count(*) AS deleted, count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS inserted
+FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = 'MACHINERY'
 """
 )
 def replace_by_key_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -243,13 +249,15 @@ def replace_by_key_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
 WITH {VECTORS_SQL}, people AS (
-  SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS uid, lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS athlete_id
+  SELECT c_mktsegment <> 'BUILDING' AS linked, CAST(c_custkey AS VARCHAR) AS uid,
+    CASE WHEN c_custkey < 1000 THEN lpad(CAST(c_custkey AS VARCHAR), 4, '0') ELSE CAST(c_custkey AS VARCHAR) END
+      AS athlete_id
   FROM customer
 ), per_athlete AS (SELECT athlete_id, count(*) AS n FROM docs GROUP BY athlete_id)
-SELECT uid, CASE WHEN c_custkey % 5 <> 0 THEN athlete_id END AS athlete_id,
-  CASE WHEN c_custkey % 5 <> 0 THEN coalesce(n, 0) ELSE 0 END AS succeeded, CAST(0 AS BIGINT) AS failed,
-  CASE WHEN c_custkey % 5 <> 0 THEN 'SUCCESS' ELSE 'FAILURE' END AS status,
-  CASE WHEN c_custkey % 5 = 0 THEN 'missing_athlete_id' END AS reason
+SELECT uid, CASE WHEN linked THEN athlete_id END AS athlete_id,
+  CASE WHEN linked THEN coalesce(n, 0) ELSE 0 END AS succeeded, CAST(0 AS BIGINT) AS failed,
+  CASE WHEN linked THEN 'SUCCESS' ELSE 'FAILURE' END AS status,
+  CASE WHEN NOT linked THEN 'missing_athlete_id' END AS reason
 FROM people LEFT JOIN per_athlete USING (athlete_id)
 """
 )
@@ -258,12 +266,13 @@ def all_athletes(spark: SparkSession, sf: str) -> DataFrame:
     root = _landed(spark, vector_documents(spark, sf))
     uid = F.col("c_custkey").cast("string").alias("uid")
     customers = table(spark, sf, "customer")
+    padded = F.when(F.col("c_custkey") < 1000, F.format_string("%04d", "c_custkey")).otherwise(
+        F.col("c_custkey").cast("string")
+    )
     connections = customers.select(
         uid,
         F.lit("strava").alias("source"),
-        F.struct(
-            F.when(F.col("c_custkey") % 5 != 0, F.lpad(F.col("c_custkey").cast("string"), 4, "0")).alias("id")
-        ).alias("athlete"),
+        F.struct(F.when(F.col("c_mktsegment") != "BUILDING", padded).alias("id")).alias("athlete"),
     )
     return run_all(_tables(spark), root, customers.select(uid), connections, LOADED_AT, layout="packed")
 
