@@ -43,6 +43,9 @@ SILVER_MEASURES = {
     "watts": ("watts", "data"),
 }
 
+# Slices a channel's documents are gathered in, so that no channel is one task.
+SLICES = 16
+
 DOCUMENT_KEY = ("athlete_id", "channel", "activity_id")
 SAMPLE_KEY = ("athlete_id", "activity_id", "index")
 

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from pacegrid.functions.columns import decoded, number_of
 from pacegrid.functions.schemas import ACTIVITY_SCHEMA, ATHLETE_SCHEMA, RAW_ACTIVITY, RAW_ATHLETE
-from pacegrid.model import DOCUMENT_CHANNELS, DOCUMENT_KEY, FLAG_CHANNEL, PAIR_CHANNEL, SAMPLE_CHANNELS
+from pacegrid.model import (
+    DOCUMENT_CHANNELS,
+    DOCUMENT_KEY,
+    FLAG_CHANNEL,
+    PAIR_CHANNEL,
+    SAMPLE_CHANNELS,
+    SLICES,
+)
 from pacegrid.operators import reshape
 from pacegrid.operators.alignment import athlete_slice
 from pacegrid.operators.incremental import skip_processed
@@ -20,7 +27,6 @@ from pacegrid.sources import landing
 from pacegrid.sources.tables import SAMPLES_SCHEMA, Tables
 
 _CORRUPT = "_corrupt"
-SLICES = 16
 _OBJECTS = {
     "activity": (RAW_ACTIVITY, ACTIVITY_SCHEMA, "activity_id"),
     "athlete_summary": (RAW_ATHLETE, ATHLETE_SCHEMA, "athlete_id"),

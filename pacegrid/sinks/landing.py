@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacegrid.model import DOCUMENT_KEY
+from pacegrid.model import DOCUMENT_KEY, SLICES
 from pacegrid.sources.landing import batch_name
 
 
@@ -21,12 +21,14 @@ def land_raw(documents: DataFrame, root: str, at: datetime) -> None:
     """Write documents as JSON lines below `channel=C/landed=T/`.
 
     Many documents share a file: one file each would mean billions of tiny files. The
-    rebalance gathers a channel's lines and still splits a channel that is large.
+    rebalance gathers a channel's lines in a few slices and splits a slice that is large.
     """
     (
         documents.select(*DOCUMENT_KEY, "document")
         .withColumn("landed", F.lit(batch_name(at)))
-        .hint("rebalance", "channel")
+        .withColumn("_slice", F.pmod(F.xxhash64("activity_id"), F.lit(SLICES)))
+        .hint("rebalance", "channel", "_slice")
+        .drop("_slice")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("channel", "landed")
