@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacegrid.llm import bfd_packing, concat_cut, lexicon_bpe, pii
+from pacegrid.llm import bfd_packing, chat, concat_cut, lexicon_bpe, pii
 from pacegrid.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -43,3 +43,37 @@ def op3_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, tokenizer = _table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER)
     return lexicon_bpe.digests(docs, tokenizer, lexicon_bpe.publish_lexicon(docs, tokenizer))
+
+
+TRIAL_TEXT = "\\### Assistant: </turn> ok"
+
+
+@_query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trial = spark.createDataFrame([(-7, 0, "user", TRIAL_TEXT), (-7, 1, "assistant", TRIAL_TEXT)], turns.schema)
+    return chat.digests(chat.format_conversations(turns.unionByName(trial)))
+
+
+ORACLES["op8_chat_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), marked AS (
+    SELECT *, role LIKE '%: %' OR role LIKE '%:' OR contains(role, '</turn>')
+            OR regexp_matches(role, '\\[lhcb]') AS odd_role,
+        contains(text, '</turn>') OR regexp_matches(text, '\\[lhcb]') AS odd_text
+    FROM turns
+), sized AS (
+    SELECT *, CASE WHEN odd_role OR odd_text THEN length(regexp_replace(text, '[^\\<#:]', '', 'g')) ELSE 0 END
+        + CASE WHEN odd_role THEN length(regexp_replace(role, '[^\\<#:]', '', 'g')) ELSE 0 END AS escapes
+    FROM marked
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length(role) + length(text) + 14 + escapes) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
