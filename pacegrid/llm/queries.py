@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacegrid.llm import bfd_packing, chat, concat_cut, lexicon_bpe, pii
+from pacegrid.llm import bfd_packing, chat, concat_cut, language, lexicon_bpe, pii, rule_quality
 from pacegrid.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -77,3 +77,15 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(length(role) + length(text) + 14 + escapes) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+@_query
+def op5_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return rule_quality.scored(docs, rule_quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.identified(docs, language.fit(docs))
