@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacegrid.llm import bfd_packing, chat, concat_cut, language, lexicon_bpe, pii, rule_quality
+from pacegrid.llm import bfd_packing, chat, concat_cut, language, lexicon_bpe, pii, pivot_search, rule_quality, subspace_join
 from pacegrid.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,52 @@ def op5_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return language.identified(docs, language.fit(docs))
+
+
+@_query
+def op6_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_k(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
+ORACLES["op6_pivot_search"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@_query
+def op7_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op7_subspace_join"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND label IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+        ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reached AS (
+    SELECT vec_id AS node, vec_id AS seen FROM embeddings
+    UNION SELECT reached.node, links.b FROM reached JOIN links ON links.a = reached.seen
+), smallest AS (
+    SELECT node, min(seen) AS component_id FROM reached GROUP BY node
+), counted AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, s.component_id, e.vec_id = s.component_id AS kept
+FROM embeddings e JOIN smallest s ON s.node = e.vec_id LEFT JOIN counted c ON c.a = e.vec_id
+"""
