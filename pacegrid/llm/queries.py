@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacegrid.llm import bfd_packing, chat, concat_cut, language, lexicon_bpe, pii, pivot_search, rule_quality, subspace_join
+from pacegrid.llm import bfd_packing, chat, chosen_path, concat_cut, language, lexicon_bpe, pii, pivot_search, rule_quality, subspace_join
 from pacegrid.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -138,3 +138,8 @@ WITH RECURSIVE usable AS (
 SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, s.component_id, e.vec_id = s.component_id AS kept
 FROM embeddings e JOIN smallest s ON s.node = e.vec_id LEFT JOIN counted c ON c.a = e.vec_id
 """
+
+
+@_query
+def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.jaccard_join(_table(spark, sf_dir, "documents"))

@@ -147,3 +147,20 @@ def components(edges: DataFrame) -> DataFrame:
             break
     stars = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+
+
+def linked_classes(members: DataFrame, reps: DataFrame, linked: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(member, n_links, component) of every member, and the staged tables behind it.
+
+    `members` (member, rep) says whose copy a member is, `reps` (rep, weight) how many copies
+    there are, `linked` (rep, links, reached) what single tiles have found: the copies that a
+    representative is linked with, and the smallest representative it reaches.
+    """
+    joined = components(linked.select(F.col("rep").alias("a"), F.col("reached").alias("b")))
+    links = linked.groupBy("rep").agg(F.sum("links").alias("links"))
+    told = reps.select("rep", "weight").join(links, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    told = told.select(
+        "rep", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component")
+    )
+    told, path = staged(told, "classes")
+    return members.join(told, "rep").select("member", "n_links", "component"), [path]

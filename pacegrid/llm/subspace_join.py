@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.llm.pivot_search import finite
-from pacegrid.llm.stages import components, remove, sorted_groups, staged, tile_count, with_tiles
+from pacegrid.llm.stages import linked_classes, remove, sorted_groups, staged, tile_count, with_tiles
 
 COSINE = 0.93
 BLOCKS = 4
@@ -195,15 +195,11 @@ def near_duplicates(
             )
 
     linked, linked_path = staged(dealt.mapInArrow(verify, "rep long, links long, reached long"), "linked")
-    joined = components(linked.select(F.col("rep").alias("a"), F.col("reached").alias("b")))
-    links = linked.groupBy("rep").agg(F.sum("links").alias("links"))
-    told = reps.select("rep", "weight").join(links, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    told = told.select("rep", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    told, told_path = staged(told, "told")
-    each = members.join(told, "rep").select("vec_id", "n_links", "component_id")
+    each, classes_paths = linked_classes(members.withColumnRenamed("vec_id", "member"), reps, linked)
+    each = each.select(F.col("member").alias("vec_id"), "n_links", F.col("component").alias("component_id"))
     alone = rows.where("vector IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     unnamed = vectors.where(F.col(id_column).isNull()).select(*[F.lit(None).cast("long").alias(c) for c in ("vec_id", "n_links", "component_id")])
     every = each.unionByName(alone).unionByName(unnamed.withColumn("n_links", F.lit(0).cast("long")))
     result, _ = staged(every.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))), "near")
-    remove(spark, rows_path, reps_path, placed_path, directory_path, linked_path, told_path)
+    remove(spark, rows_path, reps_path, placed_path, directory_path, linked_path, *classes_paths)
     return result
