@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacegrid.llm.stages import linked_classes, remove, sorted_groups, staged, text_slices, tile_count, with_tiles
+from pacegrid.llm.stages import kept, linked_classes, remove, scan_parts, sorted_groups, staged, text_slices, tile_count, with_tiles
 from pacegrid.llm.subspace_join import mixed, smallest_reached
 
 WORDS = 5
@@ -161,8 +161,8 @@ def branch(rows: DataFrame, branches: int) -> DataFrame:
     return rows.select("path", "rep", "above", "minima").mapInArrow(paths, "path long, rep long, above long")
 
 
-def final_buckets(reps: DataFrame, runs: int, branches: int) -> tuple[DataFrame, list[str]]:
-    """(path, rep, n) of all final buckets with two sets or more, and the staged tables they lie in.
+def final_buckets(reps: DataFrame, runs: int, branches: int, files: int) -> tuple[DataFrame, str]:
+    """(path, rep, n) of all final buckets with two sets or more, staged, and where.
 
     A bucket is final when it is small, at the last depth, or holds more than half of the
     bucket it comes from: splitting on sampled tokens then doesn't thin it out.
@@ -170,22 +170,24 @@ def final_buckets(reps: DataFrame, runs: int, branches: int) -> tuple[DataFrame,
     roots = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(runs).cast("long")))
     rows = reps.select("rep", "minima").withColumn("path", roots).withColumn("above", F.lit((1 << 62)).cast("long"))
     found: DataFrame | None = None
-    paths: list[str] = []
+    held: list[DataFrame] = []
     for depth in range(1, DEPTH + 1):
-        split, split_path = staged(branch(rows, branches), "split")
-        sizes, sizes_path = staged(split.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket-sizes")
+        split = kept(branch(rows, branches))
+        sizes = split.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         last = F.lit(depth == DEPTH)
         final = last | (F.col("n") <= BUCKET_ROWS) | (2 * F.col("n") > F.col("above"))
-        level, level_path = staged(split.join(sizes, "path").withColumn("final", final), "buckets")
-        remove(split.sparkSession, split_path, sizes_path)
-        paths.append(level_path)
+        level = kept(split.join(sizes, "path").withColumn("final", final))
+        held += [split, level]
         done = level.where("final").select("path", "rep", "n")
         found = done if found is None else found.unionByName(done)
         large = level.where("NOT final")
-        if large.isEmpty():
+        if not large.count():
             break
         rows = large.select("path", "rep", F.col("n").alias("above")).join(reps.select("rep", "minima"), "rep")
-    return found, paths
+    buckets, path = staged(found.distinct(), "buckets", files)
+    for frame in held:
+        frame.unpersist()
+    return buckets, path
 
 
 def agreeing(low: np.ndarray, start: int, stop: int) -> np.ndarray:
@@ -269,17 +271,18 @@ def jaccard_join(
     named = narrow.where("doc_id IS NOT NULL")
     runs = runs_for(recall, jaccard)
     one = sketches(named, words).groupBy("doc_id").agg(F.max(F.struct("print", "size", "minima")).alias("s"))
-    prints, prints_path = staged(one.select("doc_id", "s.*"), "sketches")
+    files = scan_parts(narrow)
+    prints, prints_path = staged(one.select("doc_id", "s.*"), "sketches", files)
     full = prints.where("size > 0").groupBy("print")
     reps, reps_path = staged(
-        full.agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min("size").alias("size"), F.min("minima").alias("minima")), "sets"
+        full.agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min("size").alias("size"), F.min("minima").alias("minima")), "sets", files
     )
     members = prints.where("size > 0").join(reps.select("print", "rep"), "print").select(F.col("doc_id").alias("member"), "rep")
-    buckets, bucket_paths = final_buckets(reps, runs, BRANCHES)
+    buckets, buckets_path = final_buckets(reps, runs, BRANCHES, files)
     paths = buckets.groupBy("rep").agg(F.sort_array(F.collect_set("path")).alias("paths"))
-    known, known_path = staged(reps.join(paths, "rep"), "paths")
+    known = kept(reps.join(paths, "rep"))
     keys = ["path", "tile_lo", "tile_hi"]
-    placed = with_tiles(buckets.select("path", "rep", "n").distinct(), tile_count(F.col("n"), CHUNK_ROWS), F.col("rep")).select(*keys, "chunk", "rep")
+    placed = with_tiles(buckets, tile_count(F.col("n"), CHUNK_ROWS), F.col("rep")).select(*keys, "chunk", "rep")
     dealt = placed.join(known.select("rep", "size", "minima", "paths"), "rep").repartition(*keys).sortWithinPartitions(*keys, "rep")
 
     def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,9 +292,9 @@ def jaccard_join(
                 some = np.union1d(first, second)
                 yield tile.select([*keys, "chunk", "rep"]).take(some).combine_chunks().to_batches()[0]
 
-    likely, likely_path = staged(dealt.mapInArrow(screen, placed.schema), "candidates")
+    likely, likely_path = staged(dealt.mapInArrow(screen, placed.schema), "candidates", files)
     likely = likely.join(known, "rep")
-    wanted, wanted_path = staged(likely.select(F.col("rep").alias("doc_id"), "print").distinct(), "wanted")
+    wanted, wanted_path = staged(likely.select(F.col("rep").alias("doc_id"), "print").distinct(), "wanted", files)
     texts = named.join(wanted.select("doc_id"), "doc_id", "left_semi")
     sets = item_sets(texts, words)
     full_rows = likely.join(sets, ["rep", "print"]).drop("print").repartition(*keys).sortWithinPartitions(*keys, "rep")
@@ -314,14 +317,15 @@ def jaccard_join(
                 [pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(reached[some])], names=["rep", "links", "reached"]
             )
 
-    linked, linked_path = staged(full_rows.mapInArrow(verify, "rep long, links long, reached long"), "linked")
+    linked, linked_path = staged(full_rows.mapInArrow(verify, "rep long, links long, reached long"), "linked", files)
     each, classes_paths = linked_classes(members, reps, linked)
     each = each.select(F.col("member").alias("doc_id"), "n_links", F.col("component").alias("component_id"))
     alone = prints.where("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
     unnamed = narrow.where("doc_id IS NULL").select("doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
     every = each.unionByName(alone).unionByName(unnamed)
-    result, _ = staged(every.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "near")
-    remove(spark, prints_path, reps_path, known_path, likely_path, wanted_path, linked_path, *bucket_paths, *classes_paths)
+    result, _ = staged(every.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "near", files)
+    known.unpersist()
+    remove(spark, prints_path, reps_path, buckets_path, likely_path, wanted_path, linked_path, *classes_paths)
     return result
 
 

@@ -8,29 +8,53 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacegrid.session import shared_dir
 
+ROWS_A_FILE = 500_000
+SCAN_BYTES = 16_000_000
+
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one, under the application's own id."""
     return f"{shared_dir(spark)}/pacegrid/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(frame: DataFrame, label: str) -> tuple[DataFrame, str]:
+def staged(frame: DataFrame, label: str, files: int | None = None) -> tuple[DataFrame, str]:
     """`frame` written to the shared folder and read back, with its path.
 
     The written table cuts the lineage: a lost executor costs the tasks it ran, not the
-    steps before. Catalyst also learns its real size, which decides later joins.
+    steps before. Catalyst also learns its real size, which decides later joins. `files`
+    bounds the number of files, so that small tables aren't scattered over tiny ones.
     """
     spark = frame.sparkSession
     path = new_path(spark, label)
-    frame.write.parquet(path)
+    (frame if files is None else frame.coalesce(files)).write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path), path
 
 
+def kept(frame: DataFrame) -> DataFrame:
+    """`frame` held on the executors' disks for its few next readers, with its lineage.
+
+    What is lost with an executor is computed again from the staged table it comes from.
+    """
+    return frame.persist(StorageLevel.DISK_ONLY)
+
+
+def files_for(frame: DataFrame, rows: int) -> int:
+    """Files for so many narrow rows: one for each ROWS_A_FILE, and one at least for each core."""
+    return max(frame.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_A_FILE))
+
+
+def scan_parts(frame: DataFrame) -> int:
+    """Partitions for a scan of `frame`: one for each SCAN_BYTES of files, two at least for each core."""
+    size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(2 * frame.sparkSession.sparkContext.defaultParallelism, -(-size // SCAN_BYTES))
+
+
 def put_file(spark: SparkSession, name: str, block: bytes) -> str:
     """`block` as one file in the shared folder; its path, which executors reach."""
     path = f"{new_path(spark, 'file')}/{name}"
@@ -124,22 +148,19 @@ def components(edges: DataFrame) -> DataFrame:
     a lost executor costs one round. The number of rounds grows with the logarithm of the
     longest chain. Loops and repeated edges are harmless; no edges give no rows.
     """
-    spark = edges.sparkSession
-    current, path = staged(edges.select("a", "b").where("a <> b").distinct(), "links")
+    spark, path = edges.sparkSession, None
+    current = edges.select("a", "b").where("a <> b").distinct()
+    files = max(1, -(-current.count() // ROWS_A_FILE))
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest, low_path = staged(both.groupBy("a").agg(F.min("b").alias("m")), "lowest")
-        lowest = lowest.select("a", F.least("a", "m").alias("m"))
-        large, large_path = staged(
-            both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(),
-            "large",
-        )
-        least, least_path = staged(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        small = (
-            large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        )
-        following, new = staged(small.where("a <> b").distinct(), "links")
-        remove(spark, path, low_path, large_path, least_path)
+        lowest, low_path = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "lowest", files)
+        larger = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large, large_path = staged(larger, "large", files)
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
+        following, new = staged(small, "links", files)
+        remove(spark, low_path, large_path, *([path] if path else []))
         current, path = following, new
         centres = current.select(F.col("b").alias("a")).distinct()
         done = current.join(centres, "a", "left_semi").isEmpty() and current.groupBy("a").count().where("count > 1").isEmpty()
@@ -162,5 +183,5 @@ def linked_classes(members: DataFrame, reps: DataFrame, linked: DataFrame) -> tu
     told = told.select(
         "rep", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component")
     )
-    told, path = staged(told, "classes")
+    told, path = staged(told, "classes", files_for(reps, reps.count()))
     return members.join(told, "rep").select("member", "n_links", "component"), [path]
