@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacegrid.llm.stages import staged
+from pacegrid.llm.stages import scan_parts, staged
 from pacegrid.llm.token_ids import each_document, encoding
 
 WINDOW = 2048
@@ -108,7 +108,7 @@ def pack_pieces(
     that Catalyst joins them by their real size and the ids need not move when they are few.
     """
     narrow = docs.selectExpr(f"cast(`{id_column}` as long) AS doc_id", f"`{text_column}` AS text")
-    local, _ = staged(localized(narrow, tokenizer, end_id), "token-ids")
+    local, _ = staged(localized(narrow.coalesce(scan_parts(narrow)), tokenizer, end_id), "token-ids")
     offsets, _ = staged(part_offsets(local.select("part", "n_tokens")), "part-offsets")
     whole = local.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     placed = local.join(offsets, "part").select(
