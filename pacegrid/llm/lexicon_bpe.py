@@ -22,15 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pacegrid.llm.stages import put_file, text_slices
+from pacegrid.llm.stages import put_file, remove, staged, text_slices
 from pacegrid.llm.token_ids import byte_of_symbol
 
 # Fixed value: the word pattern of the lower-cased vocabulary.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 END = "</w>"
-LEXICON_WORDS = 100_000
+LEXICON_WORDS = 250_000
 COUNT_WORDS = 300_000
-MEMO_WORDS = 200_000
+MEMO_WORDS = 400_000
+SHORT_WORD = 48
+NO_JOIN = (1 << 62, -1)
 #: Blocks whose letters, digits, spaces and cases are the same in every Unicode version in use;
 #: a text with any other character is split by the tokenizers library itself.
 STEADY = re.compile("[^\u0000-ԯ‐-⁞ぁ-ゖァ-ヺ一-龥가-힣]")
@@ -46,39 +48,60 @@ class Merges:
             described = json.load(file)
         self.vocabulary: dict[str, int] = described["model"]["vocab"]
         self.tokens = {number: token for token, number in self.vocabulary.items()}
-        self.ranks = {tuple(pair if isinstance(pair, list) else pair.split(" ")): rank for rank, pair in enumerate(described["model"]["merges"])}
+        self.joins: dict[tuple[int, int], tuple[int, int]] = {}  # pair of ids -> rank and id of both joined
+        for rank, pair in enumerate(described["model"]["merges"]):
+            left, right = pair if isinstance(pair, list) else pair.split(" ")
+            self.joins[self.vocabulary[left], self.vocabulary[right]] = (rank, self.vocabulary[left + right])
         self.added = {token["content"]: token["id"] for token in described["added_tokens"]}
         self.tokens |= {number: token for token, number in self.added.items()}
         self.special = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
-        self.symbol = {byte: char for char, byte in byte_of_symbol().items()}
+        symbol = {byte: char for char, byte in byte_of_symbol().items()}
+        self.inner = [self.vocabulary[symbol[b]] for b in range(256)]
+        self.last = [self.vocabulary[symbol[b] + END] for b in range(256)]
         self.library = Tokenizer.from_file(path)
 
-    def symbols(self, word: str) -> list[str]:
-        parts = [self.symbol[b] for b in word.encode()]
-        parts[-1] += END
+    def merge(self, word: str) -> list[int]:
+        """Ids of a word: again and again the pair of lowest rank is joined, the leftmost of equals."""
+        raw = word.encode()
+        parts = [self.inner[b] for b in raw]
+        parts[-1] = self.last[raw[-1]]
+        return self.merge_short(parts) if len(parts) <= SHORT_WORD else self.merge_long(parts)
+
+    def merge_short(self, parts: list[int]) -> list[int]:
+        find = self.joins.get
+        found = [find(pair, NO_JOIN) for pair in zip(parts, parts[1:])]
+        while found:
+            best = min(found)
+            if best is NO_JOIN:
+                break
+            at = found.index(best)
+            parts[at : at + 2] = [best[1]]
+            del found[at]
+            if at:
+                found[at - 1] = find((parts[at - 1], best[1]), NO_JOIN)
+            if at < len(found):
+                found[at] = find((best[1], parts[at + 1]), NO_JOIN)
         return parts
 
-    def merge(self, word: str) -> list[int]:
-        """Ids of a word: the pair of lowest rank first, the leftmost of equals, in a linked list."""
-        parts: list[str | None] = list(self.symbols(word))
+    def merge_long(self, parts: list[int]) -> list[int]:
+        """The same by a queue over a linked list, for words of any length."""
         size = len(parts)
-        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        queue = [(self.ranks[pair], i, pair) for i in range(size - 1) if (pair := (parts[i], parts[i + 1])) in self.ranks]
+        after, before, gone = list(range(1, size + 1)), list(range(-1, size - 1)), [False] * size
+        queue = [(join[0], i, pair) for i, pair in enumerate(zip(parts, parts[1:])) if (join := self.joins.get(pair))]
         heapq.heapify(queue)
         while queue:
             _, i, pair = heapq.heappop(queue)
-            j = after[i] if parts[i] is not None else size
+            j = size if gone[i] else after[i]
             if j >= size or (parts[i], parts[j]) != pair:
                 continue
-            parts[i], parts[j] = pair[0] + pair[1], None
-            after[i] = after[j]
+            parts[i], gone[j], after[i] = self.joins[pair][1], True, after[j]
             if after[i] < size:
                 before[after[i]] = i
             for left in (before[i], i):
                 right = after[left] if left >= 0 else size
-                if right < size and (made := (parts[left], parts[right])) in self.ranks:
-                    heapq.heappush(queue, (self.ranks[made], left, made))
-        return [self.vocabulary[part] for part in parts if part is not None]
+                if right < size and (join := self.joins.get((parts[left], parts[right]))):
+                    heapq.heappush(queue, (join[0], left, (parts[left], parts[right])))
+        return [part for part, out in zip(parts, gone) if not out]
 
     def words(self, text: str) -> list[str]:
         """Words of a whole text in order; added tokens stand as they are."""
@@ -229,15 +252,25 @@ def word_counts(docs: DataFrame, tokenizer: str, text_column: str = "text") -> D
 
 
 def publish_lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS, text_column: str = "text") -> str:
-    """Compile the `words` most frequent words of all texts; the name executors find the file by.
+    """Compile the most frequent words of all texts, `words` at most; the name executors find the file by.
+
+    Words that occur equally often are all in or all out, and those that occur once are out.
 
     The file is bounded by `words`, whatever the corpus. It lies in the shared folder; every
     executor fetches it once and its workers map it into memory. Added tokens are no words.
     """
     spark = docs.sparkSession
-    most = word_counts(docs, tokenizer, text_column).where(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(words)
+    counts, path = staged(word_counts(docs, tokenizer, text_column).where((F.col("n") > 1) & (F.length("word") <= 64)), "words")
+    held, least = 0, None
+    for row in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        held += row.words
+        if held > words:
+            break
+        least = row.n
+    most = [] if least is None else counts.where(F.col("n") >= least).select("word").collect()
+    remove(spark, path)
     added = merges(tokenizer).added
-    block = lexicon_bytes([row.word for row in most.select("word").collect() if row.word not in added], tokenizer)
+    block = lexicon_bytes([row.word for row in most if row.word not in added], tokenizer)
     name = f"lexicon-{uuid.uuid4().hex}.fst"
     spark.sparkContext.addFile(put_file(spark, name, block))
     return name
