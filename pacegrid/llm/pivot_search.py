@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pacegrid.llm.stages import remove, staged
+from pacegrid.llm.stages import files_for, remove, staged
 
 GRID = 1024
 PIVOTS, RINGS = 32, 8
@@ -145,7 +145,8 @@ def top_k(
     so that an annulus or a vector that is common spreads over many tasks.
     """
     spark = vectors.sparkSession
-    rows, rows_path = staged(gridded(vectors, grid, id_column, vector_column), "vectors")
+    files = files_for(vectors, 20 * vectors.count())  # a vector weighs as much as many narrow rows
+    rows, rows_path = staged(gridded(vectors, grid, id_column, vector_column), "vectors", files)
     sizes = rows.agg(F.max(F.size("vector")), F.max(F.array_max(F.transform("vector", F.abs)))).first()
     if sizes[0] is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -167,7 +168,7 @@ def top_k(
             columns = [batch.column("vec_id"), packed(held, kind), pa.array(pivot * rings + ring, pa.int32()), pa.array(least), pa.array(lengths(held))]
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "vector", "annulus", "distance", "norm"])
 
-    keyed, keyed_path = staged(rows.mapInArrow(key, "vec_id long, vector binary, annulus int, distance double, norm double"), "annuli")
+    keyed, keyed_path = staged(rows.mapInArrow(key, "vec_id long, vector binary, annulus int, distance double, norm double"), "annuli", files)
     bounds = (F.count(F.lit(1)).alias("n"), F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("norm").alias("norm"))
     listed = keyed.groupBy("annulus").agg(*bounds).orderBy("annulus").collect()  # at most pivots * rings rows
     numbers = np.array([r.annulus for r in listed], np.int64)
@@ -222,8 +223,8 @@ def top_k(
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     home = ranked(asked.withColumn("floor", F.lit(None).cast("long")), True)
-    floors, floors_path = staged(home.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor")), "floors")
+    floors, floors_path = staged(home.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor")), "floors", files)
     best = ranked(asked.join(floors, "vec_id", "left").select("vec_id", "vector", "floor"), False)
-    result, _ = staged(best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "top")
+    result, _ = staged(best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "top", files)
     remove(spark, rows_path, keyed_path, floors_path)
     return result

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.llm.pivot_search import finite
-from pacegrid.llm.stages import linked_classes, remove, sorted_groups, staged, tile_count, with_tiles
+from pacegrid.llm.stages import files_for, kept, linked_classes, remove, sorted_groups, staged, tile_count, with_tiles
 
 COSINE = 0.93
 BLOCKS = 4
@@ -148,9 +148,10 @@ def near_duplicates(
         F.when(F.coalesce(usable, F.lit(False)), F.struct(F.xxhash64(F.col(label_column)).alias("label"), plain.alias("vector"))).alias("held"),
     )
     named = rows.where("vec_id IS NOT NULL").groupBy("vec_id").agg(F.min("held").alias("held"))
-    rows, rows_path = staged(named.select("vec_id", "held.label", "held.vector"), "vectors")
+    files = files_for(vectors, 20 * vectors.count())  # a vector weighs as much as many narrow rows
+    rows, rows_path = staged(named.select("vec_id", "held.label", "held.vector"), "vectors", files)
     usable_rows = rows.where("vector IS NOT NULL")
-    reps, reps_path = staged(usable_rows.groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight")), "distinct")
+    reps, reps_path = staged(usable_rows.groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight")), "distinct", files)
     members = usable_rows.join(reps, ["label", "vector"]).select("vec_id", "rep")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,11 +168,11 @@ def near_duplicates(
                         names=["cell", "block", "visitor", "rep"],
                     )
 
-    placed, placed_path = staged(reps.select("rep", "label", "vector").mapInArrow(spread, _CELLS), "cells")
+    placed = kept(reps.select("rep", "label", "vector").mapInArrow(spread, _CELLS))
     count_of = lambda visiting: F.count(F.when(F.col("visitor") == visiting, 1))
     sizes = placed.groupBy("cell", "block").agg(count_of(False).alias("homes"), count_of(True).alias("visitors"))
     chunks = tile_count(F.greatest("homes", "visitors"), CHUNK_ROWS).alias("chunks")
-    directory, directory_path = staged(sizes.where("homes > 0 AND homes + visitors > 1").select("cell", "block", chunks), "cell-sizes")
+    directory, directory_path = staged(sizes.where("homes > 0 AND homes + visitors > 1").select("cell", "block", chunks), "cell-sizes", files)
     tiled = with_tiles(placed.join(directory, ["cell", "block"]), F.col("chunks"), F.col("rep"))
     keys = ["cell", "block", "tile_lo", "tile_hi"]
     dealt = tiled.join(reps.select("rep", "weight", "vector"), "rep").repartition(*keys).sortWithinPartitions(*keys)
@@ -194,12 +195,13 @@ def near_duplicates(
                 [pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(reached[some])], names=["rep", "links", "reached"]
             )
 
-    linked, linked_path = staged(dealt.mapInArrow(verify, "rep long, links long, reached long"), "linked")
+    linked, linked_path = staged(dealt.mapInArrow(verify, "rep long, links long, reached long"), "linked", files)
     each, classes_paths = linked_classes(members.withColumnRenamed("vec_id", "member"), reps, linked)
     each = each.select(F.col("member").alias("vec_id"), "n_links", F.col("component").alias("component_id"))
     alone = rows.where("vector IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     unnamed = vectors.where(F.col(id_column).isNull()).select(*[F.lit(None).cast("long").alias(c) for c in ("vec_id", "n_links", "component_id")])
     every = each.unionByName(alone).unionByName(unnamed.withColumn("n_links", F.lit(0).cast("long")))
-    result, _ = staged(every.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))), "near")
-    remove(spark, rows_path, reps_path, placed_path, directory_path, linked_path, *classes_paths)
+    result, _ = staged(every.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))), "near", files)
+    placed.unpersist()
+    remove(spark, rows_path, reps_path, directory_path, linked_path, *classes_paths)
     return result
