@@ -22,7 +22,7 @@ from pacegrid.llm.stages import files_for, kept, linked_classes, remove, sorted_
 
 COSINE = 0.93
 BLOCKS = 4
-CHUNK_ROWS = 512
+CHUNK_ROWS = 2_048
 SLACK = 1e-9
 
 _CELLS = "cell long, block int, visitor boolean, rep long"
