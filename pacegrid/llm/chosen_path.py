@@ -262,7 +262,8 @@ def jaccard_join(
     one document, its smallest text, and give one row. Other columns are not read; an empty
     table gives no rows.
 
-    Documents of one set are one representative with a weight, so copies cost nothing. Large
+    Texts are joined with ids by hashed shuffles at every size; they are neither sorted nor met by
+    a broadcast. Documents of one set are one representative with a weight, so copies cost nothing. Large
     final buckets are compared tile by tile; a tile gives one row per linked representative,
     never its pairs: the documents it is linked with, and the smallest one reached.
     """
@@ -295,7 +296,7 @@ def jaccard_join(
     likely, likely_path = staged(dealt.mapInArrow(screen, placed.schema), "candidates", files)
     likely = likely.join(known, "rep")
     wanted, wanted_path = staged(likely.select(F.col("rep").alias("doc_id"), "print").distinct(), "wanted", files)
-    texts = named.join(wanted.select("doc_id"), "doc_id", "left_semi")
+    texts = named.join(wanted.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
     sets = item_sets(texts, words)
     full_rows = likely.join(sets, ["rep", "print"]).drop("print").repartition(*keys).sortWithinPartitions(*keys, "rep")
 
@@ -333,4 +334,4 @@ def first_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """The rows of `docs` whose id is the smallest of its class, all columns kept."""
     classes = jaccard_join(docs, id_column=id_column, text_column=text_column, **how)
     dropped = classes.where("NOT kept").select(F.col("doc_id").alias(id_column))
-    return docs.join(dropped, id_column, "left_anti").select(docs.columns)
+    return docs.join(dropped.hint("shuffle_hash"), id_column, "left_anti").select(docs.columns)
