@@ -41,6 +41,12 @@ def number_of(text: Column) -> Column:
     )
 
 
+def whole_number(text: Column) -> Column:
+    """Number text as a long, also where it is written `178.0` or `1e3`; null for `1.5`."""
+    exact = text.try_cast("decimal(38,9)")
+    return F.coalesce(text.try_cast("long"), F.when(exact == F.floor(exact), exact.try_cast("long")))
+
+
 def first_of(pair: Column) -> Column:
     return F.get(pair, F.lit(0))
 

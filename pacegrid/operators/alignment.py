@@ -35,11 +35,10 @@ def _aggregated(samples: DataFrame, measures: dict[str, tuple[str, str]], driver
         F.bit_or(F.expr("shiftleft(1L, _channel)")).alias("_seen"),
         F.count(F.lit(1)).alias("_rows"),
     )
-    # A repeated (athlete, activity, index) in one channel has no single answer here.
+    # A repeated (athlete, activity, index) in one channel has no single answer: its index is
+    # null, which the check of required columns reports for that athlete alone.
     once = F.bit_count("_seen") == F.col("_rows")
-    checked = F.when(once, F.col("index")).otherwise(
-        F.raise_error(F.concat_ws(" ", F.lit("repeated sample"), *[F.col(k) for k in SAMPLE_KEY]))
-    )
+    checked = F.when(once, F.col("index"))
     has_driver = F.col("_seen").bitwiseAND(F.lit(1)) != 0
     return wide.filter(has_driver).withColumn("index", checked).drop("_seen", "_rows")
 
@@ -67,7 +66,7 @@ def align_channels(
 ) -> DataFrame:
     """One row per driver sample with every measure at the same athlete, activity, index.
 
-    `agg` costs one shuffle of the long table and raises on a repeated key. `join` is
+    `agg` costs one shuffle of the long table and gives a repeated key no index. `join` is
     the chain of left joins; repeated keys multiply rows there.
     """
     measures = SILVER_MEASURES if measures is None else measures

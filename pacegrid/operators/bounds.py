@@ -1,33 +1,15 @@
-"""Broadcast only what has been counted."""
+"""Rows of a scope."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-MAX_BROADCAST_ROWS = 200_000
-MAX_BROADCAST_BYTES = 32 << 20
 
 
-def broadcast_if_small(
-    frame: DataFrame, rows: int = MAX_BROADCAST_ROWS, size: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
-    """Broadcast `frame` when it is shown to hold at most `rows` rows and `size` bytes.
+def in_scope(frame: DataFrame, scope: DataFrame | None) -> DataFrame:
+    """Rows whose athlete, or athlete and activity, is in `scope`; None keeps all.
 
-    For narrow key frames; the look stops after `rows`. Beyond either bound the frame is
-    returned unhinted and the join shuffles.
+    A plain join: Catalyst broadcasts the scope if its real size allows it.
     """
-    width = reduce(add, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in frame.columns])
-    found = frame.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return F.broadcast(frame) if found[0] <= rows and found[1] <= size else frame
-
-
-def in_scope(frame: DataFrame, scope: DataFrame | None) -> DataFrame:
-    """Rows whose athlete, or athlete and activity, is in `scope`; None keeps all."""
     if scope is None:
         return frame
-    wanted = scope.distinct()
-    return frame.join(broadcast_if_small(wanted), scope.columns, "left_semi")
+    return frame.join(scope.distinct(), scope.columns, "left_semi")

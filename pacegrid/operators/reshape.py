@@ -112,6 +112,8 @@ def conform(
 ) -> DataFrame:
     """Project to the declared columns with `try_cast`; absent ones are null.
 
+    Text of a whole number is an integer however it is written.
+
     Adds `_violations`, the comma-joined names of columns whose value would not cast or
     that are required and null, empty when there are none. Undeclared columns go to the
     `extra` map as text, but for the `keep` columns, which pass unchanged.
@@ -122,6 +124,9 @@ def conform(
         name = _quoted(field.name)
         raw = name if field.name in given else "NULL"
         value = f"try_cast({raw} AS {field.dataType.simpleString()})"
+        if field.dataType == T.LongType() and given.get(field.name) == T.StringType():
+            exact = f"try_cast({raw} AS DECIMAL(38, 9))"  # `178.0` is a whole number, `1.5` isn't
+            value = f"coalesce({value}, IF({exact} = floor({exact}), try_cast({exact} AS BIGINT), NULL))"
         cast.append(f"{value} AS {name}")
         if not field.nullable:
             broken.append(f"IF({value} IS NULL, {_text(field.name)}, NULL)")

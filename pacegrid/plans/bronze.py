@@ -7,9 +7,10 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pacegrid.functions.columns import decoded, number_of
+from pacegrid.functions.columns import decoded, number_of, whole_number
 from pacegrid.functions.schemas import ACTIVITY_SCHEMA, ATHLETE_SCHEMA, RAW_ACTIVITY, RAW_ATHLETE
 from pacegrid.model import (
+    CHANNELS,
     DOCUMENT_CHANNELS,
     DOCUMENT_KEY,
     FLAG_CHANNEL,
@@ -22,7 +23,7 @@ from pacegrid.operators.alignment import athlete_slice
 from pacegrid.operators.incremental import skip_processed
 from pacegrid.operators.quality import load_status, without_empty_batches
 from pacegrid.session import scratch_path
-from pacegrid.sinks.tables import append_bronze, append_ledger
+from pacegrid.sinks.tables import append_bronze, append_ledger, new_batch
 from pacegrid.sources import landing
 from pacegrid.sources.tables import SAMPLES_SCHEMA, Tables
 
@@ -83,11 +84,15 @@ def parse_documents(documents: DataFrame) -> DataFrame:
         .otherwise(F.col("_numbers.data"))
     )
     count = F.coalesce(F.array_size(data), F.array_size("_pairs.data"), F.lit(0)).cast("long")
-    size = read("original_size").try_cast("long")
+    size = whole_number(read("original_size"))
+    keys = F.json_object_keys(value)
+    lacks_data = ~is_object & data.isNull() & F.col("_pairs.data").isNull() & ~F.coalesce(F.array_contains(keys, "data"), F.lit(False))
     bad_sample = F.exists("_texts.data", lambda x: x.isNotNull() & number_of(x).isNull())
     malformed = (is_pair & ~clean("_pairs")) | (mixed & ~clean("_texts"))
     reason = (
-        F.when(malformed, F.lit("malformed_json"))
+        F.when(~channel.isin(list(CHANNELS)), F.lit("unknown_channel"))
+        .when(malformed, F.lit("malformed_json"))
+        .when(lacks_data, F.lit("required:data"))
         .when(F.coalesce(bad_sample, F.lit(False)), F.lit("bad_value:data"))
         .when(read("original_size").isNotNull() & size.isNull(), F.lit("bad_value:original_size"))
         .when(is_plain & (count > 0) & read("series_type").isNull(), F.lit("required:series_type"))
@@ -211,8 +216,12 @@ def load_documents(
     ledger_empty: bool = True,
     transforms: dict | None = None,
     skip_known: bool = False,
+    isolate: bool = False,
 ) -> DataFrame:
-    """Write documents to bronze, then their ledger rows, as one batch.
+    """Write documents to bronze, then their ledger rows, as one batch of its own name.
+
+    Two loads never share a batch, also not with the same `at`. With `isolate` a document of
+    an unknown channel is a FAILURE of its own; otherwise it ends the load.
 
     Returns the batch's ledger rows with `reason`, read back from the stored stage.
     `ledger_empty=False` logs nothing for an athlete's channel whose documents are all
@@ -220,21 +229,23 @@ def load_documents(
     the ledger holds, for callers that have not done so and expect hardly any.
     """
     at = at or utc_now()
+    batch = new_batch(at)
     staged = stage_documents(documents)
-    landing.assert_known_channels(staged)
+    if not isolate:
+        landing.assert_known_channels(staged)
     if "landed" in documents.columns:
         staged = landing.latest_documents(staged)
     if skip_known:
         staged = skip_processed(staged, tables.ledger(), tables.source, few=True)
-    append_bronze(sample_rows(staged, at, transforms), tables, "samples", at)
+    append_bronze(sample_rows(staged, at, transforms), tables, "samples", batch)
     objects = {c: _stored(object_rows(staged, c, at, transforms)) for c in DOCUMENT_CHANNELS}
     for channel, rows in objects.items():
         good = rows.filter(object_reason().isNull())
-        append_bronze(good.drop("_violations", "_athlete", "_activity"), tables, channel, at)
+        append_bronze(good.drop("_violations", "_athlete", "_activity"), tables, channel, batch)
     entries = ledger_entries(staged, objects, tables.source)
     if not ledger_empty:
         entries = without_empty_batches(entries)
-    append_ledger(entries, tables, at)
+    append_ledger(entries, tables, at, batch)
     return entries
 
 
@@ -247,10 +258,12 @@ def fresh_documents(
     athletes: DataFrame | None = None,
     refresh_profiles: bool = False,
     landed_since: datetime | None = None,
+    isolate: bool = False,
 ) -> DataFrame:
     """Landed documents the ledger does not hold as loaded.
 
-    An unknown channel fails the run, also when channels are selected. With files, the
+    An unknown channel fails the run, also when channels are selected, unless `isolate` leaves
+    that to single documents. Athletes outside the set play no part with files. With files, the
     ledger is applied to paths and only the remaining files are opened. A sample is taken
     before the ledger is applied and may leave nothing new. `landed_since` leaves out
     directories of packed documents landed earlier, unread.
@@ -259,11 +272,13 @@ def fresh_documents(
         raise ValueError(f"Unknown layout: {layout}")
     as_files = layout == "files"
     if as_files:
-        listed = landing.list_files(tables.spark, root)
-        landing.assert_known_channels(listed)
+        listed = athlete_slice(landing.list_files(tables.spark, root), athletes)
+        if not isolate:
+            landing.assert_known_channels(listed)
         found = landing.named_files(listed)
     else:
-        landing.assert_known_channels(landing.packed_files(tables.spark, root))
+        if not isolate:
+            landing.assert_known_channels(landing.packed_files(tables.spark, root))
         found = landing.scan_packed(tables.spark, root, channels, landed_since)
     found = athlete_slice(landing.select_channels(found, channels), athletes)
     if sample is not None:
@@ -272,7 +287,7 @@ def fresh_documents(
     if refresh_profiles:
         profiles = found.filter(F.col("channel") == "athlete_summary")
         fresh = fresh.filter(F.col("channel") != "athlete_summary").unionByName(profiles)
-    return landing.read_files(fresh, root, channels) if as_files else fresh
+    return landing.read_files(fresh) if as_files else fresh
 
 
 def bronze_load(tables: Tables, root: str, at: datetime | None = None, **options) -> DataFrame:
@@ -281,4 +296,5 @@ def bronze_load(tables: Tables, root: str, at: datetime | None = None, **options
     Returns the batch's ledger rows.
     """
     writing = {k: options.pop(k) for k in ("ledger_empty", "transforms") if k in options}
+    writing["isolate"] = options.get("isolate", False)
     return load_documents(fresh_documents(tables, root, **options), tables, at, **writing)

@@ -78,7 +78,7 @@ def run_all(
     scanned = connection_scan(drop_keyless_users(users), connections, tables.source)
     valid, rejected = check_connections(scanned)
     linked = _kept(valid.select("uid", F.col("athlete.id").cast("string").alias("athlete_id")))
-    entries = full_run(tables, root, athletes=linked, at=at, **options)
+    entries = full_run(tables, root, athletes=linked, at=at, isolate=True, **options)
     states = linked.join(batch_status(entries), "athlete_id", "left").select(
         "uid",
         "athlete_id",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pacegrid.functions.schemas import SILVER_SCHEMA
 from pacegrid.operators.alignment import add_activity, align_channels, silver_projection
-from pacegrid.operators.bounds import broadcast_if_small, in_scope
+from pacegrid.operators.bounds import in_scope
 from pacegrid.operators.quality import check_required
 from pacegrid.operators.sql import sql_directory, sql_transform
 from pacegrid.plans.bronze import utc_now
@@ -83,8 +83,8 @@ def silver_refresh(
     """Rebuild silver rows of athletes, of one activity of theirs, or of given activities.
 
     What is replaced is exactly what is rebuilt: keys without samples end up without rows.
-    A key with a null in a required column keeps the rows stored before and is counted as
-    failed. Returns rows deleted and inserted and keys failed per table.
+    A key with a null in a required column, which a repeated sample gives too, keeps the rows
+    stored before and is counted as failed. Returns rows deleted and inserted and keys failed per table.
     """
     at = at or utc_now()
     builds = builds or {"aggregate_stream": aggregate_stream}
@@ -97,9 +97,9 @@ def silver_refresh(
             broken = check_required(rows, SILVER_SCHEMA, list(on)).select(*on).distinct()
             failed = broken.count()
             if failed:
-                keys = rows.select(*on).distinct() if scope is None else scope
-                small = broadcast_if_small(broken)
-                rows, keys = (f.join(small, list(on), "left_anti") for f in (rows, keys))
+                # A full refresh also drops athletes that are stored and have no samples any more.
+                keys = rows.select(*on).unionByName(tables.silver(table).select(*on)).distinct() if scope is None else scope
+                rows, keys = (f.join(broken, list(on), "left_anti") for f in (rows, keys))
         done = replace_by_key(tables.silver_path(table), rows, keys, tables.buckets, on, staged=True)
         reports.append(done.select(F.lit(table).alias("table"), "*", F.lit(failed).cast("long").alias("failed")))
     return reduce(DataFrame.unionByName, reports)

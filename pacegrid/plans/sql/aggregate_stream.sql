@@ -1,11 +1,12 @@
 -- One row per time sample with the other channels at the same index.
--- Expects each (athlete, activity, channel, index) once.
+-- A repeated (athlete, activity, channel, index) gets no index, which fails its athlete's check.
 WITH wide AS (
   SELECT
     athlete_id,
     activity_id,
     index,
     count_if(channel = 'time') AS beats,
+    count(*) = count(DISTINCT channel) AS once,
     max(data) FILTER (WHERE channel = 'time') AS time,
     max(data) FILTER (WHERE channel = 'altitude') AS altitude,
     max(data) FILTER (WHERE channel = 'cadence') AS cadence,
@@ -28,7 +29,7 @@ facts AS (
   GROUP BY athlete_id, activity_id
 )
 SELECT
-  w.index,
+  IF(w.once, w.index, NULL) AS index,
   w.time,
   w.altitude,
   w.cadence,

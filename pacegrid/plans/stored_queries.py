@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacegrid.model import CHANNELS, SILVER_MEASURES
-from pacegrid.operators.bounds import broadcast_if_small
 from pacegrid.operators.reshape import decode_document
 from pacegrid.plans.bronze import load_documents
 from pacegrid.plans.registry import query
@@ -224,7 +223,7 @@ def _replaced(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     stage_bucketed(orders.select(columns), buckets, "o_custkey").write.partitionBy("athlete_bucket").parquet(path)
     keys = table(spark, sf, "customer").filter("c_mktsegment = 'MACHINERY'")
     keys = keys.select(F.col("c_custkey").alias("o_custkey"))
-    urgent = orders.filter("o_orderpriority = '1-URGENT'").join(broadcast_if_small(keys), "o_custkey", "left_semi")
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").join(keys, "o_custkey", "left_semi")
     new = urgent.withColumn("o_totalprice", 2 * F.col("o_totalprice")).select(columns)
     return path, replace_by_key(path, new, keys, buckets, on=("o_custkey",))
 

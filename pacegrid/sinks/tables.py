@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 
 from pacegrid.functions.columns import bucket_of
 from pacegrid.functions.schemas import LEDGER_SCHEMA
-from pacegrid.operators.bounds import broadcast_if_small
 from pacegrid.session import scratch_path
 from pacegrid.sources.landing import batch_name
 from pacegrid.sources.tables import Tables, read_or_empty
@@ -17,31 +17,26 @@ from pacegrid.sources.tables import Tables, read_or_empty
 BUCKET = "athlete_bucket"
 
 
-def _append(rows: DataFrame, path: str, partitions: list[str]) -> None:
-    # A batch owns its partitions, so writing it again replaces them.
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+def new_batch(at: datetime) -> str:
+    """Name of one load: sortable by its time, and never that of another load."""
+    return f"{batch_name(at)}-{uuid.uuid4().hex}"
 
 
-def append_bronze(rows: DataFrame, tables: Tables, table: str, at: datetime) -> None:
-    """Append a batch to a bronze table. Repeating a batch leaves one copy of it."""
-    batch = rows.withColumn("batch", F.lit(batch_name(at)))
+def append_bronze(rows: DataFrame, tables: Tables, table: str, batch: str) -> None:
+    """Append a batch to a bronze table; no other load's partitions are touched."""
     partitions = ["channel", "batch"] if table == "samples" else ["batch"]
-    _append(batch, tables.bronze_path(table), partitions)
+    named = rows.withColumn("batch", F.lit(batch))
+    named.write.mode("append").partitionBy(*partitions).parquet(tables.bronze_path(table))
 
 
-def append_ledger(entries: DataFrame, tables: Tables, at: datetime) -> None:
+def append_ledger(entries: DataFrame, tables: Tables, at: datetime, batch: str) -> None:
     """Append a batch's ledger rows; this is what makes its bronze rows visible."""
     stamped = entries.withColumn("bq_insert_timestamp", F.lit(at).cast("timestamp"))
     rows = stamped.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA],
-        F.lit(batch_name(at)).alias("batch"),
+        F.lit(batch).alias("batch"),
     )
-    _append(rows, tables.ledger_path, ["batch"])
+    rows.write.mode("append").partitionBy("batch").parquet(tables.ledger_path)
 
 
 def _buckets(frame: DataFrame) -> list[int]:
@@ -97,7 +92,7 @@ def replace_by_key(
 
     replaced = stage_bucketed(keys.select(*on).distinct(), buckets, on[0])
     pairing = [*on, BUCKET]
-    wanted = broadcast_if_small(replaced)
+    wanted = replaced
     concerned = stored.filter(F.col(BUCKET).isin(_buckets(replaced)))
     hits = {
         r[0]: r[1]

@@ -15,16 +15,11 @@ from pyspark.sql import functions as F
 
 from pacegrid.functions.columns import path_activity, path_athlete, path_channel, path_part
 from pacegrid.model import CHANNELS, DOCUMENT_KEY
-from pacegrid.operators.bounds import broadcast_if_small
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 PACKED_SCHEMA = "athlete_id string, activity_id string, document string, channel string, landed string"
 DOCUMENT_SCHEMA = "athlete_id string, channel string, activity_id string, file_path string, value string"
 
-# Survivors of the ledger up to this many are opened by explicit path; beyond it the
-# tree is scanned once and joined to them. Bounds what the driver ever holds.
-MAX_EXPLICIT_PATHS = 20_000
-
 
 class UnknownChannel(ValueError):
     pass
@@ -58,11 +53,19 @@ def _tree(root: str, channels: list[str] | None) -> str:
     return f"{root}/athlete_id=*/{{{','.join(sorted(channels))}}}"
 
 
+def assert_root(spark: SparkSession, root: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        raise FileNotFoundError(f"No landing root: {root}")
+
+
 def list_files(spark: SparkSession, root: str, channels: list[str] | None = None) -> DataFrame:
     """Identity and path of every document file; contents are not read.
 
-    A channel list narrows the listing itself. Channels without a directory are absent.
+    A channel list narrows the listing itself. Channels without a directory are absent; a
+    root that doesn't exist is an error.
     """
+    assert_root(spark, root)
     try:
         return with_identity(_binary_files(spark, _tree(root, channels)).select("path"))
     except AnalysisException as error:
@@ -71,23 +74,24 @@ def list_files(spark: SparkSession, root: str, channels: list[str] | None = None
         return spark.createDataFrame([], DOCUMENT_SCHEMA).drop("value")
 
 
-def read_files(files: DataFrame, root: str, channels: list[str] | None = None) -> DataFrame:
-    """Contents of the listed files."""
+def read_files(files: DataFrame) -> DataFrame:
+    """Contents of the listed files, and of no others, however many there are.
+
+    The driver names the paths to the scan. They are part of the listing, which Spark's file
+    index holds on the driver anyway.
+    """
     spark = files.sparkSession
-    paths = [r[0] for r in files.select("file_path").limit(MAX_EXPLICIT_PATHS + 1).collect()]
+    paths = [r[0] for r in files.select("file_path").toLocalIterator()]
     if not paths:
         return spark.createDataFrame([], DOCUMENT_SCHEMA)
-    few = len(paths) <= MAX_EXPLICIT_PATHS
-    contents = with_identity(
-        _binary_files(spark, paths if few else _tree(root, channels)).select("path", "content")
-    ).select(*DOCUMENT_KEY, "file_path", F.col("content").cast("string").alias("value"))
-    if few:
-        return contents
-    return contents.join(files.select("file_path"), "file_path", "left_semi").select(contents.columns)
+    return with_identity(_binary_files(spark, paths).select("path", "content")).select(
+        *DOCUMENT_KEY, "file_path", F.col("content").cast("string").alias("value")
+    )
 
 
 def scan_files(spark: SparkSession, root: str, channels: list[str] | None = None) -> DataFrame:
     """Every document with its text, as one lazy scan."""
+    assert_root(spark, root)
     try:
         files = _binary_files(spark, _tree(root, channels))
     except AnalysisException as error:
@@ -137,11 +141,9 @@ def latest_documents(staged: DataFrame) -> DataFrame:
     key = list(DOCUMENT_KEY)
     counted = staged.groupBy(*key).agg(F.count(F.lit(1)).alias("_times"))
     repeated = counted.filter(F.col("_times") > 1).select(*key)
-    if repeated.isEmpty():
-        return staged
-    copies = staged.select(*key, "landed", "doc_no").join(broadcast_if_small(repeated), key, "left_semi")
+    copies = staged.select(*key, "landed", "doc_no").join(repeated, key, "left_semi")
     last = copies.groupBy(*key).agg(F.max(F.struct("landed", "doc_no"))["doc_no"].alias("_last"))
-    marked = staged.join(broadcast_if_small(last), key, "left")
+    marked = staged.join(last, key, "left")
     kept = marked.filter(F.col("_last").isNull() | (F.col("_last") == F.col("doc_no")))
     return kept.select(*staged.columns)
 
@@ -155,7 +157,7 @@ def discover_channels(files: DataFrame) -> DataFrame:
 def assert_known_channels(files: DataFrame) -> None:
     """Fail the run on a channel directory outside the fixed list."""
     found = discover_channels(files.filter(F.col("channel").isNotNull())).filter(~F.col("known"))
-    names = [r[0] for r in found.select("channel").limit(20).collect()]
+    names = [r[0] for r in found.select("channel").collect()]
     if names:
         raise UnknownChannel(f"Unknown channels: {', '.join(sorted(names))}")
 

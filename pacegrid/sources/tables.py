@@ -17,10 +17,7 @@ from pyspark.sql import types as T
 from pacegrid.functions.schemas import ACTIVITY_SCHEMA, ATHLETE_SCHEMA, LEDGER_SCHEMA, SILVER_SCHEMA
 from pacegrid.functions.schemas import schema_for_channel
 from pacegrid.model import DOCUMENT_CHANNELS, SAMPLE_CHANNELS, source_name
-from pacegrid.operators.bounds import broadcast_if_small, in_scope
-
-# Batches named in a plan at most; beyond it the batch list is joined instead.
-MAX_BATCH_LIST = 5_000
+from pacegrid.operators.bounds import in_scope
 
 EXTRA = T.StructField("_extra", T.MapType(T.StringType(), T.StringType()))
 BATCH = T.StructField("batch", T.StringType())
@@ -93,12 +90,9 @@ class Tables:
     def _published(self, frame: DataFrame, scope: DataFrame | None) -> DataFrame:
         entries = self._ledger_batches()
         if scope is not None:
-            entries = entries.join(broadcast_if_small(scope), scope.columns, "left_semi")
-        batches = entries.select("batch").distinct()
-        names = [r[0] for r in batches.limit(MAX_BATCH_LIST + 1).collect()]
-        if len(names) > MAX_BATCH_LIST:
-            return frame.join(batches, "batch", "left_semi")
-        return frame.filter(F.col("batch").isin(names))
+            entries = entries.join(scope, scope.columns, "left_semi")
+        # Lazy, and by the partition column: dynamic pruning opens the batches it names.
+        return frame.join(entries.select("batch").distinct(), "batch", "left_semi")
 
     def samples(self, scope: DataFrame | None = None) -> DataFrame:
         """All sample channels as one long table.

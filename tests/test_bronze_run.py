@@ -1,3 +1,5 @@
+from datetime import datetime, timezone
+
 import pytest
 
 from pacegrid.plans.bronze import bronze_load, parse_documents
@@ -84,13 +86,48 @@ def test_path_without_activity_is_reported(spark, root):
     assert landing.named_files(listed).count() == 9
 
 
-def test_many_survivors_use_one_scan(spark, root, monkeypatch):
-    files = landing.list_files(spark, root)
-    wanted = files.filter("channel = 'heartrate'")
-    few = rows(landing.read_files(wanted, root))
-    monkeypatch.setattr(landing, "MAX_EXPLICIT_PATHS", 1)
-    assert rows(landing.read_files(wanted, root)) == few
-    assert rows(landing.read_files(wanted, root, ["heartrate"])) == few
+def test_only_listed_files_are_opened(spark, root):
+    wanted = landing.list_files(spark, root).filter("channel = 'heartrate'")
+    read = landing.read_files(wanted)
+    assert sorted(f.rsplit("/", 2)[1] for f in read.inputFiles()) == ["heartrate"] * wanted.count()
+
+
+def test_missing_root_is_an_error_and_an_empty_one_is_not(spark, tables, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        bronze_load(tables, str(tmp_path / "nowhere"))
+    (tmp_path / "empty").mkdir()
+    assert bronze_load(tables, str(tmp_path / "empty")).isEmpty()
+
+
+def test_loads_with_the_same_time_keep_each_other(tables, tmp_path):
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    root = tmp_path / "raw"
+    put(root, "1", "time", 1, samples([1, 2]))
+    put(root, "1", "heartrate", 1, samples([90]))
+    bronze_load(tables, str(root), at=at)
+    put(root, "1", "time", 2, samples([3]))
+    bronze_load(tables, str(root), at=at)
+    bronze_load(tables, str(root), at=at)
+    assert rows(tables.samples(), "channel", "activity_id", "index") == [
+        ("heartrate", "1", 1), ("time", "1", 1), ("time", "1", 2), ("time", "2", 1)
+    ]
+    assert len(ledger_of(tables)) == 3
+
+
+def test_ordinary_bodies_get_their_status(tables, tmp_path):
+    root = tmp_path / "raw"
+    put(root, "1", "watts", 1, {"message": "Rate Limit Exceeded"})
+    put(root, "1", "latlng", 2, {})
+    put(root, "1", "watts", 3, {"data": None})
+    put(root, "1", "watts", 4, {"data": [7], "original_size": 1.0, "series_type": "time"})
+    put(root, "1", "activity", 5, '{"id": 5, "athlete": {"id": "1"}, "max_heartrate": 178.0, "upload_id": 1.2e10, "suffer_score": 82.0}')
+    put(root, "1", "activity", 6, '{"id": 6, "athlete": {"id": "1"}, "max_heartrate": 1.5}')
+    entries = bronze_load(tables, str(root))
+    assert rows(entries, "activity_id", "status", "reason") == [
+        ("1", "FAILURE", "required:data"), ("2", "FAILURE", "required:data"), ("3", "SUCCESS", None),
+        ("4", "SUCCESS", None), ("5", "SUCCESS", None), ("6", "FAILURE", "max_heartrate"),
+    ]
+    assert rows(tables.bronze("activity"), "max_heartrate", "upload_id", "suffer_score") == [(178, 12_000_000_000, 82)]
 
 
 def test_reference_mode_logs_no_empty_batch(tables, tmp_path):

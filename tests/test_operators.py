@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pacegrid.functions import columns as C
 from pacegrid.operators import alignment, incremental, keyed, quality, reshape
-from pacegrid.operators.bounds import broadcast_if_small
 from pacegrid.operators.indexing import positional_index
 from pacegrid.operators.sql import sql_directory, sql_transform
 from pacegrid.functions.schemas import struct_from_fields
@@ -187,13 +186,12 @@ def test_both_forms_agree_on_random_samples(spark):
     assert agg.exceptAll(join).isEmpty() and join.exceptAll(agg).isEmpty()
 
 
-def test_repeated_sample_raises_in_agg_and_multiplies_in_join(spark):
+def test_repeated_sample_has_no_index_in_agg_and_multiplies_in_join(spark):
     frame = sample_frame(
         spark,
         [("a", "1", "time", 1, 0.0, None, None), ("a", "1", "heartrate", 1, 90.0, None, None), ("a", "1", "heartrate", 1, 91.0, None, None)],
     )
-    with pytest.raises(PySparkException, match="repeated sample a 1 1"):
-        alignment.align_channels(frame, measures=MEASURES).collect()
+    assert rows(alignment.align_channels(frame, measures=MEASURES), "athlete_id", "index") == [("a", None)]
     assert alignment.align_channels(frame, "join", measures=MEASURES).count() == 2
     assert rows(alignment.repeated_samples(frame), "channel", "copies") == [("heartrate", 2)]
 
@@ -210,10 +208,8 @@ def test_activity_dimension(spark):
     assert rows(alignment.add_activity(aligned, dim), "activity_id", "name", "sport_type") == [("1", "Ride", "Bike"), ("2", None, None)]
 
 
-def test_athlete_slice_beyond_the_broadcast_bound(spark):
+def test_athlete_slice(spark):
     many = spark.range(50).select(F.col("id").cast("string").alias("athlete_id"))
-    assert "broadcast" in str(broadcast_if_small(many)._jdf.queryExecution().logical()).lower()
-    assert broadcast_if_small(many, rows=10) is many and broadcast_if_small(many, size=20) is many
     frame = spark.createDataFrame([("1", "x"), ("99", "x"), ("2", "y")], "athlete_id string, activity_id string")
     assert rows(alignment.athlete_slice(frame, many)) == [("1", "x"), ("2", "y")]
     assert rows(alignment.athlete_slice(frame, many, "y")) == [("2", "y")]
