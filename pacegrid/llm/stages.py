@@ -50,9 +50,12 @@ def files_for(frame: DataFrame, rows: int) -> int:
 
 
 def scan_parts(frame: DataFrame) -> int:
-    """Partitions for a scan of `frame`: one for each SCAN_BYTES of files, two at least for each core."""
+    """Partitions for a scan of `frame`: one for each SCAN_BYTES of files, two at least for each core.
+
+    Only ever used to coalesce; a frame of unknown size keeps its partitions.
+    """
     size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(2 * frame.sparkSession.sparkContext.defaultParallelism, -(-size // SCAN_BYTES))
+    return min(1 << 30, max(2 * frame.sparkSession.sparkContext.defaultParallelism, -(-size // SCAN_BYTES)))
 
 
 def put_file(spark: SparkSession, name: str, block: bytes) -> str:
