@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pacegrid.model import CHANNELS, SILVER_MEASURES
 from pacegrid.operators.reshape import decode_document
+from pacegrid.plans import bronze
 from pacegrid.plans.bronze import load_documents
 from pacegrid.plans.registry import query
 from pacegrid.plans.runs import run_all
@@ -276,3 +277,45 @@ def all_athletes(spark: SparkSession, sf: str) -> DataFrame:
     return run_all(_tables(spark), root, customers.select(uid), connections, LOADED_AT, layout="packed")
 
 
+@query(f"WITH {VECTORS_SQL} SELECT * FROM samples")
+def load_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads with the same time, the second over everything: nothing is lost, nothing doubled."""
+    tables, documents = _tables(spark), vector_documents(spark, sf)
+    for part in (documents.filter("channel <> 'time'"), documents):
+        bronze.bronze_load(tables, _landed(spark, part), LOADED_AT, layout="packed")
+    return tables.samples().drop("metadata_insert_timestamp")
+
+
+@query(
+    """
+SELECT CAST(o_custkey AS VARCHAR) AS athlete_id, CAST(o_orderkey AS VARCHAR) AS activity_id, 'watts' AS data_stream,
+  CASE WHEN o_orderkey % 6 IN (0, 5) THEN 1 ELSE 0 END::BIGINT AS record_count,
+  CASE WHEN o_orderkey % 6 IN (0, 2) THEN 'SUCCESS' ELSE 'FAILURE' END AS status,
+  CASE o_orderkey % 6 WHEN 1 THEN 'required:data' WHEN 3 THEN 'required:data' WHEN 4 THEN 'malformed_json'
+    WHEN 5 THEN 'bad_value:original_size' END AS reason
+FROM orders
+"""
+)
+def load_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Ordinary and odd bodies, a kind per order: whole floats, no data, null data, empty, broken, a broken size.
+
+    The count is that of the samples the document holds, also where it fails.
+    """
+    kind, price = F.col("o_orderkey") % 6, F.col("o_totalprice").cast("string")
+    sized = lambda size: F.concat(F.lit('{"data":['), price, F.lit(f'],"original_size":{size},"series_type":"time"}}'))
+    body = (
+        F.when(kind == 0, sized("1.0"))
+        .when(kind == 1, F.lit('{"message":"Rate Limit Exceeded"}'))
+        .when(kind == 2, F.lit('{"data":null}'))
+        .when(kind == 3, F.lit("{}"))
+        .when(kind == 4, F.concat(F.lit('{"data":['), price))
+        .otherwise(sized("1.5"))
+    )
+    documents = table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("athlete_id"),
+        F.lit("watts").alias("channel"),
+        F.col("o_orderkey").cast("string").alias("activity_id"),
+        body.alias("document"),
+    )
+    entries = bronze.bronze_load(_tables(spark), _landed(spark, documents), LOADED_AT, layout="packed")
+    return entries.select("athlete_id", "activity_id", "data_stream", "record_count", "status", "reason")
