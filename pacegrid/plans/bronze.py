@@ -13,6 +13,7 @@ from pacegrid.model import (
     CHANNELS,
     DOCUMENT_CHANNELS,
     DOCUMENT_KEY,
+    FAILURE,
     FLAG_CHANNEL,
     PAIR_CHANNEL,
     SAMPLE_CHANNELS,
@@ -293,8 +294,18 @@ def fresh_documents(
 def bronze_load(tables: Tables, root: str, at: datetime | None = None, **options) -> DataFrame:
     """Load what is new below a landing root; see `fresh_documents` and `load_documents`.
 
-    Returns the batch's ledger rows.
+    Returns the batch's ledger rows, and a FAILURE for every file whose path names no
+    athlete, activity or channel; those have no ids and aren't in the stored ledger.
     """
     writing = {k: options.pop(k) for k in ("ledger_empty", "transforms") if k in options}
     writing["isolate"] = options.get("isolate", False)
-    return load_documents(fresh_documents(tables, root, **options), tables, at, **writing)
+    entries = load_documents(fresh_documents(tables, root, **options), tables, at, **writing)
+    if options.get("layout", "files") != "files":
+        return entries
+    rejected = landing.rejected_paths(landing.list_files(tables.spark, root)).select(
+        F.concat_ws(":", "reason", "file_path").alias("reason"),
+        F.lit(FAILURE).alias("status"),
+        F.lit(0).cast("long").alias("record_count"),
+        F.lit(tables.source).alias("data_source"),
+    )
+    return entries.unionByName(rejected, allowMissingColumns=True)

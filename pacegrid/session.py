@@ -45,6 +45,17 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of this application's staged tables."""
+    return f"{shared_dir(spark)}/pacegrid/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; never one used before."""
-    return f"{shared_dir(spark)}/pacegrid/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all staged tables of this application, once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

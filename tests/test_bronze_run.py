@@ -86,6 +86,15 @@ def test_path_without_activity_is_reported(spark, root):
     assert landing.named_files(listed).count() == 9
 
 
+def test_rejected_paths_are_in_the_report(tables, root):
+    from pathlib import Path
+
+    (Path(root) / "athlete_id=9" / "time" / "notes.json").write_text("{}")
+    report = bronze_load(tables, root).filter("athlete_id IS NULL")
+    assert [(r.status, r.reason.split(":")[0]) for r in report.collect()] == [("FAILURE", "no_activity_in_path")]
+    assert tables.ledger().filter("athlete_id IS NULL").isEmpty()
+
+
 def test_only_listed_files_are_opened(spark, root):
     wanted = landing.list_files(spark, root).filter("channel = 'heartrate'")
     read = landing.read_files(wanted)
