@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,17 +11,12 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacegrid.session import shared_dir
+from pacegrid.session import scratch_path
 
 ROWS_A_FILE = 500_000
 SCAN_BYTES = 16_000_000
 
 
-def new_path(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared one, under the application's own id."""
-    return f"{shared_dir(spark)}/pacegrid/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
 def staged(frame: DataFrame, label: str, files: int | None = None) -> tuple[DataFrame, str]:
     """`frame` written to the shared folder and read back, with its path.
 
@@ -31,7 +25,7 @@ def staged(frame: DataFrame, label: str, files: int | None = None) -> tuple[Data
     bounds the number of files, so that small tables aren't scattered over tiny ones.
     """
     spark = frame.sparkSession
-    path = new_path(spark, label)
+    path = scratch_path(spark, label)
     (frame if files is None else frame.coalesce(files)).write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path), path
 
@@ -60,7 +54,7 @@ def scan_parts(frame: DataFrame) -> int:
 
 def put_file(spark: SparkSession, name: str, block: bytes) -> str:
     """`block` as one file in the shared folder; its path, which executors reach."""
-    path = f"{new_path(spark, 'file')}/{name}"
+    path = f"{scratch_path(spark, 'file')}/{name}"
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
     try:
@@ -77,11 +71,6 @@ def remove(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def remove_all(spark: SparkSession) -> None:
-    """Delete everything this application has staged, once its results are written."""
-    remove(spark, f"{shared_dir(spark)}/pacegrid/{spark.sparkContext.applicationId}")
-
-
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Row ranges of a batch with about `chars` bytes of text each, at least one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
