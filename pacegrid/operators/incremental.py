@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.model import DOCUMENT_KEY, SUCCESS
+from pacegrid.session import stored
 
 
 def succeeded(ledger: DataFrame, source: str) -> DataFrame:
@@ -24,11 +25,11 @@ def skip_processed(files: DataFrame, ledger: DataFrame, source: str, few: bool =
     """Documents without a SUCCESS row. Run it on paths, before contents are read.
 
     `few` says that the files are few beside the ledger, as in a stream's batch: the ledger
-    is then cut to their keys first, by a broadcast where Catalyst finds them small.
+    is then cut to their keys first and stored, so that contents need not move.
     """
     key, known = list(DOCUMENT_KEY), succeeded(ledger, source)
     if few:
-        known = known.join(files.select(*key), key, "left_semi")
+        known = stored(known.join(files.select(*key), key, "left_semi").distinct(), "known")
     # Distinct before the join: a document logged very often shrinks to one row on the map
     # side, and the join reuses the same partitioning.
     return files.join(known.distinct(), key, "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Small documents are packed many to a task: opening one costs far less than the
 # 4 MB Spark assumes, so a task reads about 128 MB / 256 KB documents.
@@ -55,6 +55,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """`frame` written to the shared folder and read back, so that its real size is known.
+
+    A join with a narrow stored frame moves the other side only if the frame is too large
+    to broadcast.
+    """
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all staged tables of this application, once nothing reads them any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pacegrid.functions.columns import path_activity, path_athlete, path_channel, path_part
 from pacegrid.model import CHANNELS, DOCUMENT_KEY
+from pacegrid.session import stored
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 PACKED_SCHEMA = "athlete_id string, activity_id string, document string, channel string, landed string"
@@ -135,7 +136,8 @@ def packed_files(spark: SparkSession, root: str) -> DataFrame:
 def latest_documents(staged: DataFrame) -> DataFrame:
     """Of documents landed more than once, only the last.
 
-    Counts narrow keys first, so document contents move only if repeats are many.
+    Works on narrow keys; what it leaves out is stored, so document contents move only if
+    that is much.
     Needs a stored frame: `doc_no` breaks ties and must not change between reads.
     """
     key = list(DOCUMENT_KEY)
@@ -143,9 +145,8 @@ def latest_documents(staged: DataFrame) -> DataFrame:
     repeated = counted.filter(F.col("_times") > 1).select(*key)
     copies = staged.select(*key, "landed", "doc_no").join(repeated, key, "left_semi")
     last = copies.groupBy(*key).agg(F.max(F.struct("landed", "doc_no"))["doc_no"].alias("_last"))
-    marked = staged.join(last, key, "left")
-    kept = marked.filter(F.col("_last").isNull() | (F.col("_last") == F.col("doc_no")))
-    return kept.select(*staged.columns)
+    older = copies.join(last, key).filter(F.col("doc_no") != F.col("_last")).select("doc_no")
+    return staged.join(stored(older, "older"), "doc_no", "left_anti").select(*staged.columns)
 
 
 def discover_channels(files: DataFrame) -> DataFrame:
