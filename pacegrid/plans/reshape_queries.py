@@ -46,13 +46,17 @@ def channel_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS latitude, CAST(embedding[2] AS DOUBLE) AS longitude
-FROM embeddings
+SELECT vec_id, CAST(i // 2 AS INTEGER) AS pair, CAST(embedding[i] AS DOUBLE) AS latitude,
+  CAST(embedding[i + 1] AS DOUBLE) AS longitude
+FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1, 2)) AS i FROM embeddings)
 """
 )
 def latlng_split(spark: SparkSession, sf: str) -> DataFrame:
-    pair = F.slice("embedding", 1, 2).cast("array<double>").alias("data")
-    return reshape.split_latlng(table(spark, sf, "embeddings").select("vec_id", pair))
+    """Each vector as pairs of neighbours, all of them."""
+    values = F.col("embedding").cast("array<double>")
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(2)), lambda i: i <= F.size(values))
+    pairs = F.transform(starts, lambda i: F.slice(values, i, F.lit(2)))
+    return reshape.split_latlng(table(spark, sf, "embeddings").select("vec_id", F.posexplode(pairs).alias("pair", "data")))
 
 
 @query(

@@ -11,26 +11,40 @@ from pacegrid.model import FAILURE, SAMPLE_CHANNELS, SUCCESS
 from pacegrid.operators.incremental import densify_channels, high_water_mark, newer_than
 from pacegrid.operators.quality import batch_status, check_connections, drop_keyless_users
 from pacegrid.plans.bronze import bronze_load, utc_now
-from pacegrid.plans.silver import silver_refresh
+from pacegrid.plans.silver import silver_run
 from pacegrid.session import scratch_path
 from pacegrid.sinks.landing import land_raw
 from pacegrid.sources.tables import Tables, connection_scan
 
+# A profile belongs to no activity; its path names this one.
+PROFILE_ID = "0"
 # The body of a channel the source did not deliver.
 EMPTY_BODY = '{"data":null,"original_size":null,"series_type":null}'
 
 
-def land_new(tables: Tables, activities: DataFrame, bodies: DataFrame, root: str, at: datetime) -> None:
-    """Land activities newer than their athlete's mark, each with all sample channels.
+def land_new(
+    tables: Tables,
+    activities: DataFrame,
+    bodies: DataFrame,
+    root: str,
+    at: datetime,
+    profiles: DataFrame | None = None,
+) -> None:
+    """Land activities newer than their athlete's mark, each with all sample channels, and profiles.
 
     `activities` has athlete_id, activity_id, start_date and document; `bodies` has the
-    document of each channel delivered.
+    document of each channel delivered; `profiles` has athlete_id and document, and is landed
+    whole, since a profile has no mark.
     """
     new = newer_than(activities, high_water_mark(tables.bronze("activity")))
     keys = new.select("athlete_id", "activity_id")
     every = densify_channels(keys, bodies, list(SAMPLE_CHANNELS))
     every = every.withColumn("document", F.coalesce("document", F.lit(EMPTY_BODY)))
-    land_raw(every.unionByName(new.select(*keys.columns, F.lit("activity").alias("channel"), "document")), root, at)
+    every = every.unionByName(new.select(*keys.columns, F.lit("activity").alias("channel"), "document"))
+    if profiles is not None:
+        ids = F.lit(PROFILE_ID).alias("activity_id"), F.lit("athlete_summary").alias("channel")
+        every = every.unionByName(profiles.select("athlete_id", *ids, "document"))
+    land_raw(every, root, at)
 
 
 def _kept(frame: DataFrame) -> DataFrame:
@@ -47,20 +61,33 @@ def full_run(
     bodies: DataFrame | None = None,
     athletes: DataFrame | None = None,
     at: datetime | None = None,
+    profiles: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """Land (when given), load bronze, rebuild silver for the activities of the batch.
 
     Only activities with a document in this batch can differ in silver, so only they are
-    rebuilt. Stops at the first error. Returns the ledger rows of the batch.
+    rebuilt. What was landed here is loaded from its own directory; older documents that were
+    never loaded are left to a run that lands nothing, or to `landed_since=None`. Stops at
+    the first error. Returns the ledger rows of the batch, and a FAILURE for each activity
+    whose silver rows break a requirement; those rows aren't in the stored ledger.
     """
     at = at or utc_now()
     if activities is not None and bodies is not None:
-        land_new(tables, activities, bodies, root, at)
-        options.setdefault("layout", "packed")
+        land_new(tables, activities, bodies, root, at, profiles)
+        options = {"layout": "packed", "landed_since": at, "refresh_profiles": profiles is not None} | options
     entries = bronze_load(tables, root, at, athletes=athletes, **options)
-    silver_refresh(tables, activities=entries.filter(F.col("status") == SUCCESS), at=at)
-    return entries
+    _, broken = silver_run(tables, activities=entries.filter(F.col("status") == SUCCESS), at=at)
+    faults = broken.select(
+        "athlete_id",
+        "activity_id",
+        F.lit("silver").alias("data_stream"),
+        F.lit(0).cast("long").alias("record_count"),
+        F.concat_ws(":", F.lit("silver"), "reason").alias("reason"),
+        F.lit(FAILURE).alias("status"),
+        F.lit(tables.source).alias("data_source"),
+    )
+    return entries.unionByName(faults, allowMissingColumns=True)
 
 
 def run_all(
@@ -73,19 +100,24 @@ def run_all(
 ) -> DataFrame:
     """Run every user with a usable connection in one job; report each user's outcome.
 
-    Users without uid are left out. A rejected user or a faulty document fails alone.
+    Users without uid are left out. A rejected user or a faulty document fails alone. A
+    user's reason names what is wrong beyond single bodies: no usable connection, a channel
+    nobody knows, or silver rows that break a requirement.
     """
     scanned = connection_scan(drop_keyless_users(users), connections, tables.source)
     valid, rejected = check_connections(scanned)
     linked = _kept(valid.select("uid", F.col("athlete.id").cast("string").alias("athlete_id")))
     entries = full_run(tables, root, athletes=linked, at=at, isolate=True, **options)
-    states = linked.join(batch_status(entries), "athlete_id", "left").select(
+    wider = F.when(F.col("reason").rlike("^(unknown_channel|silver:)"), F.col("reason"))
+    reasons = entries.groupBy("athlete_id").agg(F.min(wider).alias("reason"))
+    outcome = linked.join(batch_status(entries), "athlete_id", "left").join(reasons, "athlete_id", "left")
+    states = outcome.select(
         "uid",
         "athlete_id",
         F.coalesce("succeeded", F.lit(0)).cast("long").alias("succeeded"),
         F.coalesce("failed", F.lit(0)).cast("long").alias("failed"),
         F.coalesce("status", F.lit(SUCCESS)).alias("status"),
-        F.lit(None).cast("string").alias("reason"),
+        "reason",
     )
     refused = rejected.select(
         "uid",

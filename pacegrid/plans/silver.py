@@ -16,7 +16,7 @@ from pacegrid.operators.bounds import in_scope
 from pacegrid.operators.quality import check_required
 from pacegrid.operators.sql import sql_directory, sql_transform
 from pacegrid.plans.bronze import utc_now
-from pacegrid.session import scratch_path
+from pacegrid.session import scratch_path, stored
 from pacegrid.sinks.tables import replace_by_key, stage_bucketed
 from pacegrid.sources.tables import Tables
 
@@ -72,29 +72,30 @@ def refresh_scope(
     return keys.sparkSession.read.schema(keys.schema).parquet(path)
 
 
-def silver_refresh(
+def silver_run(
     tables: Tables,
     athletes: DataFrame | None = None,
     activity_id: str | None = None,
     activities: DataFrame | None = None,
     at: datetime | None = None,
     builds: dict[str, Build] | None = None,
-) -> DataFrame:
-    """Rebuild silver rows of athletes, of one activity of theirs, or of given activities.
+) -> tuple[DataFrame, DataFrame]:
+    """`silver_refresh`, with the keys that failed and their reason beside the report.
 
-    What is replaced is exactly what is rebuilt: keys without samples end up without rows.
-    A key with a null in a required column, which a repeated sample gives too, keeps the rows
-    stored before and is counted as failed. Returns rows deleted and inserted and keys failed per table.
+    A reason names the table and the required column that is null. The failed keys are stored
+    once; the count, what is left out of the new rows and what stays replaced all read them.
     """
     at = at or utc_now()
     builds = builds or {"aggregate_stream": aggregate_stream}
     scope = refresh_scope(athletes, activity_id, activities)
     on = ("athlete_id",) if scope is None else tuple(scope.columns)
-    reports = []
+    reports, faults = [], []
     for table, build in builds.items():
         rows, keys, failed = stage_bucketed(build(tables, scope, at), tables.buckets), scope, 0
         if table == "aggregate_stream":
-            broken = check_required(rows, SILVER_SCHEMA, list(on)).select(*on).distinct()
+            nulls = check_required(rows, SILVER_SCHEMA, list(on)).groupBy(*on).agg(F.min("column").alias("column"))
+            broken = stored(nulls.withColumn("reason", F.concat_ws(":", F.lit(table), "column")).drop("column"), "broken")
+            faults.append(broken)
             failed = broken.count()
             if failed:
                 # A full refresh also drops athletes that are stored and have no samples any more.
@@ -102,4 +103,16 @@ def silver_refresh(
                 rows, keys = (f.join(broken, list(on), "left_anti") for f in (rows, keys))
         done = replace_by_key(tables.silver_path(table), rows, keys, tables.buckets, on, staged=True)
         reports.append(done.select(F.lit(table).alias("table"), "*", F.lit(failed).cast("long").alias("failed")))
-    return reduce(DataFrame.unionByName, reports)
+    none = tables.spark.createDataFrame([], ", ".join(f"{c} string" for c in (*on, "reason")))
+    return reduce(DataFrame.unionByName, reports), reduce(DataFrame.unionByName, faults, none)
+
+
+def silver_refresh(tables: Tables, *what, **how) -> DataFrame:
+    """Rebuild silver rows of athletes, of one activity of theirs, or of given activities.
+
+    Takes what `silver_run` takes. What is replaced is exactly what is rebuilt: keys without
+    samples end up without rows. A key with a null in a required column, which a repeated
+    sample gives too, keeps the rows stored before and is counted as failed. Returns rows
+    deleted and inserted and keys failed per table.
+    """
+    return silver_run(tables, *what, **how)[0]

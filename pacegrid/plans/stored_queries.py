@@ -12,16 +12,18 @@ from pacegrid.operators.reshape import decode_document
 from pacegrid.plans import bronze
 from pacegrid.plans.bronze import load_documents
 from pacegrid.plans.registry import query
+from pacegrid.plans.runs import full_run as run_full
 from pacegrid.plans.runs import run_all
 from pacegrid.plans.silver import silver_refresh
 from pacegrid.plans.standins import (
     LOADED_AT,
+    order_activities,
     order_documents,
     table,
     vector_documents,
 )
 from pacegrid.session import scratch_path
-from pacegrid.sinks.landing import land_raw
+from pacegrid.sinks.landing import as_document, land_files, land_raw
 from pacegrid.sinks.tables import replace_by_key, stage_bucketed
 from pacegrid.sources import landing
 from pacegrid.sources.tables import Tables
@@ -319,3 +321,122 @@ def load_faults(spark: SparkSession, sf: str) -> DataFrame:
     )
     entries = bronze.bronze_load(_tables(spark), _landed(spark, documents), LOADED_AT, layout="packed")
     return entries.select("athlete_id", "activity_id", "data_stream", "record_count", "status", "reason")
+
+
+@query(f"WITH {VECTORS_SQL} SELECT * FROM samples")
+def files_load(spark: SparkSession, sf: str) -> DataFrame:
+    """One file per document, landed and loaded in two rounds; the second opens only what is new."""
+    tables, root = _tables(spark), scratch_path(spark, "landing")
+    documents = vector_documents(spark, sf)
+    for part in (documents.filter("channel <> 'time'"), documents):
+        land_files(part, root)
+        bronze.bronze_load(tables, root, LOADED_AT)
+    return tables.samples().drop("metadata_insert_timestamp")
+
+
+_STRONG = "channel = 'watts' AND index = 1 AND data > 0"
+
+
+@query(
+    f"""WITH strong AS (
+  WITH {VECTORS_SQL} SELECT athlete_id, activity_id FROM samples WHERE channel = 'watts' AND "index" = 1 AND data > 0
+)
+SELECT s.* REPLACE (CASE WHEN k.activity_id IS NOT NULL THEN s.watts END AS watts)
+FROM ({SILVER_SQL}) s LEFT JOIN strong k ON k.athlete_id = s.athlete_id AND k.activity_id = s.activity_id
+"""
+)
+def silver_refresh_activities(spark: SparkSession, sf: str) -> DataFrame:
+    """Watts arrive after the first refresh; only activities that start with some are refreshed by key."""
+    tables, documents = _tables(spark), vector_documents(spark, sf)
+    for n, part in enumerate(("channel <> 'watts'", "channel = 'watts'")):
+        at = LOADED_AT + timedelta(hours=n)
+        bronze.bronze_load(tables, _landed(spark, documents.filter(part)), at, layout="packed")
+        silver_refresh(tables, activities=tables.samples().filter(_STRONG) if n else None, at=at)
+    return tables.silver().drop("athlete_bucket", "metadata_insert_timestamp")
+
+
+@query(
+    """
+SELECT CAST(o_custkey AS VARCHAR) AS athlete_id, CAST(o_orderkey AS VARCHAR) AS activity_id, CAST(1 AS BIGINT) AS "index",
+  CAST(0 AS DOUBLE) AS time, CASE WHEN o_orderdate < DATE '1995-01-01' THEN 1 ELSE 2 END * o_totalprice AS watts,
+  o_orderpriority AS name, o_orderstatus AS sport_type, CAST(12 AS BIGINT) AS documents, CAST(9 AS BIGINT) AS empty,
+  CASE WHEN o_orderdate < DATE '1995-01-01' THEN '2024-02-01' ELSE '2024-02-02' END AS loaded,
+  CAST(2 AS BIGINT) AS profiles, c_mktsegment AS city
+FROM orders JOIN customer ON c_custkey = o_custkey
+"""
+)
+def full_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders before 1995, then all of them with doubled watts: only those newer than the mark are taken.
+
+    Silver rows beside what the ledger and the profile table hold of their activity and athlete.
+    """
+    tables, root = _tables(spark), scratch_path(spark, "landing")
+    orders = table(spark, sf, "orders")
+    keys = [F.col("o_custkey").cast("string").alias("athlete_id"), F.col("o_orderkey").cast("string").alias("activity_id")]
+    texts = order_documents(spark, sf).drop("channel")
+    activities = order_activities(spark, sf).drop("o_orderstatus").join(texts, ["athlete_id", "activity_id"])
+    customers = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("athlete_id"),
+        F.lit("athlete_summary").alias("channel"),
+        F.lit("0").alias("activity_id"),
+        F.col("c_custkey").alias("id"),
+        F.col("c_mktsegment").alias("city"),
+    )
+    profiles = as_document(customers, "id", "city").select("athlete_id", "document")
+
+    def bodies(factor: int) -> DataFrame:
+        body = lambda value: F.concat(F.lit('{"data":['), value.cast("string"), F.lit('],"original_size":1,"series_type":"time"}'))
+        time = orders.select(*keys, F.lit("time").alias("channel"), body(F.lit(0.0)).alias("document"))
+        watts = orders.select(*keys, F.lit("watts").alias("channel"), body(factor * F.col("o_totalprice")).alias("document"))
+        return time.unionByName(watts)
+
+    first = activities.filter("start_date < '1995'")
+    for n, offered in enumerate((first, activities)):
+        run_full(tables, root, offered, bodies(n + 1), at=LOADED_AT + timedelta(days=n), profiles=profiles)
+    # A profile's path names activity 0, which is an order too.
+    logged = tables.ledger().filter("data_stream <> 'athlete_summary'").groupBy("athlete_id", "activity_id").agg(
+        F.count_if(F.col("status") == "SUCCESS").alias("documents"),
+        F.count_if(F.col("record_count") == 0).alias("empty"),
+        F.date_format(F.max("bq_insert_timestamp"), "yyyy-MM-dd").alias("loaded"),
+    )
+    known = tables.bronze("athlete_summary").groupBy("athlete_id").agg(F.count(F.lit(1)).alias("profiles"), F.max("city").alias("city"))
+    silver = tables.silver().select("athlete_id", "activity_id", "index", "time", "watts", "name", "sport_type")
+    return silver.join(logged, ["athlete_id", "activity_id"], "left").join(known, "athlete_id", "left")
+
+
+@query(
+    f"""WITH silver AS ({SILVER_SQL}), found AS (
+  WITH {VECTORS_SQL} SELECT athlete_id, channel, activity_id FROM docs
+), states AS (
+  SELECT athlete_id, count(*) - CASE WHEN athlete_id = '0005' THEN count(*) FILTER (WHERE channel = 'heartrate') ELSE 0 END
+      AS succeeded,
+    CASE athlete_id WHEN '0003' THEN count(*) FILTER (WHERE channel = 'time')
+      WHEN '0005' THEN count(*) FILTER (WHERE channel = 'heartrate') ELSE 0 END AS failed,
+    CASE athlete_id WHEN '0003' THEN 'unknown_channel' WHEN '0005' THEN 'silver:aggregate_stream:index' END AS reason
+  FROM found WHERE athlete_id <> '0006' GROUP BY athlete_id
+)
+SELECT t.athlete_id, t.succeeded, t.failed, CASE WHEN t.failed > 0 THEN 'FAILURE' ELSE 'SUCCESS' END AS status, t.reason,
+  s.activity_id, s."index", s.time, s.heartrate, s.watts, s.latitude, s.name
+FROM states t LEFT JOIN (
+  SELECT * FROM silver WHERE athlete_id <> '0005'
+    OR activity_id NOT IN (SELECT activity_id FROM found WHERE athlete_id = '0005' AND channel = 'heartrate')
+) s ON s.athlete_id = t.athlete_id
+"""
+)
+def all_athletes_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """One athlete has documents of an unknown channel, one was loaded twice by runs that overlapped.
+
+    Both fail with a reason, the others are refreshed; an athlete outside the set, with an
+    unknown channel of its own, plays no part.
+    """
+    tables, documents = _tables(spark), vector_documents(spark, sf)
+    twice = documents.filter("athlete_id = '0005' AND channel = 'heartrate'").withColumnRenamed("document", "value")
+    for _ in range(2):
+        load_documents(twice, tables, LOADED_AT)
+    strays = documents.filter("athlete_id IN ('0003', '0006') AND channel = 'time'").withColumn("channel", F.lit("gyroscope"))
+    root = _landed(spark, documents.unionByName(strays))
+    users = documents.filter("athlete_id <> '0006'").select(F.col("athlete_id").alias("uid")).distinct()
+    connections = users.select("uid", F.lit("strava").alias("source"), F.struct(F.col("uid").alias("id")).alias("athlete"))
+    report = run_all(tables, root, users, connections, LOADED_AT + timedelta(hours=1), layout="packed").drop("uid")
+    silver = tables.silver().select("athlete_id", "activity_id", "index", "time", "heartrate", "watts", "latitude", "name")
+    return report.join(silver, "athlete_id", "left")

@@ -1,9 +1,12 @@
-"""Land documents in the packed layout."""
+"""Land documents, packed or one file each."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+from pyarrow import RecordBatch
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,3 +37,24 @@ def land_raw(documents: DataFrame, root: str, at: datetime) -> None:
         .partitionBy("channel", "landed")
         .json(root)
     )
+
+
+def land_files(documents: DataFrame, root: str) -> int:
+    """Write each document to `athlete_id=A/{channel}/activity_id=X.json`; the number written.
+
+    The layout other tools land in. Executors write their own rows, and a task that runs
+    again writes the same files again. `root` is a path or URI that executors reach. Use
+    `land_raw` where nothing asks for single files.
+    """
+
+    def write(batches: Iterator[RecordBatch]) -> Iterator[RecordBatch]:
+        files, base = FileSystem.from_uri(root)
+        for batch in batches:
+            for athlete, channel, activity, text in zip(*(column.to_pylist() for column in batch.columns)):
+                folder = f"{base}/athlete_id={athlete}/{channel}"
+                files.create_dir(folder, recursive=True)
+                with files.open_output_stream(f"{folder}/activity_id={activity}.json") as out:
+                    out.write((text or "").encode())
+            yield batch.select(["activity_id"])
+
+    return documents.select(*DOCUMENT_KEY, "document").mapInArrow(write, "activity_id string").count()
