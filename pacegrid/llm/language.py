@@ -28,7 +28,8 @@ SCALE = 50.0
 CALIBRATED = 5  # one row in so many sets the temperature
 UNKNOWN = "und"
 SLICE_CHARS = 1_000_000
-LETTER = re.compile(r"[^\W\d_]")
+# Also numerals such as a superscript two or a Roman eight, which `has_letter` sorts out.
+LETTER_OR_NUMERAL = re.compile(r"[^\W\d_]")
 
 _COUNTS = "lang string, buckets binary, counts binary"
 _FOUND = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -39,6 +40,10 @@ def letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
+def has_letter(text: str) -> bool:
+    return any(found.group().isalpha() for found in LETTER_OR_NUMERAL.finditer(text))
+
+
 def folded(text: str) -> np.ndarray:
     """Code points of the lowered text, each run of other characters than letters as one space."""
     codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le"), np.uint32)
@@ -87,7 +92,7 @@ class LanguageModel:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and calibrated probability; `und` and 0 for null or letterless texts."""
-        known = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if self.languages else []
+        known = [i for i, t in enumerate(texts) if t and has_letter(t)] if self.languages else []
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if known:
             logits = self.logits([texts[i] for i in known]) / self.temperature

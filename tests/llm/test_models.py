@@ -53,6 +53,13 @@ def test_language_on_the_held_out_fold(spark, odd_docs, no_docs):
     assert language.told(odd_docs, model).columns == odd_docs.columns
 
 
+def test_numerals_are_no_letters():
+    one = language.train([("en", np.array([1], "<u4"), np.array([2.0])), ("fr", np.array([2], "<u4"), np.array([1.0]))])
+    names, scores = one.predict([None, "", "²", "½ Ⅷ _ 12", "٣ ٤", "²a", "日"])
+    assert names[:5] == ["und"] * 5 and scores[:5] == [0.0] * 5
+    assert "und" not in names[5:] and all(0 < s <= 1 for s in scores[5:])
+
+
 def test_logits_are_those_of_single_texts(spark):
     model = language.fit(spark.read.parquet(f"{SF}/documents.parquet"), per_language=30)
     texts = ["the thing", "le la été", "x", "der die das und 12 !!", "a" * 5_000]
