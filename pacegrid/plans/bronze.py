@@ -121,7 +121,7 @@ def stage_documents(documents: DataFrame) -> DataFrame:
     """
     path = scratch_path(documents.sparkSession, "bronze")
     parsed = parse_documents(documents)
-    sliced = parsed.withColumn("_slice", F.pmod(F.xxhash64("activity_id"), F.lit(SLICES)))
+    sliced = parsed.withColumn("_slice", F.pmod(F.xxhash64("athlete_id", "activity_id"), F.lit(SLICES)))
     (
         sliced.hint("rebalance", "channel", "_slice")
         .drop("_slice")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pacegrid.model import CHANNELS, SILVER_MEASURES
 from pacegrid.operators.reshape import decode_document
@@ -24,7 +25,7 @@ from pacegrid.plans.standins import (
 )
 from pacegrid.session import scratch_path
 from pacegrid.sinks.landing import as_document, land_files, land_raw
-from pacegrid.sinks.tables import replace_by_key, stage_bucketed
+from pacegrid.sinks.tables import replace_by_key, stage_bucketed, upsert_by_key
 from pacegrid.sources import landing
 from pacegrid.sources.tables import Tables
 from pacegrid.streaming.ingest import ingest_available
@@ -190,24 +191,19 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""WITH {VECTORS_SQL}
-SELECT athlete_id, channel, activity_id, '{{"data":[1.0],"original_size":1,"series_type":"time"}}' AS value
-FROM docs WHERE channel = 'watts'
+SELECT * FROM samples WHERE channel <> 'cadence'
 UNION ALL
-SELECT athlete_id, channel, activity_id, '{{"data":[2.0],"original_size":1,"series_type":"time"}}'
-FROM docs WHERE channel = 'cadence'
+SELECT athlete_id, channel, activity_id, 1, 2.0, NULL, NULL, 1, 'time' FROM docs WHERE channel = 'cadence'
 """
 )
 def landed_again(spark: SparkSession, sf: str) -> DataFrame:
-    """Watts documents are landed twice with different bodies; the later one counts."""
-    root = scratch_path(spark, "landing")
-    body = '{"data":[%s],"original_size":1,"series_type":"time"}'
-    keys = vector_documents(spark, sf).select("athlete_id", "channel", "activity_id")
-    both, again = keys.filter("channel IN ('watts', 'cadence')"), keys.filter("channel = 'watts'")
-    land_raw(both.withColumn("document", F.lit(body % "2.0")), root, LOADED_AT)
-    land_raw(again.withColumn("document", F.lit(body % "1.0")), root, LOADED_AT + timedelta(hours=1))
-    path = scratch_path(spark, "documents")
-    landing.scan_packed(spark, root).withColumn("doc_no", F.monotonically_increasing_id()).write.parquet(path)
-    return landing.latest_documents(spark.read.parquet(path)).drop("landed", "doc_no")
+    """Every document is landed short, then all but cadence whole; the later one counts."""
+    tables, root, documents = _tables(spark), scratch_path(spark, "landing"), vector_documents(spark, sf)
+    short = F.lit('{"data":[2.0],"original_size":1,"series_type":"time"}')
+    land_raw(documents.withColumn("document", short), root, LOADED_AT)
+    land_raw(documents.filter("channel <> 'cadence'"), root, LOADED_AT + timedelta(hours=1))
+    bronze.bronze_load(tables, root, LOADED_AT, layout="packed")
+    return tables.samples().drop("metadata_insert_timestamp")
 
 
 _REPLACED_SQL = """
@@ -440,3 +436,43 @@ def all_athletes_faults(spark: SparkSession, sf: str) -> DataFrame:
     report = run_all(tables, root, users, connections, LOADED_AT + timedelta(hours=1), layout="packed").drop("uid")
     silver = tables.silver().select("athlete_id", "activity_id", "index", "time", "heartrate", "watts", "latitude", "name")
     return report.join(silver, "athlete_id", "left")
+
+
+_CONNECTED = "uid string, source string, athlete_id string, balance double, note string"
+
+
+@query(
+    """
+WITH late AS (
+  SELECT o_custkey, arg_max(o_totalprice, o_orderkey) AS balance,
+    arg_max(o_orderpriority, o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS last_note
+  FROM orders GROUP BY o_custkey
+)
+SELECT CAST(c_custkey AS VARCHAR) AS uid, 'strava' AS source, 'a' || c_custkey AS athlete_id,
+  CASE WHEN l.o_custkey IS NULL THEN c_acctbal ELSE l.balance END AS balance,
+  coalesce(l.last_note, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END) AS note
+FROM customer LEFT JOIN late l ON o_custkey = c_custkey
+WHERE c_mktsegment <> 'BUILDING' OR l.o_custkey IS NOT NULL
+"""
+)
+def upsert_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Connections of customers stored, but for those in building; then changed by all orders, and read again."""
+    path, schema = scratch_path(spark, "connections"), T.StructType.fromDDL(_CONNECTED)
+    customers, orders = table(spark, sf, "customer"), table(spark, sf, "orders")
+
+    def records(frame: DataFrame, key: str, at: str, balance: str, note: Column) -> DataFrame:
+        uid = F.col(key).cast("string")
+        return frame.select(
+            uid.alias("uid"),
+            F.lit("strava").alias("source"),
+            F.concat(F.lit("a"), uid).alias("athlete_id"),
+            F.col(balance).alias("balance"),
+            note.alias("note"),
+            F.col(at).cast("long").alias("at"),
+        )
+
+    first = records(customers.filter("c_mktsegment <> 'BUILDING'"), "c_custkey", "c_custkey", "c_acctbal", F.col("c_mktsegment"))
+    filled = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority"))
+    for changes in (first, records(orders, "o_custkey", "o_orderkey", "o_totalprice", filled)):
+        upsert_by_key(path, schema, changes, ["uid", "source"], "at", 16, ["balance", "note"])
+    return spark.read.schema(schema).parquet(path).drop("athlete_bucket")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,3 +72,15 @@ def clear_scratch(spark: SparkSession) -> None:
     """Delete all staged tables of this application, once nothing reads them any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch_cleared(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged in a run once it ends, also by an error.
+
+    Frames that a run returns read staged tables: store or show them inside.
+    """
+    try:
+        yield
+    finally:
+        clear_scratch(spark)

@@ -29,7 +29,7 @@ def land_raw(documents: DataFrame, root: str, at: datetime) -> None:
     (
         documents.select(*DOCUMENT_KEY, "document")
         .withColumn("landed", F.lit(batch_name(at)))
-        .withColumn("_slice", F.pmod(F.xxhash64("activity_id"), F.lit(SLICES)))
+        .withColumn("_slice", F.pmod(F.xxhash64("athlete_id", "activity_id"), F.lit(SLICES)))
         .hint("rebalance", "channel", "_slice")
         .drop("_slice")
         .write.mode("overwrite")

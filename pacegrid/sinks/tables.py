@@ -7,9 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pacegrid.functions.columns import bucket_of
 from pacegrid.functions.schemas import LEDGER_SCHEMA
+from pacegrid.operators.keyed import upsert
 from pacegrid.session import scratch_path
 from pacegrid.sources.landing import batch_name
 from pacegrid.sources.tables import Tables, read_or_empty
@@ -120,3 +122,25 @@ def replace_by_key(
         _drop_buckets(spark, path, sorted(hits.keys() - set(filled)))
     fresh.filter(~rewritten).write.mode("append").partitionBy(BUCKET).parquet(path)
     return spark.createDataFrame([(sum(hits.values()), inserted)], "deleted long, inserted long")
+
+
+def upsert_by_key(
+    path: str,
+    schema: T.StructType,
+    changes: DataFrame,
+    keys: list[str],
+    order: str,
+    buckets: int,
+    update: list[str] | None = None,
+) -> DataFrame:
+    """Apply `changes` to the stored rows of their keys; see `keyed.upsert` for the rules.
+
+    The table is bucketed by the first key and created when it isn't there. Rows of other keys
+    are read only where they share a bucket with one that is replaced. Returns rows deleted
+    and inserted.
+    """
+    spark = changes.sparkSession
+    touched = changes.select(*keys).distinct()
+    stored = read_or_empty(spark, path, T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())])).drop(BUCKET)
+    following = upsert(stored.join(touched, keys, "left_semi"), changes, keys, order, update)
+    return replace_by_key(path, following, touched, buckets, tuple(keys))

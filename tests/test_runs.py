@@ -1,5 +1,6 @@
 import json
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from pacegrid.plans.bronze import bronze_load
 from pacegrid.plans.runs import full_run, run_all
 from pacegrid.plans.silver import builds_of, silver_refresh
-from pacegrid.sinks.landing import as_document, land_raw
+from pacegrid.session import scratch_cleared, scratch_root
+from pacegrid.sinks.landing import as_document, land_files, land_raw
 from pacegrid.sinks.tables import replace_by_key
 from pacegrid.sources import landing
 from pacegrid.sources.tables import Tables
@@ -143,6 +145,48 @@ def test_all_users_and_one_broken_document(spark, tables, tmp_path):
     assert tables.ledger().filter("athlete_id = '55'").isEmpty()
 
 
+def test_scratch_is_empty_after_a_run(spark, tables, tmp_path):
+    root = landing_tree(tmp_path / "raw")
+    users = spark.createDataFrame([("u1",)], "uid string")
+    linked = "uid string, source string, athlete struct<id string>"
+    connections = spark.createDataFrame([("u1", "strava", ("0017",))], linked)
+    with scratch_cleared(spark):
+        assert run_all(tables, root, users, connections).count() == 1
+        assert Path(scratch_root(spark)).exists()
+    assert not Path(scratch_root(spark)).exists()
+    with pytest.raises(FileNotFoundError), scratch_cleared(spark):
+        run_all(tables, str(tmp_path / "nowhere"), users, connections)
+    assert not Path(scratch_root(spark)).exists()
+    assert tables.silver().count() == 3
+
+
+def test_single_files_equal_packed(spark, tables, tmp_path):
+    documents = spark.createDataFrame(
+        [("a", "time", "1", json.dumps(samples([1, 2]))), ("a", "time", "1", json.dumps(samples([1, 2]))), ("b", "moving", "0", None)],
+        "athlete_id string, channel string, activity_id string, document string",
+    )
+    root = tmp_path / "files"
+    assert land_files(documents.limit(0), str(root)) == 0 and land_files(documents, str(root)) == 3
+    assert sorted(str(p.relative_to(root)) for p in root.rglob("*.json")) == [
+        "athlete_id=a/time/activity_id=1.json",
+        "athlete_id=b/moving/activity_id=0.json",
+    ]
+    bronze_load(tables, str(root))
+    assert rows(tables.bronze("time"), "athlete_id", "data") == [("a", 1.0), ("a", 2.0)]
+
+
+def test_profiles_are_landed_with_each_run(spark, tables, tmp_path):
+    root = str(tmp_path / "landing")
+    bodies = spark.createDataFrame([], "athlete_id string, channel string, activity_id string, document string")
+    activities = activity_frame(spark, [("a", "1", "2024-01-01T00:00:00Z")])
+    for day, city in enumerate("XY"):
+        profiles = spark.createDataFrame([("a", json.dumps({"id": "a", "city": city}))], "athlete_id string, document string")
+        entries = full_run(tables, root, activities, bodies, at=AT + timedelta(days=day), profiles=profiles)
+        assert entries.filter("data_stream = 'athlete_summary' AND status = 'SUCCESS'").count() == 1
+        assert entries.count() == (13 if day == 0 else 1)
+    assert rows(tables.bronze("athlete_summary"), "city") == [("X",), ("Y",)]
+
+
 def test_silver_from_sql_files(spark, tables, tmp_path):
     bronze_load(tables, landing_tree(tmp_path / "raw"))
     folder = tmp_path / "sql"
