@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.files.openCostInBytes": "262144",
+    # Explicit paths are listed in tasks; many each, not one.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
 }
 
 
