@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,11 +59,12 @@ def load_status(df: DataFrame, broken: str = "reason") -> DataFrame:
     return df.withColumn("status", state)
 
 
-def batch_status(ledger: DataFrame) -> DataFrame:
-    """Per athlete: documents loaded, documents failed and the overall state."""
+def batch_status(ledger: DataFrame, reason: Column | None = None) -> DataFrame:
+    """Per athlete: documents loaded, documents failed, the overall state, and the first `reason` if given."""
     good, bad = F.col("status") == SUCCESS, F.col("status") == FAILURE
+    named = [] if reason is None else [F.min(reason).alias("reason")]
     counts = ledger.groupBy("athlete_id").agg(
-        F.count_if(good).alias("succeeded"), F.count_if(bad).alias("failed")
+        F.count_if(good).alias("succeeded"), F.count_if(bad).alias("failed"), *named
     )
     return counts.withColumn(
         "status", F.when(F.col("failed") > 0, F.lit(FAILURE)).otherwise(F.lit(SUCCESS))

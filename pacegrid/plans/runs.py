@@ -109,9 +109,7 @@ def run_all(
     linked = _kept(valid.select("uid", F.col("athlete.id").cast("string").alias("athlete_id")))
     entries = full_run(tables, root, athletes=linked, at=at, isolate=True, **options)
     wider = F.when(F.col("reason").rlike("^(unknown_channel|silver:)"), F.col("reason"))
-    reasons = entries.groupBy("athlete_id").agg(F.min(wider).alias("reason"))
-    outcome = linked.join(batch_status(entries), "athlete_id", "left").join(reasons, "athlete_id", "left")
-    states = outcome.select(
+    states = linked.join(batch_status(entries, wider), "athlete_id", "left").select(
         "uid",
         "athlete_id",
         F.coalesce("succeeded", F.lit(0)).cast("long").alias("succeeded"),

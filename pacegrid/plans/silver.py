@@ -93,11 +93,12 @@ def silver_run(
     for table, build in builds.items():
         rows, keys, failed = stage_bucketed(build(tables, scope, at), tables.buckets), scope, 0
         if table == "aggregate_stream":
-            nulls = check_required(rows, SILVER_SCHEMA, list(on)).groupBy(*on).agg(F.min("column").alias("column"))
-            broken = stored(nulls.withColumn("reason", F.concat_ws(":", F.lit(table), "column")).drop("column"), "broken")
-            faults.append(broken)
-            failed = broken.count()
-            if failed:
+            nulls = check_required(rows, SILVER_SCHEMA, list(on))
+            if nulls.count():
+                reason = F.concat_ws(":", F.lit(table), F.min("column")).alias("reason")
+                broken = stored(nulls.groupBy(*on).agg(reason), "broken")
+                faults.append(broken)
+                failed = broken.count()
                 # A full refresh also drops athletes that are stored and have no samples any more.
                 keys = rows.select(*on).unionByName(tables.silver(table).select(*on)).distinct() if scope is None else scope
                 rows, keys = (f.join(broken, list(on), "left_anti") for f in (rows, keys))
