@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacegrid.llm.stages import kept, linked_classes, remove, scan_parts, sorted_groups, staged, text_slices, tile_count, with_tiles
+from pacegrid.llm.stages import components, kept, linked_classes, remove, scan_parts, sorted_groups, staged, text_slices, tile_count, with_tiles
 from pacegrid.llm.subspace_join import mixed, smallest_reached
 
 WORDS = 5
@@ -35,8 +35,7 @@ CHUNK_ROWS = 512
 #: pairs at the threshold fewer than one in a million is.
 MARGIN = 0.25
 
-_SKETCH = "doc_id long, print binary, size int, minima binary"
-_SETS = "rep long, print binary, items binary"
+_SETS = "doc_id long, print binary, items binary"
 
 
 def runs_for(recall: float, jaccard: float, branches: int = BRANCHES, depth: int = DEPTH) -> int:
@@ -101,29 +100,36 @@ def minima(items: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, print, size, minima) of the rows of (doc_id, text); the empty set has an empty print."""
+    """The rows of `docs` with (print, size, minima) for the text; the empty set has an empty print."""
+    others = [c for c in docs.columns if c != "text"]
+    schema = ", ".join([*(f"{c} long" for c in others), "print binary, size int, minima binary"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in text_slices(whole, "text")):
-            sets = zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), words))
-            out = [(doc_id, print_of(items), len(items), minima(items).tobytes()) for doc_id, items in sets]
-            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
-            columns = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "print", "size", "minima"])
+            out = [(print_of(items), len(items), minima(items).tobytes()) for items in shingle_sets(batch.column("text"), words)]
+            kinds = (pa.binary(), pa.int32(), pa.binary())
+            columns = zip(*out) if out else ((), (), ())
+            made = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), *made], names=[*others, "print", "size", "minima"])
 
-    return docs.mapInArrow(rows, _SKETCH)
+    return docs.mapInArrow(rows, schema)
 
 
 def item_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(rep, print, items) of the rows of (doc_id, text): the sets themselves."""
+    """(doc_id, print, items) of the rows of (doc_id, text): the sets themselves, repeated ones once a task."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, bytes]] = set()
         for batch in (part for whole in batches for part in text_slices(whole, "text")):
-            sets = list(shingle_sets(batch.column("text"), words))
-            marks, items = [print_of(s) for s in sets], [s.tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(marks, pa.binary()), pa.array(items, pa.binary())], names=["rep", "print", "items"]
-            )
+            fresh: list[tuple[int, bytes, bytes]] = []
+            for doc_id, items in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"), words)):
+                mark = print_of(items)
+                if (doc_id, mark) not in seen:
+                    seen.add((doc_id, mark))
+                    fresh.append((doc_id, mark, items.tobytes()))
+            columns = zip(*fresh) if fresh else ((), (), ())
+            kinds = (pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "print", "items"])
 
     return docs.select("doc_id", "text").mapInArrow(rows, _SETS)
 
@@ -246,40 +252,13 @@ def linked_sets(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray, j
     return shared >= jaccard * (sizes[first] + sizes[second] - shared) - 1e-9
 
 
-def jaccard_join(
-    docs: DataFrame,
-    jaccard: float = JACCARD,
-    words: int = WORDS,
-    recall: float = TARGET_RECALL,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """(doc_id, n_links, component_id, kept) of every document.
-
-    Documents are linked when the Jaccard similarity of their sets of `words`-word shingles
-    reaches `jaccard`; equal sets are linked too. Null, empty and blank texts have the empty
-    set and link with nothing. Rows with a null id stay and have no links. Rows of one id are
-    one document, its smallest text, and give one row. Other columns are not read; an empty
-    table gives no rows.
+def linked_reps(named: DataFrame, reps: DataFrame, jaccard: float, words: int, recall: float, files: int) -> tuple[DataFrame, str]:
+    """(rep, links, reached) of what tiles link, staged, and where.
 
-    Texts are joined with ids by hashed shuffles at every size; they are neither sorted nor met by
-    a broadcast. Documents of one set are one representative with a weight, so copies cost nothing. Large
-    final buckets are compared tile by tile; a tile gives one row per linked representative,
-    never its pairs: the documents it is linked with, and the smallest one reached.
+    `reps` (rep, doc_id, print, weight, size, minima) are distinct sets, each with a document of
+    `named` (doc_id, text) that has it; a document may have several.
     """
-    spark = docs.sparkSession
-    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    named = narrow.where("doc_id IS NOT NULL")
-    runs = runs_for(recall, jaccard)
-    one = sketches(named, words).groupBy("doc_id").agg(F.max(F.struct("print", "size", "minima")).alias("s"))
-    files = scan_parts(narrow)
-    prints, prints_path = staged(one.select("doc_id", "s.*"), "sketches", files)
-    full = prints.where("size > 0").groupBy("print")
-    reps, reps_path = staged(
-        full.agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min("size").alias("size"), F.min("minima").alias("minima")), "sets", files
-    )
-    members = prints.where("size > 0").join(reps.select("print", "rep"), "print").select(F.col("doc_id").alias("member"), "rep")
-    buckets, buckets_path = final_buckets(reps, runs, BRANCHES, files)
+    buckets, buckets_path = final_buckets(reps, runs_for(recall, jaccard), BRANCHES, files)
     paths = buckets.groupBy("rep").agg(F.sort_array(F.collect_set("path")).alias("paths"))
     known = kept(reps.join(paths, "rep"))
     keys = ["path", "tile_lo", "tile_hi"]
@@ -295,10 +274,10 @@ def jaccard_join(
 
     likely, likely_path = staged(dealt.mapInArrow(screen, placed.schema), "candidates", files)
     likely = likely.join(known, "rep")
-    wanted, wanted_path = staged(likely.select(F.col("rep").alias("doc_id"), "print").distinct(), "wanted", files)
-    texts = named.join(wanted.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
+    wanted, wanted_path = staged(likely.select("doc_id").distinct(), "wanted", files)
+    texts = named.select("doc_id", "text").join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
     sets = item_sets(texts, words)
-    full_rows = likely.join(sets, ["rep", "print"]).drop("print").repartition(*keys).sortWithinPartitions(*keys, "rep")
+    full_rows = likely.join(sets, ["doc_id", "print"]).drop("doc_id", "print").repartition(*keys).sortWithinPartitions(*keys, "rep")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in sorted_groups(batches, keys):
@@ -319,19 +298,97 @@ def jaccard_join(
             )
 
     linked, linked_path = staged(full_rows.mapInArrow(verify, "rep long, links long, reached long"), "linked", files)
+    known.unpersist()
+    remove(named.sparkSession, buckets_path, likely_path, wanted_path)
+    return linked, linked_path
+
+
+def jaccard_join(
+    docs: DataFrame,
+    jaccard: float = JACCARD,
+    words: int = WORDS,
+    recall: float = TARGET_RECALL,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """(doc_id, n_links, component_id, kept) of every document.
+
+    Documents are linked when the Jaccard similarity of their sets of `words`-word shingles
+    reaches `jaccard`; equal sets are linked too. Null, empty and blank texts have the empty
+    set and link with nothing. Rows with a null id stay and have no links. Rows of one id are
+    one document, the text with the greatest print, and give one row. Other columns are not read; an empty
+    table gives no rows.
+
+    Texts are joined with ids by hashed shuffles at every size; they are neither sorted nor met by
+    a broadcast. Documents of one set are one representative with a weight, so copies cost nothing. Large
+    final buckets are compared tile by tile; a tile gives one row per linked representative,
+    never its pairs: the documents it is linked with, and the smallest one reached.
+    """
+    spark = docs.sparkSession
+    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    named = narrow.where("doc_id IS NOT NULL")
+    one = sketches(named, words).groupBy("doc_id").agg(F.max(F.struct("print", "size", "minima")).alias("s"))
+    files = scan_parts(narrow)
+    prints, prints_path = staged(one.select("doc_id", "s.*"), "sketches", files)
+    full = prints.where("size > 0").groupBy("print")
+    reps = full.agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.min("size").alias("size"), F.min("minima").alias("minima"))
+    reps, reps_path = staged(reps.withColumn("doc_id", F.col("rep")), "sets", files)
+    members = prints.where("size > 0").join(reps.select("print", "rep"), "print").select(F.col("doc_id").alias("member"), "rep")
+    linked, linked_path = linked_reps(named, reps, jaccard, words, recall, files)
     each, classes_paths = linked_classes(members, reps, linked)
     each = each.select(F.col("member").alias("doc_id"), "n_links", F.col("component").alias("component_id"))
     alone = prints.where("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
     unnamed = narrow.where("doc_id IS NULL").select("doc_id", F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
     every = each.unionByName(alone).unionByName(unnamed)
     result, _ = staged(every.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "near", files)
-    known.unpersist()
-    remove(spark, prints_path, reps_path, buckets_path, likely_path, wanted_path, linked_path, *classes_paths)
+    remove(spark, prints_path, reps_path, linked_path, *classes_paths)
     return result
 
 
-def first_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its class, all columns kept."""
-    classes = jaccard_join(docs, id_column=id_column, text_column=text_column, **how)
-    dropped = classes.where("NOT kept").select(F.col("doc_id").alias(id_column))
-    return docs.join(dropped.hint("shuffle_hash"), id_column, "left_anti").select(docs.columns)
+def first_of_each(
+    docs: DataFrame,
+    jaccard: float = JACCARD,
+    words: int = WORDS,
+    recall: float = TARGET_RECALL,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """One row of each class of near-duplicates, that with the smallest id; all columns kept.
+
+    Rows are decided by their own text, not by their id: each distinct (id, text) is a document,
+    and a class of them is what `jaccard_join` links. Of several texts under its smallest id a
+    class keeps one, by their hashes. Rows equal in id and text are one document also where the
+    text is null, empty or blank: the row with the smallest other columns stays, so these must be
+    orderable where there are such rows. Rows with a null id all stay.
+    """
+    spark, keys = docs.sparkSession, ["doc_id", "mark", "check"]
+    text = docs[f"`{text_column}`"]
+    own = [docs[f"`{id_column}`"].cast("long"), F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+    narrow = docs.select(text.alias("text"), *(value.alias(key) for value, key in zip(own, keys)))
+    named = narrow.where("doc_id IS NOT NULL")
+    files = scan_parts(narrow)
+    one = sketches(named, words).groupBy(keys).agg(F.max(F.struct("print", "size", "minima")).alias("s"), F.count(F.lit(1)).alias("rows"))
+    prints, prints_path = staged(one.select(*keys, "rows", "s.*"), "sketches", files)
+    full = prints.where("size > 0").groupBy("print")
+    reps = full.agg(F.min(F.struct(*keys)).alias("first"), F.count(F.lit(1)).alias("weight"), F.min("size").alias("size"), F.min("minima").alias("minima"))
+    reps = reps.withColumn("rep", F.monotonically_increasing_id()).withColumn("doc_id", F.col("first.doc_id"))
+    reps, reps_path = staged(reps, "sets", files)  # written, so that the numbers stay
+    linked, linked_path = linked_reps(named, reps.drop("first"), jaccard, words, recall, files)
+    joined = components(linked.select(F.col("rep").alias("a"), F.col("reached").alias("b"))).withColumnRenamed("node", "rep")
+    classes = reps.select("rep", "first").join(joined, "rep", "left").groupBy(F.coalesce("component", "rep"))
+    firsts = classes.agg(F.min("first").alias("first")).select("first.*", F.lit(True).alias("kept"))
+    told = prints.select(*keys, "rows", "size").join(firsts, keys, "left")
+    told = told.select(*keys, "rows", (F.col("kept").isNotNull() | (F.col("size") == 0)).alias("kept"))
+    told, _ = staged(told.where("NOT kept OR rows > 1").select(*keys, "kept"), "near", files)
+    remove(spark, prints_path, reps_path, linked_path)
+
+    def met(others: DataFrame, how: str) -> DataFrame:
+        same = own[0] == others["doc_id"]
+        return docs.join(others, same & (own[1] == others["mark"]) & (own[2] == others["check"]), how)
+
+    alone = met(told.hint("shuffle_hash"), "left_anti")
+    again = told.where("kept")
+    if again.isEmpty():
+        return alone
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    return alone.union(met(again, "left_semi").groupBy(*own).agg(F.min(whole).alias("row")).select("row.*"))

@@ -147,3 +147,30 @@ def test_pipeline_stages(spark):
     assert after.select("doc_id").distinct().count() == before.count()
     whole = corpus_pipeline.run(spark, SF)
     assert sorted(whole.collect()) == sorted(after.collect())
+
+
+def test_first_of_each_decides_by_row(spark):
+    base, other, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    near, close = base + " more", third + " more"
+    rows = [(1, base, "x"), (1, base, "x"), (2, base, "x"), (2, other, "x"), (3, near, "x"), (3, other + " more", "y"), (4, "one of its own", "b"), (4, "one of its own", "a")]
+    rows += [(5, third, "x"), (5, close, "x"), (6, None, "x"), (6, None, "x"), (6, "", "x"), (7, "", "x"), (None, base, "x"), (None, base, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    found = [tuple(r) for r in chosen_path.first_of_each(docs).collect()]
+    expected = [(1, base, "x"), (2, other, "x"), (4, "one of its own", "a"), (6, None, "x"), (6, "", "x"), (7, "", "x"), (None, base, "x"), (None, base, "x")]
+    assert sorted((r for r in found if r[0] != 5), key=str) == sorted(expected, key=str)
+    assert [r[1] in (third, close) for r in found if r[0] == 5] == [True]
+
+
+def test_odd_docs_through_every_stage(spark, odd_docs):
+    texts = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, odd_docs, SF)
+        if name == "packing":
+            assert {r.doc_id for r in after.collect()} == {i for i, _ in texts}
+            continue
+        assert after.columns == odd_docs.columns
+        held = [(r.doc_id, r.text) for r in after.collect()]
+        if name == "near_duplicates":
+            assert sorted(held, key=str) == sorted(set(texts), key=str)
+        else:
+            assert len(held) == len(texts) if name == "personal_data" else len(held) <= len(texts)
