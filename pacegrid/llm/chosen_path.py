@@ -12,6 +12,7 @@ compared: first minima, then the sets themselves, exactly.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, comb
 
 import numpy as np
 import pandas as pd
@@ -32,22 +33,36 @@ BUCKET_ROWS = 256
 DEPTH = 5
 CHUNK_ROWS = 512
 #: Pairs whose share of equal minima is this much below the threshold are not compared; of
-#: pairs at the threshold fewer than one in a million is.
-MARGIN = 0.25
+#: pairs at the threshold that is one in fifty million.
+MARGIN = 0.3
 
 _SETS = "doc_id long, print binary, items binary"
 
 
-def runs_for(recall: float, jaccard: float, branches: int = BRANCHES, depth: int = DEPTH) -> int:
-    """Runs after which a pair at the threshold has met with probability `recall`, at any depth.
+def missed(runs: int, jaccard: float, branches: int = BRANCHES, depth: int = DEPTH) -> float:
+    """Share of the pairs at the threshold, of those `MARGIN` lets pass, that never meet in `runs` runs.
 
-    A pair lives on below a bucket if at least one sampled coordinate agrees and lives on:
-    p = 1 - (1 - jaccard * p) ** branches, from 1 at a final bucket.
+    All runs sample from the same minima, of which a pair has k equal ones, binomially
+    distributed. Given k, a pair lives on below a bucket if it does at one of the sampled
+    coordinates that agree: the chance p of that, from 1 at a final bucket, is averaged over
+    how many of the distinct coordinates sampled are among the k.
     """
-    p = 1.0
-    for _ in range(depth):
-        p = 1 - (1 - jaccard * p) ** branches
-    return max(1, int(np.ceil(np.log(1 - recall) / np.log(1 - p))))
+    share = 0.0
+    for k in range(max(1, ceil(COORDINATES * (jaccard - MARGIN) - 1e-9)), COORDINATES + 1):
+        p = 1.0
+        for _ in range(depth):
+            drawn = ((comb(k, h) * comb(COORDINATES - k, branches - h), h) for h in range(branches + 1))
+            p = sum(ways * (1 - (1 - p) ** h) for ways, h in drawn) / comb(COORDINATES, branches)
+        share += comb(COORDINATES, k) * jaccard**k * (1 - jaccard) ** (COORDINATES - k) * (1 - p) ** runs
+    return share
+
+
+def runs_for(recall: float, jaccard: float, branches: int = BRANCHES, depth: int = DEPTH) -> int:
+    """Runs after which a pair at the threshold has met with probability `recall`, at any depth."""
+    runs = 1
+    while missed(runs, jaccard, branches, depth) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:

@@ -114,6 +114,17 @@ def test_jaccard_query_equals_brute_force(spark):
     assert found == brute_classes(docs)
 
 
+def test_runs_reach_the_recall_with_shared_minima():
+    draw = np.random.default_rng(8)
+    runs, coordinates = chosen_path.runs_for(0.9999, 0.8), chosen_path.COORDINATES
+    equal = draw.binomial(coordinates, 0.8, 400_000)
+    p, share = np.ones(len(equal)), equal / coordinates
+    for _ in range(chosen_path.DEPTH):  # two distinct coordinates: both, one or none agree
+        both, none = share * (equal - 1) / (coordinates - 1), (1 - share) * (coordinates - equal - 1) / (coordinates - 1)
+        p = both * (1 - (1 - p) ** 2) + (1 - both - none) * p
+    assert np.mean((1 - p) ** runs) + np.mean(share < 0.8 - chosen_path.MARGIN) <= 1e-4
+
+
 def test_components_of_chains_and_rings(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100 + i, 100 + (i + 1) % 9) for i in range(9)] + [(7, 7), (300, 200), (300, 200)]
     found = dict(map(tuple, stages.components(spark.createDataFrame(links, "a long, b long")).collect()))
