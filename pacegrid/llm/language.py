@@ -32,6 +32,7 @@ SLICE_CHARS = 1_000_000
 LETTER_OR_NUMERAL = re.compile(r"[^\W\d_]")
 
 _COUNTS = "lang string, buckets binary, counts binary"
+_SEEN = "bucket int, documents long"
 _FOUND = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -116,17 +117,37 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "buckets", "counts"])
 
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel:
-    """The model of (language, buckets, counts) rows in memory."""
+def seen_by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bucket, documents): how many texts of a task have an n-gram in each bucket."""
+    documents, here = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, bool)
+    for batch in batches:
+        for text in batch.column("text"):
+            codes = folded(text.as_py())
+            for order in ORDERS:
+                here[grams(codes, order)] = True
+            found = np.flatnonzero(here)
+            documents[found] += 1
+            here[found] = False
+    some = np.flatnonzero(documents)
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(documents[some])], names=["bucket", "documents"])
+
+
+def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seen: np.ndarray | None = None, documents: int = 0) -> LanguageModel:
+    """The model of (language, buckets, counts) rows in memory.
+
+    `seen` says for each bucket how many of the corpus' `documents` have it; without, the rows are
+    the corpus.
+    """
     languages = sorted({lang for lang, _, _ in rows})
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
     order = np.random.default_rng(10).permutation(len(rows))
     rows = [rows[i] for i in order]
-    seen = np.zeros(BUCKETS)
-    for _, buckets, _ in rows:
-        seen[buckets] += 1
-    idf = np.log((1 + len(rows)) / (1 + seen)) + 1
+    if seen is None:
+        seen, documents = np.zeros(BUCKETS), len(rows)
+        for _, buckets, _ in rows:
+            seen[buckets] += 1
+    idf = np.log((1 + documents) / (1 + seen)) + 1
     examples = [(languages.index(lang), b, SCALE * idf[b] * c / c.sum()) for lang, b, c in rows]
     fitted = [e for i, e in enumerate(examples) if i % CALIBRATED] or examples
     checked = examples[::CALIBRATED]
@@ -172,23 +193,30 @@ def fit(
 ) -> LanguageModel:
     """A model of about `per_language` documents of each language outside the held-out fold.
 
-    Languages are counted over all rows; the sample is drawn by a hash of the id at the rate
-    each language needs, so rare languages are learned too. Only bucket counts of the sample
-    reach the driver. Rows without id, text or language don't count; without any, every text
-    is `und`.
+    Languages and the documents that have a bucket are counted over all rows, the latter in each
+    task before the shuffle. The sample is drawn by a hash of id and text at the rate each
+    language needs, so rare languages are learned too; rows equal in both are one there. Only the
+    counters of the buckets and the bucket counts of the sample reach the driver. Rows without id,
+    text or language don't count; without any, every text is `und`.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang"))
     rows = rows.where((fold_of(F.col("doc_id")) != HELD_FOLD) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    shares = {r.lang: min(1.0, per_language / r["count"]) for r in rows.groupBy("lang").count().collect()}
-    if not shares:
+    marks = rows.select("lang", F.xxhash64("doc_id", "text").alias("mark"), F.xxhash64(F.lit(1), "doc_id", "text").alias("check"))
+    sizes = marks.groupBy("lang").agg(F.count(F.lit(1)).alias("all"), F.count_distinct("mark", "check").alias("distinct")).collect()
+    if not sizes:
         return train([])
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(1_000_000)) / 1e6
+    shares = {r.lang: min(1.0, per_language / r["distinct"]) for r in sizes}
+    seen = np.zeros(BUCKETS)
+    for r in rows.select("text").mapInArrow(seen_by_task, _SEEN).groupBy("bucket").agg(F.sum("documents").alias("documents")).collect():
+        seen[r.bucket] = r.documents
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(10)), F.lit(1_000_000)) / 1e6
     wanted: Column = F.lit(False)
     for lang, share in shares.items():
         wanted = wanted | ((F.col("lang") == F.lit(lang)) & (draw < F.lit(float(share))))
-    sample = rows.where(wanted).select("lang", "text").mapInArrow(counted, _COUNTS).collect()
+    sample = rows.where(wanted).distinct().select("lang", "text").mapInArrow(counted, _COUNTS).collect()
     ordered = sorted(sample, key=lambda r: (r.lang, bytes(r.buckets), bytes(r.counts)))
-    return train([(r.lang, np.frombuffer(r.buckets, "<u4"), np.frombuffer(r.counts, "<u4").astype(float)) for r in ordered])
+    examples = [(r.lang, np.frombuffer(r.buckets, "<u4"), np.frombuffer(r.counts, "<u4").astype(float)) for r in ordered]
+    return train(examples, seen, sum(r["all"] for r in sizes))
 
 
 def identified(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

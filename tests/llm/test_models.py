@@ -41,6 +41,21 @@ def test_no_labels_and_one_class(spark, odd_docs):
     assert all(r.predicted == 1 for r in rule_quality.scored(odd_docs, rule_quality.fit(odd_docs, one)).collect())
 
 
+def test_language_frequencies_are_those_of_the_corpus(spark, monkeypatch):
+    held, train = [], language.train
+    monkeypatch.setattr(language, "train", lambda rows, *corpus: held.append((rows, *corpus)) or train(rows, *corpus))
+    rows = [(1, "one row again", "en")] * 300 + [(7, f"mot {i} aa", "fr") for i in range(200)] + [(7, "ein", "de")]
+    language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=20)
+    ((sample, seen, documents),) = held
+    expected = np.zeros(language.BUCKETS)
+    for _, text, _ in rows:
+        codes = language.folded(text)
+        expected[np.unique(np.concatenate([language.grams(codes, order) for order in language.ORDERS]))] += 1
+    assert documents == len(rows) and (seen == expected).all()
+    drawn = [lang for lang, _, _ in sample]
+    assert drawn.count("en") == 1 and drawn.count("de") == 1 and 5 <= drawn.count("fr") <= 50
+
+
 def test_language_on_the_held_out_fold(spark, odd_docs, no_docs):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = queries.QUERIES["op10_language"](spark, SF).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
