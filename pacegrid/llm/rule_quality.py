@@ -202,8 +202,9 @@ def fit(
     """A model of at most `sample_rows` labelled rows outside the held-out fold.
 
     The sample is drawn by a hash of the id, whatever the order of rows. Only its ids, bounded
-    by `sample_rows`, are broadcast, and only its statistics reach the driver. Rows without
-    label or id don't count; without labelled rows every score is 0.5.
+    by `sample_rows`, are broadcast, and only its statistics reach the driver: of texts that
+    share an id and label those of one, the least. Rows without label or id don't count; without
+    labelled rows every score is 0.5.
     """
     chosen = (
         labels.select(F.col(id_column).cast("long").alias("label_id"), F.col(label_column).cast("int").alias("label"))
@@ -213,6 +214,7 @@ def fit(
     )
     texts = docs.select(F.col(id_column).cast("long").alias("label_id"), F.col(text_column).alias("text"))
     rows = texts.join(F.broadcast(chosen), "label_id").select("label_id", "label", statistics(F.col("text")).alias("stats"))
+    rows = rows.groupBy("label_id", "label").agg(F.min("stats").alias("stats"))
     sample = rows.select("label_id", "label", "stats.*").toPandas().sort_values(["label_id", "label", "chars"])
     mixed = np.random.default_rng(5).permutation(len(sample))
     return fit_rules(sample[list(STATISTICS)].to_numpy(float)[mixed], sample["label"].to_numpy(float)[mixed])

@@ -41,6 +41,15 @@ def test_no_labels_and_one_class(spark, odd_docs):
     assert all(r.predicted == 1 for r in rule_quality.scored(odd_docs, rule_quality.fit(odd_docs, one)).collect())
 
 
+def test_repeated_ids_dont_widen_the_quality_sample(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(rule_quality, "fit_rules", lambda values, labels: sizes.append(len(labels)))
+    docs = spark.createDataFrame([(i % 20, f"text {i}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    rule_quality.fit(docs, labels, sample_rows=8)
+    assert sizes == [8]
+
+
 def test_language_frequencies_are_those_of_the_corpus(spark, monkeypatch):
     held, train = [], language.train
     monkeypatch.setattr(language, "train", lambda rows, *corpus: held.append((rows, *corpus)) or train(rows, *corpus))
