@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacegrid.llm import bfd_packing, chat, chosen_path, concat_cut, language, lexicon_bpe, pii, pivot_search, rule_quality, subspace_join
+from pacegrid.llm import alignment, bfd_packing, chat, chosen_path, concat_cut, language, lexicon_bpe, pii, pivot_search, rule_quality, subspace_join
 from pacegrid.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -13,6 +13,7 @@ ORACLES: dict[str, str] = {}
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def _query(function: Query) -> Query:
@@ -143,3 +144,9 @@ FROM embeddings e JOIN smallest s ON s.node = e.vec_id LEFT JOIN counted c ON c.
 @_query
 def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.jaccard_join(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_TOKENIZER)
+    return alignment.align(_table(spark, sf_dir, "documents"), *files)
