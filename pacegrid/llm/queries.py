@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacegrid.llm import alignment, bfd_packing, chat, chosen_path, concat_cut, language, lexicon_bpe, pii, pivot_search, rule_quality, subspace_join
+from pacegrid.llm import alignment, bfd_packing, chat, chosen_path, concat_cut, cuckoo_dedup, language, lexicon_bpe, pii, pivot_search, rule_quality, subspace_join
 from pacegrid.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -146,6 +146,24 @@ def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op12_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo_dedup.dedup(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_cuckoo_dedup"] = r"""
+WITH plain AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS content
+    FROM documents
+), ranked AS (
+    SELECT doc_id, content, row_number() OVER best AS place, count(*) OVER (PARTITION BY content) AS group_size,
+        first_value(doc_id) OVER best AS keep_id
+    FROM plain WINDOW best AS (PARTITION BY content ORDER BY n_chars DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM ranked
+"""
+
+
 @_query
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_TOKENIZER)

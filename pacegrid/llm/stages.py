@@ -52,6 +52,18 @@ def scan_parts(frame: DataFrame) -> int:
     return min(1 << 30, max(2 * frame.sparkSession.sparkContext.defaultParallelism, -(-size // SCAN_BYTES)))
 
 
+def heavy_join(many: DataFrame, one: DataFrame, key: str | list[str], weight: str) -> DataFrame:
+    """`many` joined with the row of `one` that has its key; `weight` says how many rows of `many` have it.
+
+    Keys of more than a thousandth of all rows, so fewer than 1,000, are broadcast, and their
+    rows stay where they are. No other key can fill a task. Both frames are read twice.
+    """
+    total = one.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    heavy, keys = one.where(F.col(weight) * 1000 > total), [key] if isinstance(key, str) else key
+    light = many.join(F.broadcast(heavy.select(keys)), keys, "left_anti").join(one.where(F.col(weight) * 1000 <= total), keys)
+    return many.join(F.broadcast(heavy), keys).unionByName(light)
+
+
 def put_file(spark: SparkSession, name: str, block: bytes) -> str:
     """`block` as one file in the shared folder; its path, which executors reach."""
     path = f"{scratch_path(spark, 'file')}/{name}"
