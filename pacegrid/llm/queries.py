@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pacegrid.llm import alignment, bfd_packing, chat, chosen_path, concat_cut, cuckoo_dedup, language, lexicon_bpe, pii, pivot_search, rule_quality, subspace_join
+from pacegrid.llm import alignment, bfd_packing, chat, chosen_path, concat_cut, cuckoo_dedup, language, lexicon_bpe, pii, pivot_search, prefix_trie, rule_quality, subspace_join
 from pacegrid.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -146,6 +146,58 @@ def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations")).drop("last_ref")
+
+
+ORACLES["op11_prefix_trie"] = """
+WITH turns AS (
+    SELECT conv_id, role, text, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS place
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), steps AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base, n, xor(4294967295, list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+            lambda crc, byte: xor(crc >> 8, step[(xor(crc, byte) & 255) + 1]))) % 6 AS shared
+    FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id), steps
+), built AS (
+    SELECT c.conv_id, c.n, CASE WHEN c.base = c.conv_id THEN 0 ELSE c.shared END AS skipped, c.base,
+        CASE WHEN c.base = c.conv_id THEN 0 ELSE least(c.shared, coalesce(b.n, 0)) END AS head
+    FROM convs c LEFT JOIN convs b ON b.conv_id = c.base
+), sequences AS (
+    SELECT b.conv_id, t.place AS depth, role, text FROM built b JOIN turns t ON t.conv_id = b.base AND t.place <= b.head
+    UNION ALL SELECT b.conv_id, head + t.place - skipped, role, text FROM built b JOIN turns t ON t.conv_id = b.conv_id AND t.place > b.skipped
+), prefixes AS (
+    SELECT conv_id, depth, length(text) AS chars, sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, ''
+            ORDER BY depth) OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS node
+    FROM sequences
+    UNION ALL SELECT conv_id, 0, 0, '' FROM built
+), members AS (
+    SELECT *, lag(node) OVER chain AS parent, lead(node) OVER chain IS NULL AS ends
+    FROM prefixes WINDOW chain AS (PARTITION BY conv_id ORDER BY depth)
+), nodes AS (
+    SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS worth,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY node, depth
+), children AS (
+    SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), full_nodes AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children, p.conv_id AS parent_conv_id
+    FROM nodes n LEFT JOIN children c ON c.node = n.node AND c.depth = n.depth
+        LEFT JOIN nodes p ON p.node = n.parent AND p.depth = n.depth - 1
+), subtrees AS (
+    SELECT m.node, m.depth, sum(f.worth) AS saved_tokens, count(*) FILTER (f.n_children = 0) AS n_leaves
+    FROM full_nodes f JOIN members m ON m.conv_id = f.conv_id AND m.depth <= f.depth GROUP BY ALL
+)
+SELECT f.conv_id, f.depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM full_nodes f JOIN subtrees s ON s.node = f.node AND s.depth = f.depth
+"""
+
+
 @_query
 def op12_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo_dedup.dedup(_table(spark, sf_dir, "documents"))
