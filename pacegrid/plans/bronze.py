@@ -23,9 +23,10 @@ from pacegrid.operators import reshape
 from pacegrid.operators.alignment import athlete_slice
 from pacegrid.operators.incremental import skip_processed
 from pacegrid.operators.quality import load_status, without_empty_batches
-from pacegrid.session import scratch_path
+from pacegrid.session import scratch_path, stored
 from pacegrid.sinks.tables import append_bronze, append_ledger, new_batch
 from pacegrid.sources import landing
+from pacegrid.sources.files import SCHEMES, scheme_of
 from pacegrid.sources.tables import SAMPLES_SCHEMA, Tables
 
 _CORRUPT = "_corrupt"
@@ -242,7 +243,8 @@ def load_documents(
     objects = {c: _stored(object_rows(staged, c, at, transforms)) for c in DOCUMENT_CHANNELS}
     for channel, rows in objects.items():
         good = rows.filter(object_reason().isNull())
-        append_bronze(good.drop("_violations", "_athlete", "_activity"), tables, channel, batch)
+        paths = {"_athlete": "path_athlete", "_activity": "path_activity"}
+        append_bronze(good.drop("_violations").withColumnsRenamed(paths), tables, channel, batch)
     entries = ledger_entries(staged, objects, tables.source)
     if not ledger_empty:
         entries = without_empty_batches(entries)
@@ -250,6 +252,15 @@ def load_documents(
     return entries
 
 
+def listing(tables: Tables, root: str, layout: str = "files", landed_since: datetime | None = None) -> DataFrame:
+    """Keys and place of every landed document, stored once for all that asks for them."""
+    if layout not in ("files", "packed"):
+        raise ValueError(f"Unknown layout: {layout}")
+    if layout == "files":
+        return stored(landing.list_files(tables.spark, root), "listing")
+    return stored(landing.list_packed(tables.spark, root, landed_since=landed_since), "listing")
+
+
 def fresh_documents(
     tables: Tables,
     root: str,
@@ -260,49 +271,53 @@ def fresh_documents(
     refresh_profiles: bool = False,
     landed_since: datetime | None = None,
     isolate: bool = False,
+    listed: DataFrame | None = None,
 ) -> DataFrame:
     """Landed documents the ledger does not hold as loaded.
 
-    An unknown channel fails the run, also when channels are selected, unless `isolate` leaves
-    that to single documents. Athletes outside the set play no part with files. With files, the
-    ledger is applied to paths and only the remaining files are opened. A sample is taken
-    before the ledger is applied and may leave nothing new. `landed_since` leaves out
-    directories of packed documents landed earlier, unread.
+    All is decided on the listing's narrow keys: the ledger, the sample, which landing of a
+    document is the last. Only then the files that hold a remaining document are opened.
+    Athletes outside the set play no part. An unknown channel of the others fails the run,
+    also when channels are selected, unless `isolate` leaves that to single documents. A
+    sample is taken before the ledger is applied and may leave nothing new. `landed_since`
+    leaves out directories of packed documents landed earlier, unlisted. `listed` is a
+    `listing` made before.
     """
-    if layout not in ("files", "packed"):
-        raise ValueError(f"Unknown layout: {layout}")
     as_files = layout == "files"
-    if as_files:
-        listed = athlete_slice(landing.list_files(tables.spark, root), athletes)
-        if not isolate:
-            landing.assert_known_channels(listed)
-        found = landing.named_files(listed)
-    else:
-        if not isolate:
-            landing.assert_known_channels(landing.packed_files(tables.spark, root))
-        found = landing.scan_packed(tables.spark, root, channels, landed_since)
-    found = athlete_slice(landing.select_channels(found, channels), athletes)
+    found = athlete_slice(listing(tables, root, layout, landed_since) if listed is None else listed, athletes)
+    if not isolate:
+        landing.assert_known_channels(found)
+    found = landing.select_channels(landing.named_files(found) if as_files else landing.last_landed(found), channels)
     if sample is not None:
         found = landing.sample_files(found, sample, order="file_path" if as_files else "activity_id")
     fresh = skip_processed(found, tables.ledger(), tables.source)
     if refresh_profiles:
         profiles = found.filter(F.col("channel") == "athlete_summary")
         fresh = fresh.filter(F.col("channel") != "athlete_summary").unionByName(profiles)
-    return landing.read_files(fresh) if as_files else fresh
+    fresh = stored(fresh, "fresh")
+    if as_files:
+        return landing.read_files(fresh)
+    if scheme_of(root) in SCHEMES:
+        return landing.read_packed(fresh)
+    keys = [*DOCUMENT_KEY, "landed"]
+    return landing.scan_packed(tables.spark, root, channels, landed_since).join(fresh.select(*keys), keys, "left_semi")
 
 
 def bronze_load(tables: Tables, root: str, at: datetime | None = None, **options) -> DataFrame:
     """Load what is new below a landing root; see `fresh_documents` and `load_documents`.
 
     Returns the batch's ledger rows, and a FAILURE for every file whose path names no
-    athlete, activity or channel; those have no ids and aren't in the stored ledger.
+    athlete, activity or channel; those have no ids and aren't in the stored ledger. Both come
+    from one listing.
     """
     writing = {k: options.pop(k) for k in ("ledger_empty", "transforms") if k in options}
     writing["isolate"] = options.get("isolate", False)
-    entries = load_documents(fresh_documents(tables, root, **options), tables, at, **writing)
-    if options.get("layout", "files") != "files":
+    layout = options.get("layout", "files")
+    listed = listing(tables, root, layout, options.get("landed_since"))
+    entries = load_documents(fresh_documents(tables, root, listed=listed, **options), tables, at, **writing)
+    if layout != "files":
         return entries
-    rejected = landing.rejected_paths(landing.list_files(tables.spark, root)).select(
+    rejected = landing.rejected_paths(listed).select(
         F.concat_ws(":", "reason", "file_path").alias("reason"),
         F.lit(FAILURE).alias("status"),
         F.lit(0).cast("long").alias("record_count"),

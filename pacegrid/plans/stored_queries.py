@@ -420,15 +420,14 @@ FROM states t LEFT JOIN (
 """
 )
 def all_athletes_faults(spark: SparkSession, sf: str) -> DataFrame:
-    """One athlete has documents of an unknown channel, one was loaded twice by runs that overlapped.
+    """One athlete has documents of an unknown channel, one has some twice in a single load.
 
     Both fail with a reason, the others are refreshed; an athlete outside the set, with an
     unknown channel of its own, plays no part.
     """
     tables, documents = _tables(spark), vector_documents(spark, sf)
     twice = documents.filter("athlete_id = '0005' AND channel = 'heartrate'").withColumnRenamed("document", "value")
-    for _ in range(2):
-        load_documents(twice, tables, LOADED_AT)
+    load_documents(twice.unionByName(twice), tables, LOADED_AT)
     strays = documents.filter("athlete_id IN ('0003', '0006') AND channel = 'time'").withColumn("channel", F.lit("gyroscope"))
     root = _landed(spark, documents.unionByName(strays))
     users = documents.filter("athlete_id <> '0006'").select(F.col("athlete_id").alias("uid")).distinct()
@@ -438,6 +437,21 @@ def all_athletes_faults(spark: SparkSession, sf: str) -> DataFrame:
     return report.join(silver, "athlete_id", "left")
 
 
+@query(SILVER_SQL)
+def load_overlapped(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads that know nothing of each other take the same documents, the later ones changed.
+
+    The first is seen: neither samples nor activities are doubled, and all athletes refresh.
+    """
+    tables, documents = _tables(spark), vector_documents(spark, sf).withColumnRenamed("document", "value")
+    other = F.replace("value", F.lit('"data":['), F.lit('"data":[9.5,')).alias("value")
+    renamed = F.replace("value", F.lit("Activity "), F.lit("Other ")).alias("value")
+    for n, changed in enumerate((F.col("value"), other, renamed)):
+        load_documents(documents.select("athlete_id", "channel", "activity_id", changed), tables, LOADED_AT + timedelta(hours=n))
+    silver_refresh(tables, at=LOADED_AT)
+    return tables.silver().drop("athlete_bucket", "metadata_insert_timestamp")
+
+
 _CONNECTED = "uid string, source string, athlete_id string, balance double, note string"
 
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from datetime import datetime
 
 from pyarrow import RecordBatch
-from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.model import DOCUMENT_KEY, SLICES
-from pacegrid.sources.landing import batch_name
+from pacegrid.sources.files import opened
+from pacegrid.sources.landing import batch_name, index_packed
 
 
 def as_document(df: DataFrame, *columns: str) -> DataFrame:
@@ -25,6 +26,7 @@ def land_raw(documents: DataFrame, root: str, at: datetime) -> None:
 
     Many documents share a file: one file each would mean billions of tiny files. The
     rebalance gathers a channel's lines in a few slices and splits a slice that is large.
+    An index of keys and files follows, by which loads open only files with new documents.
     """
     (
         documents.select(*DOCUMENT_KEY, "document")
@@ -37,24 +39,29 @@ def land_raw(documents: DataFrame, root: str, at: datetime) -> None:
         .partitionBy("channel", "landed")
         .json(root)
     )
+    index_packed(documents.sparkSession, root, batch_name(at))
 
 
 def land_files(documents: DataFrame, root: str) -> int:
     """Write each document to `athlete_id=A/{channel}/activity_id=X.json`; the number written.
 
-    The layout other tools land in. Executors write their own rows, and a task that runs
-    again writes the same files again. `root` is a path or URI that executors reach. Use
-    `land_raw` where nothing asks for single files.
+    The layout other tools land in. Executors write their own rows beside their place and
+    move them there whole, so nobody sees half a document; a task that runs again writes the
+    same files again. A null document is written as JSON's `null`. `root` is a path or URI
+    that executors reach. Use `land_raw` where nothing asks for single files.
     """
 
     def write(batches: Iterator[RecordBatch]) -> Iterator[RecordBatch]:
-        files, base = FileSystem.from_uri(root)
+        files, base, _ = opened(root)
         for batch in batches:
             for athlete, channel, activity, text in zip(*(column.to_pylist() for column in batch.columns)):
                 folder = f"{base}/athlete_id={athlete}/{channel}"
                 files.create_dir(folder, recursive=True)
-                with files.open_output_stream(f"{folder}/activity_id={activity}.json") as out:
-                    out.write((text or "").encode())
+                name = f"activity_id={activity}.json"
+                beside = f"{folder}/.{name}.{uuid.uuid4().hex}"
+                with files.open_output_stream(beside) as out:
+                    out.write(("null" if text is None else text).encode())
+                files.move(beside, f"{folder}/{name}")
             yield batch.select(["activity_id"])
 
     return documents.select(*DOCUMENT_KEY, "document").mapInArrow(write, "activity_id string").count()

@@ -8,6 +8,7 @@ JSON line each with the identity inside, in directories `channel=C/landed=T/`.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,10 +17,14 @@ from pyspark.sql import functions as F
 from pacegrid.functions.columns import path_activity, path_athlete, path_channel, path_part
 from pacegrid.model import CHANNELS, DOCUMENT_KEY
 from pacegrid.session import stored
+from pacegrid.sources import files as tasks
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 PACKED_SCHEMA = "athlete_id string, activity_id string, document string, channel string, landed string"
 DOCUMENT_SCHEMA = "athlete_id string, channel string, activity_id string, file_path string, value string"
+PACKED_KEYS = "athlete_id string, activity_id string, channel string, landed string"
+# Beside the channels; Spark's file sources pass over names with an underscore.
+PACKED_INDEX = "_index"
 
 
 class UnknownChannel(ValueError):
@@ -61,33 +66,33 @@ def assert_root(spark: SparkSession, root: str) -> None:
 
 
 def list_files(spark: SparkSession, root: str, channels: list[str] | None = None) -> DataFrame:
-    """Identity and path of every document file; contents are not read.
+    """Identity, path and length of every document file, empty ones too; contents are not read.
 
-    A channel list narrows the listing itself. Channels without a directory are absent; a
-    root that doesn't exist is an error.
+    Folders are listed in tasks, and no path passes through the driver. A channel list narrows
+    the listing itself. Channels without a directory are absent; a root that doesn't exist is
+    an error. Where only Spark can open the store, its own listing on the driver serves.
     """
     assert_root(spark, root)
+    if tasks.scheme_of(root) in tasks.SCHEMES:
+        return with_identity(tasks.list_tree(spark, root, channels))
     try:
-        return with_identity(_binary_files(spark, _tree(root, channels)).select("path"))
+        return with_identity(_binary_files(spark, _tree(root, channels)).select("path", "length"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], DOCUMENT_SCHEMA).drop("value")
+        return spark.createDataFrame([], DOCUMENT_SCHEMA.replace("value string", "length long"))
 
 
 def read_files(files: DataFrame) -> DataFrame:
-    """Contents of the listed files, and of no others, however many there are.
-
-    The driver names the paths to the scan. They are part of the listing, which Spark's file
-    index holds on the driver anyway.
-    """
+    """Contents of the listed files, and of no others, however many there are, opened in tasks."""
     spark = files.sparkSession
-    paths = [r[0] for r in files.select("file_path").toLocalIterator()]
-    if not paths:
+    first = files.select("file_path").first()
+    if first is None:
         return spark.createDataFrame([], DOCUMENT_SCHEMA)
-    return with_identity(_binary_files(spark, paths).select("path", "content")).select(
-        *DOCUMENT_KEY, "file_path", F.col("content").cast("string").alias("value")
-    )
+    if tasks.scheme_of(first[0]) in tasks.SCHEMES:
+        return tasks.read_texts(files, "file_path", "length").select(*DOCUMENT_KEY, "file_path", "value")
+    root = first[0].split("/athlete_id=")[0]
+    return scan_files(spark, root).join(files.select("file_path"), "file_path", "left_semi").select(*DOCUMENT_KEY, "file_path", "value")
 
 
 def scan_files(spark: SparkSession, root: str, channels: list[str] | None = None) -> DataFrame:
@@ -125,12 +130,73 @@ def scan_packed(
     return lines.select(*DOCUMENT_KEY, F.col("document").alias("value"), "landed")
 
 
-def packed_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path and channel of the packed files, from the listing alone."""
-    listed = (
-        spark.read.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true").load(root)
-    )
-    return listed.select("path", path_part(F.col("path"), r"/channel=([^/]+)/").alias("channel"))
+def index_packed(spark: SparkSession, root: str, landed: str) -> None:
+    """Write keys and file of every document landed at one time, below `_index/landed=T/`.
+
+    The lines are read for their keys only, so the index names what is there, also after a
+    landing that was done twice.
+    """
+    lines = _keys_of(spark, root, [f"{root}/channel=*/landed={landed}"])
+    if lines is not None:
+        lines.drop("landed").write.mode("overwrite").parquet(f"{root}/{PACKED_INDEX}/landed={landed}")
+
+
+def _keys_of(spark: SparkSession, root: str, folders: list[str]) -> DataFrame | None:
+    try:
+        lines = spark.read.schema(PACKED_KEYS).option("basePath", root).json(folders)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return lines.select(*DOCUMENT_KEY, "landed", F.col("_metadata.file_path").alias("file_path"))
+
+
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Existing folders of a pattern; there are as many as channels and landings, not documents."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [str(status.getPath().toString()) for status in found or []]
+
+
+def list_packed(
+    spark: SparkSession, root: str, channels: list[str] | None = None, landed_since: datetime | None = None
+) -> DataFrame:
+    """Keys, landing time and file of every packed document; no document's text is read.
+
+    Landings with an index are listed from it. Others, written by other tools or cut off
+    before their index, are scanned for their keys. Both filters prune directories.
+    """
+    assert_root(spark, root)
+    since = "" if landed_since is None else batch_name(landed_since)
+
+    def landed(folder: str) -> str:
+        return folder.rsplit("/landed=", 1)[1]
+
+    indexed = [f for f in _folders(spark, f"{root}/{PACKED_INDEX}/landed=*") if landed(f) >= since]
+    known = {landed(f) for f in indexed}
+    folders = [f for f in _folders(spark, f"{root}/channel=*/landed=*") if landed(f) >= since and landed(f) not in known]
+    schema = "athlete_id string, channel string, activity_id string, file_path string, landed string"
+    parts = [spark.createDataFrame([], schema).select(*DOCUMENT_KEY, "landed", "file_path")]
+    if indexed:
+        rows = spark.read.schema(schema).option("basePath", f"{root}/{PACKED_INDEX}").parquet(*indexed)
+        parts.append(rows.select(*DOCUMENT_KEY, "landed", "file_path"))
+    if folders:
+        parts.append(_keys_of(spark, root, folders))
+    listed = reduce(DataFrame.unionByName, parts)
+    return listed.filter(F.col("channel").isin(list(channels))) if channels else listed
+
+
+def read_packed(wanted: DataFrame) -> DataFrame:
+    """Texts of listed packed documents. Files without any are not opened, and no text is shuffled."""
+    keys = ["athlete_id", "activity_id"]
+    return tasks.read_lines(wanted.select(*DOCUMENT_KEY, "landed", "file_path"), keys, "document").select(*DOCUMENT_KEY, "value", "landed")
+
+
+def last_landed(listed: DataFrame) -> DataFrame:
+    """Of listed documents landed more than once, the last; of one landing, those of one file."""
+    key = list(DOCUMENT_KEY)
+    last = listed.groupBy(*key).agg(F.max(F.struct("landed", "file_path")).alias("_last"))
+    return last.select(*key, "_last.landed", "_last.file_path")
 
 
 def latest_documents(staged: DataFrame) -> DataFrame:

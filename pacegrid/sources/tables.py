@@ -2,7 +2,8 @@
 
 Bronze tables are partitioned by load batch, and the ledger row of a document is
 written after its data. A batch counts only once the ledger names it, so a load that
-died half-way leaves nothing a reader can see and the next run loads it again.
+died half-way leaves nothing a reader can see and the next run loads it again. Loads that
+overlap may both load a document; readers see it in the first batch that has it.
 """
 
 from __future__ import annotations
@@ -16,11 +17,16 @@ from pyspark.sql import types as T
 
 from pacegrid.functions.schemas import ACTIVITY_SCHEMA, ATHLETE_SCHEMA, LEDGER_SCHEMA, SILVER_SCHEMA
 from pacegrid.functions.schemas import schema_for_channel
-from pacegrid.model import DOCUMENT_CHANNELS, SAMPLE_CHANNELS, source_name
+from pacegrid.model import DOCUMENT_CHANNELS, SAMPLE_CHANNELS, SUCCESS, source_name
 from pacegrid.operators.bounds import in_scope
+from pacegrid.session import stored
 
 EXTRA = T.StructField("_extra", T.MapType(T.StringType(), T.StringType()))
 BATCH = T.StructField("batch", T.StringType())
+# Ids of the document's path, which the ledger goes by; those in its body may differ.
+PATH_IDS = [T.StructField("path_athlete", T.StringType()), T.StructField("path_activity", T.StringType())]
+#: Loaded again on purpose: every load of a profile stays visible.
+SNAPSHOTS = "athlete_summary"
 
 SAMPLES_SCHEMA = T.StructType(
     [
@@ -87,12 +93,36 @@ class Tables:
     def _ledger_batches(self) -> DataFrame:
         return read_or_empty(self.spark, self.ledger_path, T.StructType([*LEDGER_SCHEMA, BATCH]))
 
-    def _published(self, frame: DataFrame, scope: DataFrame | None) -> DataFrame:
+    def _superseded(self, scope: DataFrame | None) -> DataFrame | None:
+        """(athlete_id, data_stream, activity_id, batch) of documents that an earlier batch has too.
+
+        There are none but for loads that overlapped, and then None saves readers a join.
+        """
+        key = ["athlete_id", "data_stream", "activity_id"]
+        loaded = self._ledger_batches().filter(
+            (F.col("status") == SUCCESS) & (F.col("data_source") == self.source) & (F.col("data_stream") != SNAPSHOTS)
+        )
+        if scope is not None:
+            loaded = loaded.join(scope, scope.columns, "left_semi")
+        repeated = loaded.groupBy(*key).agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").select(*key)
+        if repeated.isEmpty():
+            return None
+        copies = loaded.select(*key, "batch").distinct().join(repeated, key, "left_semi")
+        first = copies.groupBy(*key).agg(F.min("batch").alias("_first"))
+        return stored(copies.join(first, key).filter("batch <> _first").drop("_first"), "superseded")
+
+    def _published(self, frame: DataFrame, scope: DataFrame | None, ids: dict[str, str]) -> DataFrame:
+        """Rows of batches the ledger names; `ids` says which columns hold a row's document key."""
         entries = self._ledger_batches()
         if scope is not None:
             entries = entries.join(scope, scope.columns, "left_semi")
-        # Lazy, and by the partition column: dynamic pruning opens the batches it names.
-        return frame.join(entries.select("batch").distinct(), "batch", "left_semi")
+        # By the partition column: dynamic pruning opens the batches it names.
+        named = frame.join(entries.select("batch").distinct(), "batch", "left_semi")
+        later = self._superseded(scope)
+        if later is None:
+            return named
+        later = later.select("batch", *[F.col(c).alias(own) for c, own in ids.items()])
+        return named.join(later, later.columns, "left_anti")
 
     def samples(self, scope: DataFrame | None = None) -> DataFrame:
         """All sample channels as one long table.
@@ -102,7 +132,8 @@ class Tables:
         share those batches are still there.
         """
         rows = read_or_empty(self.spark, self.bronze_path("samples"), SAMPLES_SCHEMA)
-        return self._published(rows, scope).drop("batch")
+        ids = {"athlete_id": "athlete_id", "data_stream": "channel", "activity_id": "activity_id"}
+        return self._published(rows, scope, ids).drop("batch")
 
     def bronze(self, table: str, scope: DataFrame | None = None) -> DataFrame:
         """A bronze table under its channel name, with its declared columns."""
@@ -110,8 +141,10 @@ class Tables:
             columns = schema_for_channel(self.source, table).names
             return self.samples(scope).filter(F.col("channel") == table).select(*columns)
         declared = {"activity": ACTIVITY_SCHEMA, "athlete_summary": ATHLETE_SCHEMA}[table]
-        rows = read_or_empty(self.spark, self.bronze_path(table), T.StructType([*declared, EXTRA, BATCH]))
-        return self._published(rows, scope).select(*declared.names, "_extra")
+        rows = read_or_empty(self.spark, self.bronze_path(table), T.StructType([*declared, EXTRA, *PATH_IDS, BATCH]))
+        rows = rows.withColumn("data_stream", F.lit(table))
+        ids = {"athlete_id": "path_athlete", "data_stream": "data_stream", "activity_id": "path_activity"}
+        return self._published(rows, scope, ids).select(*declared.names, "_extra")
 
     def silver(self, table: str = "aggregate_stream", schema: T.StructType = SILVER_SCHEMA) -> DataFrame:
         bucket = T.StructField("athlete_bucket", T.IntegerType())
@@ -138,12 +171,23 @@ class Tables:
 
         Views over the files, so they follow later loads. A table not yet written has none.
         """
-        published = f"batch IN (SELECT batch FROM parquet.`{self.ledger_path}`)"
+        ledger = f"parquet.`{self.ledger_path}`"
+        first = (
+            f"SELECT athlete_id, data_stream, activity_id, min(batch) AS batch FROM {ledger} "
+            f"WHERE status = '{SUCCESS}' AND data_source = '{self.source}' AND data_stream <> '{SNAPSHOTS}' "
+            "GROUP BY athlete_id, data_stream, activity_id HAVING count(*) > 1"
+        )
         named = []
 
+        def published(athlete: str, stream: str, activity: str) -> str:
+            return (
+                f"t.batch IN (SELECT batch FROM {ledger}) AND NOT EXISTS (SELECT 1 FROM ({first}) f WHERE f.batch <> t.batch "
+                f"AND f.athlete_id = t.{athlete} AND f.data_stream = {stream} AND f.activity_id = t.{activity})"
+            )
+
         def view(name: str, columns: list[str], path: str, where: str) -> None:
             listed = ", ".join(f"`{c}`" for c in columns)
-            text = f"SELECT {listed} FROM parquet.`{path}` WHERE {where}"
+            text = f"SELECT {listed} FROM parquet.`{path}` t WHERE {where}"
             try:
                 self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
             except AnalysisException as error:
@@ -156,11 +200,12 @@ class Tables:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
         for table in SAMPLE_CHANNELS:
             columns = schema_for_channel(self.source, table).names
-            where = f"channel = '{table}' AND {published}"
+            where = f"channel = '{table}' AND {published('athlete_id', f"'{table}'", 'activity_id')}"
             view(f"{self.bronze_schema}.{table}", columns, self.bronze_path("samples"), where)
         for table in DOCUMENT_CHANNELS:
             columns = schema_for_channel(self.source, table).names
-            view(f"{self.bronze_schema}.{table}", columns, self.bronze_path(table), published)
+            where = published("path_athlete", f"'{table}'", "path_activity")
+            view(f"{self.bronze_schema}.{table}", columns, self.bronze_path(table), where)
         view(f"{self.silver_schema}.aggregate_stream", SILVER_SCHEMA.names, self.silver_path(), "true")
         return named
 

@@ -1,4 +1,5 @@
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 
@@ -87,8 +88,6 @@ def test_path_without_activity_is_reported(spark, root):
 
 
 def test_rejected_paths_are_in_the_report(tables, root):
-    from pathlib import Path
-
     (Path(root) / "athlete_id=9" / "time" / "notes.json").write_text("{}")
     report = bronze_load(tables, root).filter("athlete_id IS NULL")
     assert [(r.status, r.reason.split(":")[0]) for r in report.collect()] == [("FAILURE", "no_activity_in_path")]
@@ -96,9 +95,12 @@ def test_rejected_paths_are_in_the_report(tables, root):
 
 
 def test_only_listed_files_are_opened(spark, root):
-    wanted = landing.list_files(spark, root).filter("channel = 'heartrate'")
-    read = landing.read_files(wanted)
-    assert sorted(f.rsplit("/", 2)[1] for f in read.inputFiles()) == ["heartrate"] * wanted.count()
+    wanted = landing.list_files(spark, root).filter("channel = 'heartrate'").cache()
+    assert wanted.count() == 2
+    for path in Path(root).rglob("*.json"):
+        if path.parent.name != "heartrate":
+            path.unlink()
+    assert {r.channel for r in landing.read_files(wanted).collect()} == {"heartrate"}
 
 
 def test_missing_root_is_an_error_and_an_empty_one_is_not(spark, tables, tmp_path):
