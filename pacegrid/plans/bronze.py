@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pacegrid.functions.columns import decoded, number_of, whole_number
 from pacegrid.functions.schemas import ACTIVITY_SCHEMA, ATHLETE_SCHEMA, RAW_ACTIVITY, RAW_ATHLETE
@@ -164,6 +165,22 @@ def sample_rows(staged: DataFrame, at: datetime, transforms: dict | None = None)
     return rows.select(*[F.col(c) for c in SAMPLES_SCHEMA.names if c != "batch"])
 
 
+def _unnamed(entries: Column, names: list[str]) -> Column:
+    return F.map_filter(entries, lambda k, _: ~k.isin(names))
+
+
+def _undeclared(entries: Column, raw: T.StructType) -> Column:
+    """Entries of a JSON object that the shape does not name, those of nested objects as `outer.inner`."""
+
+    def within(field: T.StructField) -> Column:
+        inner = F.from_json(F.try_element_at(entries, F.lit(field.name)), "map<string,string>")
+        rest = F.transform_keys(_unnamed(inner, field.dataType.names), lambda k, _: F.concat(F.lit(f"{field.name}."), k))
+        return F.coalesce(F.map_filter(rest, lambda k, _: ~F.map_contains_key(entries, k)), F.create_map().cast("map<string,string>"))
+
+    nested = [field for field in raw if isinstance(field.dataType, T.StructType)]
+    return F.map_concat(_unnamed(entries, raw.names), *map(within, nested)) if nested else _unnamed(entries, raw.names)
+
+
 def object_rows(staged: DataFrame, channel: str, at: datetime, transforms: dict | None = None) -> DataFrame:
     """Bronze rows of activity or profile documents, with `_violations` and `_extra`.
 
@@ -174,11 +191,10 @@ def object_rows(staged: DataFrame, channel: str, at: datetime, transforms: dict
     documents = staged.filter((F.col("channel") == channel) & F.col("reason").isNull()).select(
         F.col("athlete_id").alias("_athlete"),
         F.col("activity_id").alias("_activity"),
-        F.map_filter(F.from_json("document", "map<string,string>"), lambda k, _: ~k.isin(raw.names)).alias(
-            "_extra"
-        ),
+        F.from_json("document", "map<string,string>").alias("_entries"),
         F.from_json("document", raw).alias("_doc"),
     )
+    documents = documents.withColumn("_extra", _undeclared(F.col("_entries"), raw))
     leaves = reshape.flatten(documents.select(*kept, "_doc.*"))
     named = reshape.rename_id(reshape.clean_column_names(leaves), id_column)
     rows = reshape.stamp(reshape.dispatch(channel, named, transforms), at)

@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pacegrid.functions.schemas import ACTIVITY_SCHEMA
 from pacegrid.model import CHANNELS
 from pacegrid.operators.indexing import positional_index
 from pacegrid.sinks.landing import as_document
@@ -124,15 +125,38 @@ def vector_documents(spark: SparkSession, sf: str) -> DataFrame:
     return framed.select("athlete_id", "channel", "activity_id", document.alias("document"))
 
 
+# Declared columns that an order's activity gets from parts of their own.
+_OWN_PARTS = {
+    "activity_id", "athlete_id", "athlete_resource_state", "map_id", "map_polyline", "map_summary_polyline", "name",
+    "sport_type", "start_date", "distance", "kudos_count", "commute", "start_latitude", "start_longitude",
+    "end_latitude", "end_longitude", "metadata_insert_timestamp",
+}
+
+
+def order_fillers() -> dict[str, str]:
+    """A value for every other declared activity column, as SQL over an order that all dialects share."""
+    made = {"bigint": "o_orderkey % {n}", "double": "o_totalprice * {n}", "boolean": "o_orderkey % {n} = 0", "string": "'{name} ' || o_orderkey"}
+    return {
+        field.name: made[field.dataType.simpleString()].format(n=n + 3, name=field.name)
+        for n, field in enumerate(ACTIVITY_SCHEMA)
+        if field.name not in _OWN_PARTS
+    }
+
+
 def order_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """An activity document per order."""
+    """An activity document per order, with every declared field and undeclared ones at both levels."""
     framed = table(spark, sf, "orders").select(
         F.col("o_custkey").cast("string").alias("athlete_id"),
         F.lit("activity").alias("channel"),
         F.col("o_orderkey").cast("string").alias("activity_id"),
         F.col("o_orderkey").alias("id"),
-        F.struct(F.col("o_custkey").alias("id"), F.lit(2).alias("resource_state")).alias("athlete"),
-        F.struct(F.concat(F.lit("m"), F.col("o_orderkey")).alias("id")).alias("map"),
+        F.struct(F.col("o_custkey").alias("id"), F.lit(2).alias("resource_state"), F.col("o_orderpriority").alias("nick")).alias("athlete"),
+        F.struct(
+            F.concat(F.lit("m"), F.col("o_orderkey")).alias("id"),
+            F.concat(F.lit("p"), F.col("o_orderkey")).alias("polyline"),
+            F.array("o_orderkey", "o_custkey").alias("bounds"),
+        ).alias("map"),
+        *[F.expr(text).alias(name) for name, text in order_fillers().items()],
         F.col("o_orderpriority").alias("name"),
         F.col("o_orderstatus").alias("sport_type"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("start_date"),

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pacegrid.functions.columns import iso_micros
+from pacegrid.functions.schemas import ACTIVITY_SCHEMA
 from pacegrid.model import CHANNELS, SILVER_MEASURES
 from pacegrid.operators.reshape import decode_document
 from pacegrid.plans import bronze
@@ -15,19 +17,20 @@ from pacegrid.plans.bronze import load_documents
 from pacegrid.plans.registry import query
 from pacegrid.plans.runs import full_run as run_full
 from pacegrid.plans.runs import run_all
-from pacegrid.plans.silver import silver_refresh
+from pacegrid.plans.silver import builds_of, silver_refresh
 from pacegrid.plans.standins import (
     LOADED_AT,
     order_activities,
     order_documents,
+    order_fillers,
     table,
     vector_documents,
 )
 from pacegrid.session import scratch_path
 from pacegrid.sinks.landing import as_document, land_files, land_raw
-from pacegrid.sinks.tables import replace_by_key, stage_bucketed, upsert_by_key
+from pacegrid.sinks.tables import compact, replace_by_key, stage_bucketed, upsert_by_key
 from pacegrid.sources import landing
-from pacegrid.sources.tables import Tables
+from pacegrid.sources.tables import Tables, current_versions, read_bucketed
 from pacegrid.streaming.ingest import ingest_available
 
 _CHANNEL_LIST = "[" + ", ".join(f"'{c}'" for c in CHANNELS) + "]"
@@ -77,8 +80,7 @@ def raw_document_scan(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {VECTORS_SQL} SELECT * FROM samples")
 def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
     tables = _tables(spark)
-    root = _landed(spark, vector_documents(spark, sf))
-    load_documents(landing.scan_packed(spark, root), tables, LOADED_AT)
+    bronze.bronze_load(tables, _landed(spark, vector_documents(spark, sf)), LOADED_AT, layout="packed")
     return tables.samples().drop("metadata_insert_timestamp")
 
 
@@ -110,37 +112,66 @@ def load_ledger(spark: SparkSession, sf: str) -> DataFrame:
     return tables.ledger().drop("bq_insert_timestamp")
 
 
+_ORDER_COLUMNS = ", ".join(f"{text} AS {name}" for name, text in order_fillers().items())
+
+
 @query(
-    """
+    f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS activity_id, CAST(o_custkey AS VARCHAR) AS athlete_id,
-  CAST(2 AS BIGINT) AS athlete_resource_state, 'm' || o_orderkey AS map_id, o_orderpriority AS name,
+  CAST(2 AS BIGINT) AS athlete_resource_state, 'm' || o_orderkey AS map_id, 'p' || o_orderkey AS map_polyline,
+  CAST(NULL AS VARCHAR) AS map_summary_polyline, o_orderpriority AS name,
   o_orderstatus AS sport_type, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS start_date,
   o_totalprice AS distance, o_orderkey % 7 AS kudos_count, o_orderstatus = 'F' AS commute,
   CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS start_latitude,
   CASE WHEN o_orderstatus = 'F' THEN 1.5 END::DOUBLE AS start_longitude,
-  CAST(NULL AS DOUBLE) AS end_latitude, o_orderpriority AS device_name
+  CAST(NULL AS DOUBLE) AS end_latitude, CAST(NULL AS DOUBLE) AS end_longitude, {_ORDER_COLUMNS},
+  '2024-02-01T00:00:00.000000' AS stamped, o_orderpriority AS device_name, o_orderpriority AS nick,
+  '[' || o_orderkey || ',' || o_custkey || ']' AS bounds, 3 AS n_undeclared
 FROM orders
 """
 )
 def bronze_activity(spark: SparkSession, sf: str) -> DataFrame:
+    """All declared columns, and what the documents hold beyond them, also inside `athlete` and `map`."""
     tables = _tables(spark)
     root = _landed(spark, order_documents(spark, sf))
-    load_documents(landing.scan_packed(spark, root, ["activity"]), tables, LOADED_AT)
+    bronze.bronze_load(tables, root, LOADED_AT, layout="packed")
+    extra = F.col("_extra")
     return tables.bronze("activity").select(
-        "activity_id",
-        "athlete_id",
-        "athlete_resource_state",
-        "map_id",
-        "name",
-        "sport_type",
-        "start_date",
-        "distance",
-        "kudos_count",
-        "commute",
-        "start_latitude",
-        "start_longitude",
-        "end_latitude",
-        F.col("_extra")["device_name"].alias("device_name"),
+        *[c for c in ACTIVITY_SCHEMA.names if c != "metadata_insert_timestamp"],
+        iso_micros(F.col("metadata_insert_timestamp")).alias("stamped"),
+        extra["device_name"].alias("device_name"),
+        extra["athlete.nick"].alias("nick"),
+        extra["map.bounds"].alias("bounds"),
+        F.size(extra).alias("n_undeclared"),
+    )
+
+
+@query(
+    f"""WITH {VECTORS_SQL}
+SELECT athlete_id, activity_id, channel, channel NOT IN ('activity', 'athlete_summary') AS sampled,
+  strftime(TIMESTAMP '2024-02-01' + INTERVAL (CASE WHEN channel = 'time' THEN 1 ELSE 0 END) HOUR, '%Y-%m-%dT%H:%M:%S.000000') AS logged,
+  CASE WHEN channel IN ('activity', 'athlete_summary') THEN NULL
+    ELSE strftime(TIMESTAMP '2024-02-01' + INTERVAL (CASE WHEN channel = 'time' THEN 1 ELSE 0 END) HOUR, '%Y-%m-%dT%H:%M:%S.000000') END AS stamped,
+  CASE WHEN channel IN ('activity', 'athlete_summary') THEN 0 ELSE 1 END AS n_stamps
+FROM docs
+"""
+)
+def stamp_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches: every document's ledger row beside the one stamp that all its samples carry."""
+    tables, documents = _tables(spark), vector_documents(spark, sf).withColumnRenamed("document", "value")
+    for n, part in enumerate(("channel <> 'time'", "channel = 'time'")):
+        load_documents(documents.filter(part), tables, LOADED_AT + timedelta(hours=n))
+    key = ["athlete_id", "activity_id", "channel"]
+    stamps = tables.samples().groupBy(*key).agg(
+        F.max("metadata_insert_timestamp").alias("at"), F.count_distinct("metadata_insert_timestamp").cast("int").alias("n_stamps")
+    )
+    logged = tables.ledger().withColumnRenamed("data_stream", "channel")
+    return logged.join(stamps, key, "left").select(
+        *key,
+        F.col("at").isNotNull().alias("sampled"),
+        iso_micros(F.col("bq_insert_timestamp")).alias("logged"),
+        iso_micros(F.col("at")).alias("stamped"),
+        F.coalesce("n_stamps", F.lit(0)).alias("n_stamps"),
     )
 
 
@@ -176,6 +207,15 @@ def silver_table(spark: SparkSession, sf: str) -> DataFrame:
     return tables.silver().drop("athlete_bucket", "metadata_insert_timestamp")
 
 
+@query(SILVER_SQL)
+def silver_shipped_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide table by the SELECT that is shipped as a file."""
+    tables = _tables(spark)
+    bronze.bronze_load(tables, _landed(spark, vector_documents(spark, sf)), LOADED_AT, layout="packed")
+    silver_refresh(tables, at=LOADED_AT, builds=builds_of())
+    return tables.silver().drop("athlete_bucket", "metadata_insert_timestamp")
+
+
 @query(f"WITH {VECTORS_SQL} SELECT * FROM samples")
 def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Two landings, three stream runs; the last finds nothing."""
@@ -219,7 +259,7 @@ def _replaced(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderpriority")
     columns = ["o_custkey", "o_orderkey", "o_totalprice"]
     path, buckets = scratch_path(spark, "orders"), 16
-    stage_bucketed(orders.select(columns), buckets, "o_custkey").write.partitionBy("athlete_bucket").parquet(path)
+    replace_by_key(path, orders.select(columns), None, buckets, on=("o_custkey",))
     keys = table(spark, sf, "customer").filter("c_mktsegment = 'MACHINERY'")
     keys = keys.select(F.col("c_custkey").alias("o_custkey"))
     urgent = orders.filter("o_orderpriority = '1-URGENT'").join(keys, "o_custkey", "left_semi")
@@ -231,7 +271,34 @@ def _replaced(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
 def replace_by_key_state(spark: SparkSession, sf: str) -> DataFrame:
     """Machinery customers replaced by their urgent orders; those without any end up gone."""
     path, _ = _replaced(spark, sf)
-    return spark.read.parquet(path).drop("athlete_bucket")
+    return _orders_at(spark, sf, path)
+
+
+def _orders_at(spark: SparkSession, sf: str, path: str) -> DataFrame:
+    schema = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice").schema
+    return read_bucketed(spark, path, schema).drop("athlete_bucket")
+
+
+@query(_REPLACED_SQL)
+def replace_by_key_unswitched(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, then all orders are replaced by none in a run that dies before its switch: nothing has changed."""
+    path, _ = _replaced(spark, sf)
+    rows = _orders_at(spark, sf, path)
+    stage_bucketed(rows.limit(0), 16, "o_custkey").write.partitionBy("athlete_bucket").parquet(f"{path}/rows/version=lost")
+    return _orders_at(spark, sf, path)
+
+
+@query("SELECT o_custkey, o_orderkey, o_totalprice, CAST(1 AS INTEGER) AS versions FROM orders")
+def compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders added in five rounds of new customers, then compacted: the same rows, one version a bucket."""
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    path = scratch_path(spark, "orders")
+    for n in range(5):
+        part = orders.filter(F.col("o_custkey") % 5 == n)
+        replace_by_key(path, part, part.select("o_custkey"), 4, on=("o_custkey",))
+    compact(spark, path, orders.schema)
+    versions = current_versions(spark, path).filter("athlete_bucket >= 0").groupBy("athlete_bucket").agg(F.count(F.lit(1)).cast("int").alias("versions"))
+    return read_bucketed(spark, path, orders.schema).join(versions, "athlete_bucket").drop("athlete_bucket")
 
 
 @query(
@@ -330,6 +397,37 @@ def files_load(spark: SparkSession, sf: str) -> DataFrame:
     return tables.samples().drop("metadata_insert_timestamp")
 
 
+@query(
+    f"""WITH {VECTORS_SQL}
+SELECT athlete_id, activity_id, channel AS data_stream,
+  CASE WHEN channel = 'watts' THEN 0 WHEN channel IN ('activity', 'athlete_summary') THEN 1 WHEN channel = 'latlng' THEN 32 ELSE 64 END::BIGINT AS record_count,
+  CASE WHEN channel = 'watts' THEN 'FAILURE' ELSE 'SUCCESS' END AS status, CASE WHEN channel = 'watts' THEN 'malformed_json' END AS reason
+FROM docs
+UNION ALL SELECT NULL, NULL, NULL, 0, 'FAILURE', 'no_athlete_in_path'
+"""
+)
+def files_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Single files, the bodies of watts null, and one file whose path names nobody: each has its row, from one listing."""
+    tables, root = _tables(spark), scratch_path(spark, "landing")
+    documents = vector_documents(spark, sf)
+    null_watts = F.when(F.col("channel") != "watts", F.col("document"))
+    land_files(documents.withColumn("document", null_watts), root)
+    documents.limit(1).coalesce(1).write.json(f"{root}/notes")
+    report = bronze.bronze_load(tables, root, LOADED_AT)
+    reason = F.split("reason", ":")[0].alias("reason")
+    return report.select("athlete_id", "activity_id", "data_stream", "record_count", "status", reason)
+
+
+@query(f"WITH {VECTORS_SQL} SELECT * FROM samples WHERE athlete_id IN ('0001', '0002')")
+def load_scoped(spark: SparkSession, sf: str) -> DataFrame:
+    """Two athletes are loaded; a stranger's unknown channel doesn't stop them."""
+    tables, documents = _tables(spark), vector_documents(spark, sf)
+    stray = documents.filter("athlete_id = '0006' AND channel = 'time'").withColumn("channel", F.lit("gyroscope"))
+    athletes = documents.filter("athlete_id IN ('0001', '0002')").select("athlete_id").distinct()
+    bronze.bronze_load(tables, _landed(spark, documents.unionByName(stray)), LOADED_AT, layout="packed", athletes=athletes)
+    return tables.samples().drop("metadata_insert_timestamp")
+
+
 _STRONG = "channel = 'watts' AND index = 1 AND data > 0"
 
 
@@ -489,4 +587,4 @@ def upsert_stored(spark: SparkSession, sf: str) -> DataFrame:
     filled = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority"))
     for changes in (first, records(orders, "o_custkey", "o_orderkey", "o_totalprice", filled)):
         upsert_by_key(path, schema, changes, ["uid", "source"], "at", 16, ["balance", "note"])
-    return spark.read.schema(schema).parquet(path).drop("athlete_bucket")
+    return read_bucketed(spark, path, schema).drop("athlete_bucket")

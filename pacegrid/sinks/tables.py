@@ -14,9 +14,12 @@ from pacegrid.functions.schemas import LEDGER_SCHEMA
 from pacegrid.operators.keyed import upsert
 from pacegrid.session import scratch_path
 from pacegrid.sources.landing import batch_name
-from pacegrid.sources.tables import Tables, read_or_empty
+from pacegrid.sources.tables import BUCKET, NO_BUCKET, SWITCH_SCHEMA, Tables, current_versions, read_bucketed
 
-BUCKET = "athlete_bucket"
+#: Versions of one bucket after which it is written anew with the next change.
+MOST_VERSIONS = 8
+#: Switches whose versions stay for readers that have begun.
+KEPT_SWITCHES = 2
 
 
 def new_batch(at: datetime) -> str:
@@ -46,11 +49,43 @@ def _buckets(frame: DataFrame) -> list[int]:
     return sorted(r[0] for r in frame.select(BUCKET).distinct().collect())
 
 
-def _drop_buckets(spark: SparkSession, path: str, buckets: list[int]) -> None:
-    hadoop = spark._jsc.hadoopConfiguration()
-    for bucket in buckets:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={bucket}")
-        folder.getFileSystem(hadoop).delete(folder, True)
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of existing folders; patterns end in versions, buckets or switches, which are few."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().getName() for status in found or []]
+
+
+def _switch(spark: SparkSession, path: str, versions: list[tuple[str, int]]) -> None:
+    """Make these folders the table, by one new file; a switch that another writer has made meanwhile fails it."""
+    seq = 1 + max((int(name.split("=")[1]) for name in _folders(spark, f"{path}/switch/seq=*")), default=0)
+    rows = spark.createDataFrame([NO_BUCKET, *versions], SWITCH_SCHEMA.rsplit(",", 1)[0])
+    rows.coalesce(1).write.mode("errorifexists").parquet(f"{path}/switch/seq={seq}")
+
+
+def _published_versions(spark: SparkSession, path: str, seq: str | None = None) -> list[tuple[str, int]]:
+    frame = current_versions(spark, path) if seq is None else spark.read.parquet(f"{path}/switch/{seq}")
+    return [(r.version, r[BUCKET]) for r in frame.collect() if r.version]
+
+
+def vacuum(spark: SparkSession, path: str, kept: int = KEPT_SWITCHES) -> None:
+    """Delete switches but the last `kept`, and versions that only deleted ones name.
+
+    Versions no switch has named yet, of writers still at work, stay.
+    """
+    seqs = sorted(_folders(spark, f"{path}/switch/seq=*"), key=lambda name: int(name.split("=")[1]))
+    old, last = seqs[:-kept], seqs[-kept:]
+    if not old:
+        return
+    needed = {v for seq in last for v, _ in _published_versions(spark, path, seq)}
+    gone = {v for seq in old for v, _ in _published_versions(spark, path, seq)} - needed
+    for folder in [*(f"{path}/rows/version={v}" for v in gone), *(f"{path}/switch/{seq}" for seq in old)]:
+        _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def stage_bucketed(rows: DataFrame, buckets: int, anchor: str = "athlete_id") -> DataFrame:
@@ -79,49 +114,63 @@ def replace_by_key(
     concerned are read to find which of them hold rows to delete: those alone are rewritten,
     in the others the new rows are appended, so adding new keys costs no rewrite.
 
-    The next contents of rewritten buckets are stored in the shared folder before the table
-    is changed. Running it again after a failure gives the same table. `staged` says that
+    What is written is a new version beside those that readers see; one switch at the end makes
+    it count, so a run that dies leaves the table as it was, and so does one that another
+    writer overtakes. A bucket in very many versions is rewritten as well. `staged` says that
     `new_rows` already come from `stage_bucketed`. Returns rows deleted and inserted.
     """
-    spark = new_rows.sparkSession
+    spark, version = new_rows.sparkSession, f"v{uuid.uuid4().hex}"
     fresh = new_rows if staged else stage_bucketed(new_rows, buckets, on[0])
-    stored = read_or_empty(spark, path, fresh.schema)
-    inserted = fresh.count()
+    stored, before = read_bucketed(spark, path, fresh.schema), _published_versions(spark, path)
+    inserted, target = fresh.count(), f"{path}/rows/version={version}"
     if keys is None:
-        deleted = stored.count()
-        fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
-        return spark.createDataFrame([(deleted, inserted)], "deleted long, inserted long")
-
-    replaced = stage_bucketed(keys.select(*on).distinct(), buckets, on[0])
-    pairing = [*on, BUCKET]
-    wanted = replaced
-    concerned = stored.filter(F.col(BUCKET).isin(_buckets(replaced)))
-    hits = {
-        r[0]: r[1]
-        for r in concerned.select(*pairing)
-        .join(wanted, pairing, "left_semi")
-        .groupBy(BUCKET)
-        .agg(F.count(F.lit(1)))
-        .collect()
-    }
-    rewritten = F.col(BUCKET).isin(sorted(hits))
-    if hits:
-        kept = stage_bucketed(
-            concerned.filter(rewritten).join(wanted, pairing, "left_anti"), buckets, on[0]
-        )
-        following = kept.unionByName(fresh.filter(rewritten))
-        filled = _buckets(following)
-        (
-            following.hint("rebalance", BUCKET)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET)
-            .parquet(path)
-        )
-        # A dynamic overwrite leaves partitions alone that receive no rows.
-        _drop_buckets(spark, path, sorted(hits.keys() - set(filled)))
-    fresh.filter(~rewritten).write.mode("append").partitionBy(BUCKET).parquet(path)
-    return spark.createDataFrame([(sum(hits.values()), inserted)], "deleted long, inserted long")
+        deleted, rewritten = stored.count(), {bucket for _, bucket in before}
+        fresh.write.partitionBy(BUCKET).parquet(target)
+    else:
+        wanted, pairing = stage_bucketed(keys.select(*on).distinct(), buckets, on[0]), [*on, BUCKET]
+        concerned = stored.filter(F.col(BUCKET).isin(_buckets(wanted)))
+        hits = {
+            r[0]: r[1]
+            for r in concerned.select(*pairing)
+            .join(wanted, pairing, "left_semi")
+            .groupBy(BUCKET)
+            .agg(F.count(F.lit(1)))
+            .collect()
+        }
+        versions = [bucket for _, bucket in before]
+        deleted, rewritten = sum(hits.values()), {*hits, *(b for b in versions if versions.count(b) >= MOST_VERSIONS)}
+        again = F.col(BUCKET).isin(sorted(rewritten))
+        if rewritten:
+            kept = stored.filter(again).join(wanted, pairing, "left_anti").select(*fresh.columns)
+            kept.unionByName(fresh.filter(again)).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(target)
+        fresh.filter(~again).write.mode("append").partitionBy(BUCKET).parquet(target)
+    _publish(spark, path, version, [(v, b) for v, b in before if b not in rewritten])
+    return spark.createDataFrame([(deleted, inserted)], "deleted long, inserted long")
+
+
+def _publish(spark: SparkSession, path: str, version: str, others: list[tuple[str, int]]) -> None:
+    written = [int(name.split("=")[1]) for name in _folders(spark, f"{path}/rows/version={version}/{BUCKET}=*")]
+    _switch(spark, path, [*others, *((version, bucket) for bucket in written)])
+    if not written:
+        _delete(spark, f"{path}/rows/version={version}")
+    vacuum(spark, path)
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, most: int = 1) -> int:
+    """Rewrite buckets that lie in more than `most` versions into one each; their number.
+
+    Rows stay as they are, and readers see them throughout. The rebalance writes a bucket in
+    files of ordinary size.
+    """
+    before = _published_versions(spark, path)
+    versions = [bucket for _, bucket in before]
+    scattered = sorted({b for b in versions if versions.count(b) > most})
+    if scattered:
+        version = f"v{uuid.uuid4().hex}"
+        rows = read_bucketed(spark, path, schema).filter(F.col(BUCKET).isin(scattered))
+        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/rows/version={version}")
+        _publish(spark, path, version, [(v, b) for v, b in before if b not in scattered])
+    return len(scattered)
 
 
 def upsert_by_key(
@@ -141,6 +190,6 @@ def upsert_by_key(
     """
     spark = changes.sparkSession
     touched = changes.select(*keys).distinct()
-    stored = read_or_empty(spark, path, T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())])).drop(BUCKET)
+    stored = read_bucketed(spark, path, schema).drop(BUCKET)
     following = upsert(stored.join(touched, keys, "left_semi"), changes, keys, order, update)
     return replace_by_key(path, following, touched, buckets, tuple(keys))

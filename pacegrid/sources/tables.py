@@ -55,6 +55,30 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+BUCKET = "athlete_bucket"
+# A row of every switch, so that one without buckets is one too.
+NO_BUCKET = ("", -1)
+SWITCH_SCHEMA = f"version string, {BUCKET} int, seq int"
+
+
+def current_versions(spark: SparkSession, path: str) -> DataFrame:
+    """(version, bucket) of the folders that make up a bucketed table now: those of its last switch."""
+    switches = read_or_empty(spark, f"{path}/switch", T.StructType.fromDDL(SWITCH_SCHEMA))
+    return switches.join(F.broadcast(switches.agg(F.max("seq").alias("seq"))), "seq", "left_semi").drop("seq")
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table written by `replace_by_key`, as its last switch says; one never written has no rows.
+
+    Rows lie in `rows/version=V/athlete_bucket=B`, and which versions count for a bucket in
+    `switch/seq=N`. So a reader sees the table before a replacement or after it, never between.
+    The switch has a row for each bucket and version, which bounds what is broadcast.
+    """
+    bucket = [] if BUCKET in schema.names else [T.StructField(BUCKET, T.IntegerType())]
+    rows = read_or_empty(spark, f"{path}/rows", T.StructType([*schema, *bucket, T.StructField("version", T.StringType())]))
+    return rows.join(F.broadcast(current_versions(spark, path)), ["version", BUCKET], "left_semi").select(*schema.names, *(f.name for f in bucket))
+
+
 @dataclass(frozen=True)
 class Tables:
     """The tables of one environment and source below a root folder."""
@@ -147,8 +171,7 @@ class Tables:
         return self._published(rows, scope, ids).select(*declared.names, "_extra")
 
     def silver(self, table: str = "aggregate_stream", schema: T.StructType = SILVER_SCHEMA) -> DataFrame:
-        bucket = T.StructField("athlete_bucket", T.IntegerType())
-        return read_or_empty(self.spark, self.silver_path(table), T.StructType([*schema, bucket]))
+        return read_bucketed(self.spark, self.silver_path(table), schema)
 
     def register(self, scope: DataFrame | None = None) -> None:
         """Name every bronze table as a temporary view `{bronze schema}__{table}`.
@@ -206,7 +229,10 @@ class Tables:
             columns = schema_for_channel(self.source, table).names
             where = published("path_athlete", f"'{table}'", "path_activity")
             view(f"{self.bronze_schema}.{table}", columns, self.bronze_path(table), where)
-        view(f"{self.silver_schema}.aggregate_stream", SILVER_SCHEMA.names, self.silver_path(), "true")
+        switch = f"parquet.`{self.silver_path()}/switch`"
+        now = f"SELECT version, {BUCKET} FROM {switch} WHERE seq = (SELECT max(seq) FROM {switch})"
+        where = f"(t.version, t.{BUCKET}) IN ({now})"
+        view(f"{self.silver_schema}.aggregate_stream", SILVER_SCHEMA.names, f"{self.silver_path()}/rows", where)
         return named
 
 

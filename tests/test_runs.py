@@ -11,9 +11,9 @@ from pacegrid.plans.runs import full_run, run_all
 from pacegrid.plans.silver import builds_of, silver_refresh
 from pacegrid.session import scratch_cleared, scratch_root
 from pacegrid.sinks.landing import as_document, land_files, land_raw
-from pacegrid.sinks.tables import replace_by_key
+from pacegrid.sinks.tables import compact, replace_by_key, vacuum
 from pacegrid.sources import landing
-from pacegrid.sources.tables import Tables
+from pacegrid.sources.tables import Tables, current_versions, read_bucketed
 from pacegrid.streaming.ingest import ingest_available
 from tests.conftest import landing_tree, put, rows, samples
 
@@ -34,14 +34,56 @@ def test_replace_by_key(spark, tmp_path):
     new = spark.createDataFrame([("a1", "1", 100), ("a1", "2", 101), ("new", "1", 5)], schema)
     assert rows(replace_by_key(path, new, keys, 4)) == [(2, 3)]
     expected = {(f"a{i}", "1", i) for i in range(12) if i not in (1, 2)} | {tuple(r) for r in new.collect()}
-    state = spark.read.parquet(path)
+    state = read_bucketed(spark, path, first.schema)
     assert {(r.athlete_id, r.activity_id, r.v) for r in state.collect()} == expected and state.count() == len(expected)
     one = spark.createDataFrame([("a1", "2")], "athlete_id string, activity_id string")
     assert rows(replace_by_key(path, new.limit(0), one, 4, on=("athlete_id", "activity_id"))) == [(1, 0)]
     assert rows(replace_by_key(path, new.limit(0), one, 4, on=("athlete_id", "activity_id"))) == [(0, 0)]
-    everything = spark.read.parquet(path).select("athlete_id").distinct()
+    everything = read_bucketed(spark, path, first.schema).select("athlete_id").distinct()
     assert rows(replace_by_key(path, new.limit(0), everything, 4)) == [(12, 0)]
-    assert not [p for p in (tmp_path / "t").iterdir() if p.name.startswith("athlete_bucket=")]
+    assert read_bucketed(spark, path, first.schema).isEmpty()
+    # Versions that no kept switch names are gone.
+    assert len(list((tmp_path / "t" / "switch").iterdir())) == 2 and len(list((tmp_path / "t" / "rows").iterdir())) <= 3
+
+
+def test_readers_see_a_table_before_or_after_a_change(spark, tmp_path, monkeypatch):
+    import pacegrid.sinks.tables as sink
+
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(f"a{i}", i) for i in range(40)], "athlete_id string, v int")
+    replace_by_key(path, first, first, 4)
+    seen, switch = [], sink._switch
+
+    def watched(*args):
+        seen.append(rows(read_bucketed(spark, path, first.schema), "athlete_id", "v"))
+        switch(*args)
+
+    monkeypatch.setattr(sink, "_switch", watched)
+    new = first.withColumn("v", F.col("v") + 100)
+    replace_by_key(path, new, new, 4)
+    assert seen == [rows(first)] and rows(read_bucketed(spark, path, first.schema), "athlete_id", "v") == rows(new)
+    monkeypatch.setattr(sink, "_switch", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        replace_by_key(path, first, first, 4)
+    assert rows(read_bucketed(spark, path, first.schema), "athlete_id", "v") == rows(new)
+
+
+def test_compaction_leaves_few_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(6):
+        part = spark.createDataFrame([(f"a{n}_{i}", i) for i in range(20)], "athlete_id string, v int")
+        replace_by_key(path, part, part, 2)
+    before = rows(read_bucketed(spark, path, part.schema))
+
+    def files():
+        named = current_versions(spark, path).filter("version <> ''").collect()
+        return sum(len(list((tmp_path / "t" / "rows" / f"version={v}" / f"athlete_bucket={b}").glob("*.parquet"))) for v, b in named)
+
+    assert files() >= 12
+    assert compact(spark, path, part.schema) == 2 and compact(spark, path, part.schema) == 0
+    assert rows(read_bucketed(spark, path, part.schema)) == before
+    vacuum(spark, path, 1)
+    assert files() == 2 and len(list((tmp_path / "t" / "rows").iterdir())) == 1
 
 
 def test_packed_landing_equals_files(spark, tables, tmp_path):
