@@ -12,6 +12,13 @@ from pacegrid.model import SAMPLE_KEY, SILVER_MEASURES
 from pacegrid.operators.bounds import in_scope
 
 DRIVER = "time"
+#: Samples of an activity that lie in one task; a longer activity is dealt out by slices of its index.
+SLICE = 65_536
+PLACE = ("athlete_id", "activity_id", "_slice")
+
+
+def _sliced(samples: DataFrame) -> DataFrame:
+    return samples.withColumn("_slice", F.floor(F.col("index") / SLICE))
 
 
 def _aggregated(samples: DataFrame, measures: dict[str, tuple[str, str]], driver: str) -> DataFrame:
@@ -21,15 +28,15 @@ def _aggregated(samples: DataFrame, measures: dict[str, tuple[str, str]], driver
     # Narrow rows with a numbered channel are shuffled before the wide ones exist: a
     # partial aggregate would send every column of the result for each single sample.
     placed = (
-        samples.filter(F.col("channel").isin(channels))
-        .select(*SAMPLE_KEY, numbering[F.col("channel")].alias("_channel"), *values)
-        .repartition(*SAMPLE_KEY)
+        _sliced(samples.filter(F.col("channel").isin(channels)))
+        .select(*SAMPLE_KEY, "_slice", numbering[F.col("channel")].alias("_channel"), *values)
+        .repartition(*PLACE)
     )
 
     def pick(channel: str, column: str) -> Column:
         return F.max(F.when(F.col("_channel") == channels.index(channel), F.col(column)))
 
-    wide = placed.groupBy(*SAMPLE_KEY).agg(
+    wide = placed.groupBy(*PLACE, "index").agg(
         pick(driver, "data").alias(driver),
         *[pick(*spec).alias(name) for name, spec in measures.items()],
         F.bit_or(F.expr("shiftleft(1L, _channel)")).alias("_seen"),
@@ -40,7 +47,7 @@ def _aggregated(samples: DataFrame, measures: dict[str, tuple[str, str]], driver
     once = F.bit_count("_seen") == F.col("_rows")
     checked = F.when(once, F.col("index"))
     has_driver = F.col("_seen").bitwiseAND(F.lit(1)) != 0
-    return wide.filter(has_driver).withColumn("index", checked).drop("_seen", "_rows")
+    return wide.filter(has_driver).withColumn("index", checked).select(*SAMPLE_KEY, "_slice", driver, *measures)
 
 
 def _joined(samples: DataFrame, measures: dict[str, tuple[str, str]], driver: str) -> DataFrame:
@@ -70,8 +77,22 @@ def align_channels(
     the chain of left joins; repeated keys multiply rows there.
     """
     measures = SILVER_MEASURES if measures is None else measures
-    forms = {"agg": _aggregated, "join": _joined}
-    return forms[how](samples, measures, driver)
+    if how == "join":
+        return _joined(samples, measures, driver)
+    return _aggregated(samples, measures, driver).drop("_slice")
+
+
+def align_with_activity(samples: DataFrame, activity: DataFrame) -> DataFrame:
+    """`align_channels` and `add_activity` in one: the wide rows stay where they are made.
+
+    Narrow samples are dealt by activity and slice of the index, which serves the aggregate
+    and the join alike; the facts go to each slice that has samples. Slices keep an activity
+    with very many samples from filling one task.
+    """
+    wide = _aggregated(samples, SILVER_MEASURES, DRIVER)
+    slices = _sliced(samples.filter(F.col("channel") == DRIVER)).select(*PLACE).distinct()
+    facts = _facts(activity, PLACE[:2])
+    return _with_facts(wide, slices.join(facts, list(PLACE[:2])), PLACE).drop("_slice")
 
 
 def repeated_samples(samples: DataFrame) -> DataFrame:
@@ -87,8 +108,15 @@ def add_activity(
 
     One row of the dimension per key; of copies the greatest is taken.
     """
-    one = activity.groupBy(*on).agg(F.max(F.struct("name", "sport_type")).alias("_fact"))
-    return aligned.join(one, list(on), "left").withColumns(
+    return _with_facts(aligned, _facts(activity, on), on)
+
+
+def _facts(activity: DataFrame, on: tuple[str, ...]) -> DataFrame:
+    return activity.groupBy(*on).agg(F.max(F.struct("name", "sport_type")).alias("_fact"))
+
+
+def _with_facts(aligned: DataFrame, facts: DataFrame, on: tuple[str, ...]) -> DataFrame:
+    return aligned.join(facts, list(on), "left").withColumns(
         {"name": F.col("_fact.name"), "sport_type": F.col("_fact.sport_type")}
     ).drop("_fact")
 

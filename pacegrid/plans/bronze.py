@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,7 @@ from pacegrid.operators.alignment import athlete_slice
 from pacegrid.operators.incremental import skip_processed
 from pacegrid.operators.quality import load_status, without_empty_batches
 from pacegrid.session import scratch_path, stored
-from pacegrid.sinks.tables import append_bronze, append_ledger, new_batch
+from pacegrid.sinks.tables import append_bronze, append_ledger, append_marks, append_quarantine, new_batch
 from pacegrid.sources import landing
 from pacegrid.sources.files import SCHEMES, scheme_of
 from pacegrid.sources.tables import SAMPLES_SCHEMA, Tables
@@ -104,7 +105,7 @@ def parse_documents(documents: DataFrame) -> DataFrame:
         *DOCUMENT_KEY,
         F.col("landed") if "landed" in documents.columns else F.lit(None).cast("string").alias("landed"),
         F.monotonically_increasing_id().alias("doc_no"),
-        F.when(is_object, value).alias("document"),
+        F.when(is_object | reason.isNotNull(), value).alias("document"),
         data.alias("data"),
         F.col("_pairs.data").alias("pairs"),
         size.alias("original_size"),
@@ -227,6 +228,20 @@ def ledger_entries(staged: DataFrame, objects: dict[str, DataFrame], source: str
     return entries.withColumnRenamed("channel", "data_stream").withColumn("data_source", F.lit(source))
 
 
+def failed_bodies(staged: DataFrame, objects: dict[str, DataFrame]) -> DataFrame:
+    """Keys, body and reason of documents that can't be loaded."""
+    key = list(DOCUMENT_KEY)
+    parts = [staged.filter(F.col("reason").isNotNull()).select(*key, F.col("document").alias("value"), "reason")]
+    for channel, rows in objects.items():
+        broken = rows.filter(object_reason().isNotNull()).select(
+            F.col("_athlete").alias("athlete_id"), F.col("_activity").alias("activity_id"), object_reason().alias("_reason")
+        )
+        bodies = staged.filter((F.col("channel") == channel) & F.col("reason").isNull())
+        found = bodies.join(broken, ["athlete_id", "activity_id"])
+        parts.append(found.select(*key, F.col("document").alias("value"), F.col("_reason").alias("reason")))
+    return reshape.union_batches(*parts)
+
+
 def load_documents(
     documents: DataFrame,
     tables: Tables,
@@ -235,10 +250,12 @@ def load_documents(
     transforms: dict | None = None,
     skip_known: bool = False,
     isolate: bool = False,
+    batch: str | None = None,
 ) -> DataFrame:
-    """Write documents to bronze, then their ledger rows, as one batch of its own name.
+    """Write documents to bronze, failed ones to quarantine, then ledger rows, as one batch of its own name.
 
-    Two loads never share a batch, also not with the same `at`. With `isolate` a document of
+    Two loads never share a batch, also not with the same `at`. A caller that can repeat the
+    same documents, as a stream does, names the `batch`: written again it replaces itself. With `isolate` a document of
     an unknown channel is a FAILURE of its own; otherwise it ends the load.
 
     Returns the batch's ledger rows with `reason`, read back from the stored stage.
@@ -247,7 +264,7 @@ def load_documents(
     the ledger holds, for callers that have not done so and expect hardly any.
     """
     at = at or utc_now()
-    batch = new_batch(at)
+    batch = batch or new_batch(at)
     staged = stage_documents(documents)
     if not isolate:
         landing.assert_known_channels(staged)
@@ -261,7 +278,10 @@ def load_documents(
         good = rows.filter(object_reason().isNull())
         paths = {"_athlete": "path_athlete", "_activity": "path_activity"}
         append_bronze(good.drop("_violations").withColumnsRenamed(paths), tables, channel, batch)
+        if channel == "activity":
+            append_marks(good, tables, batch)
     entries = ledger_entries(staged, objects, tables.source)
+    append_quarantine(failed_bodies(staged, objects), tables, batch)
     if not ledger_empty:
         entries = without_empty_batches(entries)
     append_ledger(entries, tables, at, batch)
@@ -340,3 +360,16 @@ def bronze_load(tables: Tables, root: str, at: datetime | None = None, **options
         F.lit(tables.source).alias("data_source"),
     )
     return entries.unionByName(rejected, allowMissingColumns=True)
+
+
+def reload_failed(
+    tables: Tables, repair: Callable[[DataFrame], DataFrame] | None = None, at: datetime | None = None, **options
+) -> DataFrame:
+    """Load quarantined documents again, and no others; the landing isn't looked at.
+
+    `repair` takes the rows of `Tables.quarantine` and gives those to try with their `value`
+    mended. Returns the batch's ledger rows; what fails again has one attempt more.
+    """
+    held = stored(tables.quarantine(), "quarantine")
+    tried = held if repair is None else repair(held)
+    return load_documents(tried.select(*DOCUMENT_KEY, "value"), tables, at, **options)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.model import FAILURE, SAMPLE_CHANNELS, SUCCESS
-from pacegrid.operators.incremental import densify_channels, high_water_mark, newer_than
+from pacegrid.operators.incremental import densify_channels, newer_than
 from pacegrid.operators.quality import batch_status, check_connections, drop_keyless_users
 from pacegrid.plans.bronze import bronze_load, utc_now
 from pacegrid.plans.silver import silver_run
@@ -36,7 +36,7 @@ def land_new(
     document of each channel delivered; `profiles` has athlete_id and document, and is landed
     whole, since a profile has no mark.
     """
-    new = newer_than(activities, high_water_mark(tables.bronze("activity")))
+    new = newer_than(activities, tables.marks())
     keys = new.select("athlete_id", "activity_id")
     every = densify_channels(keys, bodies, list(SAMPLE_CHANNELS))
     every = every.withColumn("document", F.coalesce("document", F.lit(EMPTY_BODY)))

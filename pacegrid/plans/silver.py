@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.functions.schemas import SILVER_SCHEMA
-from pacegrid.operators.alignment import add_activity, align_channels, silver_projection
+from pacegrid.operators.alignment import add_activity, align_channels, align_with_activity, silver_projection
 from pacegrid.operators.bounds import in_scope
 from pacegrid.operators.quality import check_required
 from pacegrid.operators.sql import sql_directory, sql_transform
@@ -29,7 +29,9 @@ def aggregate_stream(tables: Tables, scope: DataFrame | None, at: datetime, how:
     """The wide per-sample rows of a scope."""
     samples = in_scope(tables.samples(scope), scope)
     activity = in_scope(tables.bronze("activity", scope), scope)
-    return silver_projection(add_activity(align_channels(samples, how), activity), at)
+    if how == "join":
+        return silver_projection(add_activity(align_channels(samples, how), activity), at)
+    return silver_projection(align_with_activity(samples, activity), at)
 
 
 def from_sql(text: str) -> Build:

@@ -229,6 +229,61 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return tables.samples().drop("metadata_insert_timestamp")
 
 
+@query(SILVER_SQL)
+def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landings, three stream runs that go on to silver; the last has a lost checkpoint and changes nothing."""
+    tables, root, log = _tables(spark), scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    documents = vector_documents(spark, sf)
+    late = F.col("activity_id").cast("long") % 3 == 0
+    for n, part in enumerate((~late, late, None)):
+        if part is not None:
+            land_raw(documents.filter(part), root, LOADED_AT + timedelta(hours=n))
+        run = log if part is not None else f"{log}-lost"
+        ingest_available(tables, root, run, layout="packed", silver=True).awaitTermination()
+    return tables.silver().drop("athlete_bucket", "metadata_insert_timestamp")
+
+
+@query("SELECT CAST(o_custkey AS VARCHAR) AS athlete_id, max(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')) AS high_water FROM orders GROUP BY ALL")
+def kept_marks(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders before 1995, then the others, loaded as activities; marks come from what each load keeps."""
+    tables, documents = _tables(spark), order_documents(spark, sf).withColumnRenamed("document", "value")
+    early = F.get_json_object("value", "$.start_date") < "1995"
+    for n, part in enumerate((early, ~early)):
+        load_documents(documents.filter(part), tables, LOADED_AT + timedelta(hours=n))
+    return tables.marks()
+
+
+@query(
+    """
+SELECT CAST(o_custkey AS VARCHAR) AS athlete_id, CAST(o_orderkey AS VARCHAR) AS activity_id,
+  CASE WHEN o_orderkey % 3 <> 2 THEN o_totalprice END AS data,
+  CASE WHEN o_orderkey % 3 = 2 THEN 'malformed_json' END AS reason, CASE WHEN o_orderkey % 3 = 2 THEN 3 END::BIGINT AS attempts
+FROM orders
+"""
+)
+def quarantine_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Two of three bodies are cut short and fail; half of those are mended and loaded, the rest is tried again.
+
+    What the bronze table holds, beside the documents that are still in quarantine.
+    """
+    tables, kind = _tables(spark), F.col("activity_id").cast("long") % 3
+    price = F.col("o_totalprice").cast("string")
+    whole = F.concat(F.lit('{"data":['), price, F.lit('],"original_size":1,"series_type":"time"}'))
+    documents = table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("athlete_id"),
+        F.lit("watts").alias("channel"),
+        F.col("o_orderkey").cast("string").alias("activity_id"),
+        F.when(F.col("o_orderkey") % 3 == 0, whole).otherwise(F.regexp_replace(whole, "}$", "")).alias("value"),
+    )
+    load_documents(documents, tables, LOADED_AT)
+    closed = F.when(kind == 1, F.concat("value", F.lit("}"))).otherwise(F.col("value"))
+    bronze.reload_failed(tables, lambda held: held.withColumn("value", closed), LOADED_AT + timedelta(hours=1))
+    bronze.reload_failed(tables, at=LOADED_AT + timedelta(hours=2))
+    held = tables.quarantine().select("athlete_id", "activity_id", F.lit(None).cast("double").alias("data"), "reason", "attempts")
+    loaded = tables.samples().select("athlete_id", "activity_id", "data", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("long").alias("attempts"))
+    return loaded.unionByName(held)
+
+
 @query(
     f"""WITH {VECTORS_SQL}
 SELECT * FROM samples WHERE channel <> 'cadence'

@@ -11,10 +11,11 @@ from pyspark.sql import types as T
 
 from pacegrid.functions.columns import bucket_of
 from pacegrid.functions.schemas import LEDGER_SCHEMA
+from pacegrid.operators.incremental import high_water_mark
 from pacegrid.operators.keyed import upsert
 from pacegrid.session import scratch_path
 from pacegrid.sources.landing import batch_name
-from pacegrid.sources.tables import BUCKET, NO_BUCKET, SWITCH_SCHEMA, Tables, current_versions, read_bucketed
+from pacegrid.sources.tables import BUCKET, NO_BUCKET, QUARANTINE_SCHEMA, SWITCH_SCHEMA, Tables, current_versions, read_bucketed
 
 #: Versions of one bucket after which it is written anew with the next change.
 MOST_VERSIONS = 8
@@ -27,11 +28,26 @@ def new_batch(at: datetime) -> str:
     return f"{batch_name(at)}-{uuid.uuid4().hex}"
 
 
+def _write_batch(rows: DataFrame, path: str, batch: str, *partitions: str) -> None:
+    # A batch that died and is written again under its name replaces what it had written.
+    named = rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    named.partitionBy(*partitions, "batch").parquet(path)
+
+
 def append_bronze(rows: DataFrame, tables: Tables, table: str, batch: str) -> None:
     """Append a batch to a bronze table; no other load's partitions are touched."""
-    partitions = ["channel", "batch"] if table == "samples" else ["batch"]
-    named = rows.withColumn("batch", F.lit(batch))
-    named.write.mode("append").partitionBy(*partitions).parquet(tables.bronze_path(table))
+    _write_batch(rows, tables.bronze_path(table), batch, *(["channel"] if table == "samples" else []))
+
+
+def append_marks(activity: DataFrame, tables: Tables, batch: str) -> None:
+    """Keep the latest start per athlete of a batch's activities, so that marks need no activity table."""
+    _write_batch(high_water_mark(activity), tables.marks_path, batch)
+
+
+def append_quarantine(failed: DataFrame, tables: Tables, batch: str) -> None:
+    """Keep the bodies of a batch's failed documents with the reason."""
+    rows = failed.select(*[f.name for f in QUARANTINE_SCHEMA])
+    _write_batch(rows, tables.quarantine_path, batch)
 
 
 def append_ledger(entries: DataFrame, tables: Tables, at: datetime, batch: str) -> None:
@@ -41,7 +57,7 @@ def append_ledger(entries: DataFrame, tables: Tables, at: datetime, batch: str)
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA],
         F.lit(batch).alias("batch"),
     )
-    rows.write.mode("append").partitionBy("batch").parquet(tables.ledger_path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(tables.ledger_path)
 
 
 def _buckets(frame: DataFrame) -> list[int]:

@@ -19,6 +19,7 @@ from pacegrid.functions.schemas import ACTIVITY_SCHEMA, ATHLETE_SCHEMA, LEDGER_S
 from pacegrid.functions.schemas import schema_for_channel
 from pacegrid.model import DOCUMENT_CHANNELS, SAMPLE_CHANNELS, SUCCESS, source_name
 from pacegrid.operators.bounds import in_scope
+from pacegrid.operators.incremental import succeeded
 from pacegrid.session import stored
 
 EXTRA = T.StructField("_extra", T.MapType(T.StringType(), T.StringType()))
@@ -44,6 +45,11 @@ SAMPLES_SCHEMA = T.StructType(
     ]
 )
 
+QUARANTINE_SCHEMA = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("athlete_id", "channel", "activity_id", "value", "reason")]
+)
+MARKS_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ("athlete_id", "high_water")])
+
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet table with its declared schema; a table never written has no rows."""
@@ -111,6 +117,38 @@ class Tables:
     def ledger_path(self) -> str:
         return f"{self.root}/{self.env}_metrics/metrics"
 
+    @property
+    def marks_path(self) -> str:
+        return f"{self.root}/{self.env}_metrics/marks_{self.source.lower()}"
+
+    @property
+    def quarantine_path(self) -> str:
+        return f"{self.root}/{self.env}_metrics/quarantine_{self.source.lower()}"
+
+    def marks(self) -> DataFrame:
+        """Latest start per athlete, from the marks that each load keeps: a row per athlete and batch."""
+        kept = self._of_batches(read_or_empty(self.spark, self.marks_path, T.StructType([*MARKS_SCHEMA, BATCH])))
+        return kept.groupBy("athlete_id").agg(F.max("high_water").alias("high_water"))
+
+    def quarantine(self) -> DataFrame:
+        """Documents that never loaded: the last body and reason, and how many loads have failed on it."""
+        key = ["athlete_id", "channel", "activity_id"]
+        failed = self._of_batches(read_or_empty(self.spark, self.quarantine_path, T.StructType([*QUARANTINE_SCHEMA, BATCH])))
+        last = failed.groupBy(*key).agg(
+            F.max(F.struct("batch", "value", "reason")).alias("_last"), F.count_distinct("batch").alias("attempts")
+        )
+        loaded = succeeded(self.ledger(), self.source).distinct()
+        return last.select(*key, "_last.value", "_last.reason", "attempts").join(loaded, key, "left_anti")
+
+    def _of_batches(self, frame: DataFrame) -> DataFrame:
+        return frame.join(self._ledger_batches().select("batch").distinct(), "batch", "left_semi")
+
+    def has_batch(self, batch: str) -> bool:
+        return not self._ledger_batches().filter(F.col("batch") == batch).isEmpty()
+
+    def batch_entries(self, batch: str) -> DataFrame:
+        return self._ledger_batches().filter(F.col("batch") == batch).drop("batch")
+
     def ledger(self) -> DataFrame:
         return self._ledger_batches().drop("batch")
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pacegrid.model import DOCUMENT_KEY
+from pacegrid.model import DOCUMENT_KEY, SUCCESS
 from pacegrid.plans.bronze import load_documents
+from pacegrid.plans.silver import silver_run
 from pacegrid.sources import landing
 from pacegrid.sources.tables import Tables
 
@@ -34,17 +37,30 @@ def stream_documents(
 
 
 def ingest_available(
-    tables: Tables, root: str, checkpoint: str, layout: str = "files", max_files: int | None = None
+    tables: Tables,
+    root: str,
+    checkpoint: str,
+    layout: str = "files",
+    max_files: int | None = None,
+    silver: bool = False,
 ) -> StreamingQuery:
-    """Load all documents not taken before, then stop.
+    """Load all documents not taken before, then stop; with `silver` the activities they touch are rebuilt.
 
-    The ledger anti-join still runs in each batch, so a lost checkpoint or a batch run
-    twice cannot load a document twice. Only new files are opened, which a batch run over
-    a large landing tree cannot promise.
+    A micro-batch is a load batch named by the checkpoint and its number. Run again after a
+    failure it replaces what it had written, or, if the ledger has it, only its activities are
+    rebuilt. The ledger anti-join still runs in each, so a lost checkpoint cannot load a
+    document twice. Only new files are opened, which a batch run over a large landing tree
+    cannot promise.
     """
+    stream_name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
-    def load(batch: DataFrame, _: int) -> None:
-        load_documents(batch, tables, skip_known=True)
+    def load(batch: DataFrame, number: int) -> None:
+        name = f"stream-{stream_name}-{number:012d}"
+        if not tables.has_batch(name):
+            load_documents(batch, tables, skip_known=True, batch=name)
+        if silver:
+            done = tables.batch_entries(name).filter(F.col("status") == SUCCESS)
+            silver_run(tables, activities=done.filter(F.col("data_stream") != "athlete_summary"))
 
     stream = stream_documents(tables.spark, root, layout, max_files)
     return (
