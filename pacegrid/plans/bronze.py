@@ -236,6 +236,8 @@ def failed_bodies(staged: DataFrame, objects: dict[str, DataFrame]) -> DataFrame
         broken = rows.filter(object_reason().isNotNull()).select(
             F.col("_athlete").alias("athlete_id"), F.col("_activity").alias("activity_id"), object_reason().alias("_reason")
         )
+        if broken.isEmpty():
+            continue
         bodies = staged.filter((F.col("channel") == channel) & F.col("reason").isNull())
         found = bodies.join(broken, ["athlete_id", "activity_id"])
         parts.append(found.select(*key, F.col("document").alias("value"), F.col("_reason").alias("reason")))

@@ -67,15 +67,15 @@ def full_run(
     """Land (when given), load bronze, rebuild silver for the activities of the batch.
 
     Only activities with a document in this batch can differ in silver, so only they are
-    rebuilt. What was landed here is loaded from its own directory; older documents that were
-    never loaded are left to a run that lands nothing, or to `landed_since=None`. Stops at
-    the first error. Returns the ledger rows of the batch, and a FAILURE for each activity
+    rebuilt. All that was ever landed and isn't loaded is tried, also what failed before: the
+    index of the landing tells, so only files with such documents are opened. `landed_since`
+    leaves older landings out. Stops at the first error. Returns the ledger rows of the batch, and a FAILURE for each activity
     whose silver rows break a requirement; those rows aren't in the stored ledger.
     """
     at = at or utc_now()
     if activities is not None and bodies is not None:
         land_new(tables, activities, bodies, root, at, profiles)
-        options = {"layout": "packed", "landed_since": at, "refresh_profiles": profiles is not None} | options
+        options = {"layout": "packed", "refresh_profiles": profiles is not None} | options
     entries = bronze_load(tables, root, at, athletes=athletes, **options)
     _, broken = silver_run(tables, activities=entries.filter(F.col("status") == SUCCESS), at=at)
     faults = broken.select(

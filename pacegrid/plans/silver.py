@@ -9,8 +9,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pacegrid.functions.schemas import SILVER_SCHEMA
+from pacegrid.functions.schemas import SILVER_SCHEMA, schema_from_json
 from pacegrid.operators.alignment import add_activity, align_channels, align_with_activity, silver_projection
 from pacegrid.operators.bounds import in_scope
 from pacegrid.operators.quality import check_required
@@ -53,6 +54,12 @@ def builds_of(folder: str = SQL_FOLDER) -> dict[str, Build]:
     return {table: from_sql(text) for table, text in sql_directory(folder).items()}
 
 
+def schemas_of(folder: str = SQL_FOLDER) -> dict[str, T.StructType]:
+    """Declared columns of the silver tables of a folder: the JSON field list beside a `*.sql` file."""
+    described = {f.stem: schema_from_json(str(f)) for f in sorted(Path(folder).glob("*.json"))}
+    return {"aggregate_stream": SILVER_SCHEMA} | described
+
+
 def refresh_scope(
     athletes: DataFrame | None = None,
     activity_id: str | None = None,
@@ -81,28 +88,30 @@ def silver_run(
     activities: DataFrame | None = None,
     at: datetime | None = None,
     builds: dict[str, Build] | None = None,
+    schemas: dict[str, T.StructType] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """`silver_refresh`, with the keys that failed and their reason beside the report.
 
-    A reason names the table and the required column that is null. The failed keys are stored
-    once; the count, what is left out of the new rows and what stays replaced all read them.
+    Every table with a declared schema is checked, that of `schemas_of` by default. A reason
+    names the table and the required column that is null. The failed keys are stored once; the count, what is left out of the new rows and what stays replaced all read them.
     """
     at = at or utc_now()
-    builds = builds or {"aggregate_stream": aggregate_stream}
+    builds, schemas = builds or {"aggregate_stream": aggregate_stream}, schemas or schemas_of()
     scope = refresh_scope(athletes, activity_id, activities)
     on = ("athlete_id",) if scope is None else tuple(scope.columns)
     reports, faults = [], []
     for table, build in builds.items():
         rows, keys, failed = stage_bucketed(build(tables, scope, at), tables.buckets), scope, 0
-        if table == "aggregate_stream":
-            nulls = check_required(rows, SILVER_SCHEMA, list(on))
+        if table in schemas:
+            nulls = check_required(rows, schemas[table], list(on))
             if nulls.count():
                 reason = F.concat_ws(":", F.lit(table), F.min("column")).alias("reason")
                 broken = stored(nulls.groupBy(*on).agg(reason), "broken")
                 faults.append(broken)
                 failed = broken.count()
                 # A full refresh also drops athletes that are stored and have no samples any more.
-                keys = rows.select(*on).unionByName(tables.silver(table).select(*on)).distinct() if scope is None else scope
+                stored_keys = tables.silver(table, schemas[table]).select(*on)
+                keys = rows.select(*on).unionByName(stored_keys).distinct() if scope is None else scope
                 rows, keys = (f.join(broken, list(on), "left_anti") for f in (rows, keys))
         done = replace_by_key(tables.silver_path(table), rows, keys, tables.buckets, on, staged=True)
         reports.append(done.select(F.lit(table).alias("table"), "*", F.lit(failed).cast("long").alias("failed")))

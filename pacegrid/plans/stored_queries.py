@@ -28,7 +28,7 @@ from pacegrid.plans.standins import (
 )
 from pacegrid.session import scratch_path
 from pacegrid.sinks.landing import as_document, land_files, land_raw
-from pacegrid.sinks.tables import compact, replace_by_key, stage_bucketed, upsert_by_key
+from pacegrid.sinks.tables import compact, compact_bronze, replace_by_key, stage_bucketed, upsert_by_key
 from pacegrid.sources import landing
 from pacegrid.sources.tables import Tables, current_versions, read_bucketed
 from pacegrid.streaming.ingest import ingest_available
@@ -605,6 +605,27 @@ def load_overlapped(spark: SparkSession, sf: str) -> DataFrame:
     return tables.silver().drop("athlete_bucket", "metadata_insert_timestamp")
 
 
+@query(
+    f"""WITH {VECTORS_SQL}
+SELECT *, CAST(1 AS INTEGER) AS batches FROM samples
+"""
+)
+def bronze_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Five loads, the last over documents that others have, compacted twice: the same rows, in one batch."""
+    tables, documents = _tables(spark), vector_documents(spark, sf).withColumnRenamed("document", "value")
+    part = F.col("activity_id").cast("long") % 4
+    for n in range(4):
+        load_documents(documents.filter(part == n), tables, LOADED_AT + timedelta(hours=n))
+        if n == 2:
+            compact_bronze(tables)
+    changed = F.replace("value", F.lit('"data":['), F.lit('"data":[9.5,'))
+    load_documents(documents.withColumn("value", changed), tables, LOADED_AT + timedelta(hours=9))
+    compact_bronze(tables)
+    rows = tables.stored_samples()
+    batches = rows.agg(F.count_distinct("batch").cast("int").alias("batches"))
+    return rows.drop("batch", "metadata_insert_timestamp").join(F.broadcast(batches))
+
+
 _CONNECTED = "uid string, source string, athlete_id string, balance double, note string"
 
 

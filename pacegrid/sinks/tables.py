@@ -11,11 +11,23 @@ from pyspark.sql import types as T
 
 from pacegrid.functions.columns import bucket_of
 from pacegrid.functions.schemas import LEDGER_SCHEMA
+from pacegrid.model import DOCUMENT_CHANNELS
 from pacegrid.operators.incremental import high_water_mark
 from pacegrid.operators.keyed import upsert
 from pacegrid.session import scratch_path
 from pacegrid.sources.landing import batch_name
-from pacegrid.sources.tables import BUCKET, NO_BUCKET, QUARANTINE_SCHEMA, SWITCH_SCHEMA, Tables, current_versions, read_bucketed
+from pacegrid.sources.tables import (
+    BATCH,
+    BUCKET,
+    MARKS_SCHEMA,
+    NO_BUCKET,
+    QUARANTINE_SCHEMA,
+    SWITCH_SCHEMA,
+    Tables,
+    current_versions,
+    read_bucketed,
+    read_or_empty,
+)
 
 #: Versions of one bucket after which it is written anew with the next change.
 MOST_VERSIONS = 8
@@ -46,7 +58,7 @@ def append_marks(activity: DataFrame, tables: Tables, batch: str) -> None:
 
 def append_quarantine(failed: DataFrame, tables: Tables, batch: str) -> None:
     """Keep the bodies of a batch's failed documents with the reason."""
-    rows = failed.select(*[f.name for f in QUARANTINE_SCHEMA])
+    rows = failed.withColumn("origin", F.lit(batch)).select(*[f.name for f in QUARANTINE_SCHEMA])
     _write_batch(rows, tables.quarantine_path, batch)
 
 
@@ -60,6 +72,52 @@ def append_ledger(entries: DataFrame, tables: Tables, at: datetime, batch: str)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(tables.ledger_path)
 
 
+def compact_bronze(tables: Tables, before: datetime | None = None) -> int:
+    """Rewrite the bronze rows of loads up to a time into one batch; how many batches that were.
+
+    The new batch is written beside the old ones; a map from old names to it, switched last by
+    one file, makes readers look there, so a run that dies changes nothing they see. Rows that
+    an earlier batch supersedes are left behind. The ledger stays as it is. Folders replaced
+    here are deleted by the next compaction, so that readers that have begun find them. Loads
+    with a time up to `before` must be over.
+    """
+    spark = tables.spark
+    last = "~" if before is None else batch_name(before)
+    known = {r.batch: r.target for r in tables.batch_map().collect()}
+    logged = [r.batch for r in tables._ledger_batches().select("batch").distinct().collect()]  # as many as loads
+    chosen = {known.get(b, b) for b in logged if b <= f"{last}~" or b in known}
+    if len(chosen) < 2:
+        return 0
+    target = f"compact-{uuid.uuid4().hex}"
+    among = F.col("batch").isin(sorted(chosen))
+    samples = tables.stored_samples().filter(among).drop("batch").hint("rebalance", "channel")
+    append_bronze(samples, tables, "samples", target)
+    for table in DOCUMENT_CHANNELS:
+        append_bronze(tables.stored_objects(table).filter(among).drop("batch", "data_stream").hint("rebalance"), tables, table, target)
+    marks = read_or_empty(spark, tables.marks_path, T.StructType([*MARKS_SCHEMA, BATCH])).filter(among)
+    _write_batch(marks.groupBy("athlete_id").agg(F.max("high_water").alias("high_water")), tables.marks_path, target)
+    held = read_or_empty(spark, tables.quarantine_path, T.StructType([*QUARANTINE_SCHEMA, BATCH])).filter(among).drop("batch")
+    _write_batch(held, tables.quarantine_path, target)
+    moved = {**known, **{b: target for b in logged if known.get(b, b) in chosen}}
+    seq = 1 + max((int(name.split("=")[1]) for name in _folders(spark, f"{tables.batch_map_path}/seq=*")), default=0)
+    rows = spark.createDataFrame(sorted(moved.items()), "batch string, target string").coalesce(1)
+    rows.write.mode("errorifexists").parquet(f"{tables.batch_map_path}/seq={seq}")
+    # What an earlier map had replaced, and every target of it that isn't one now.
+    gone = {*known, *known.values()} - set(moved.values()) - chosen
+    roots = [tables.bronze_path("samples") + "/channel=*", *map(tables.bronze_path, DOCUMENT_CHANNELS), tables.marks_path, tables.quarantine_path]
+    for batch in gone:
+        for root in roots:
+            for folder in _paths(spark, f"{root}/batch={batch}"):
+                _delete(spark, folder)
+    return len(chosen)
+
+
+def _paths(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or []]
+
+
 def _buckets(frame: DataFrame) -> list[int]:
     # At most the table's bucket count, whatever the data's size.
     return sorted(r[0] for r in frame.select(BUCKET).distinct().collect())
@@ -67,9 +125,7 @@ def _buckets(frame: DataFrame) -> list[int]:
 
 def _folders(spark: SparkSession, pattern: str) -> list[str]:
     """Names of existing folders; patterns end in versions, buckets or switches, which are few."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [status.getPath().getName() for status in found or []]
+    return [path.rsplit("/", 1)[1] for path in _paths(spark, pattern)]
 
 
 def _switch(spark: SparkSession, path: str, versions: list[tuple[str, int]]) -> None:

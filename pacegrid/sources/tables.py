@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pacegrid.functions.schemas import ACTIVITY_SCHEMA, ATHLETE_SCHEMA, LEDGER_SCHEMA, SILVER_SCHEMA
+from pacegrid.functions.schemas import LEDGER_SCHEMA, SILVER_SCHEMA
 from pacegrid.functions.schemas import schema_for_channel
 from pacegrid.model import DOCUMENT_CHANNELS, SAMPLE_CHANNELS, SUCCESS, source_name
 from pacegrid.operators.bounds import in_scope
@@ -46,7 +46,7 @@ SAMPLES_SCHEMA = T.StructType(
 )
 
 QUARANTINE_SCHEMA = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("athlete_id", "channel", "activity_id", "value", "reason")]
+    [T.StructField(name, T.StringType()) for name in ("athlete_id", "channel", "activity_id", "value", "reason", "origin")]
 )
 MARKS_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ("athlete_id", "high_water")])
 
@@ -135,13 +135,13 @@ class Tables:
         key = ["athlete_id", "channel", "activity_id"]
         failed = self._of_batches(read_or_empty(self.spark, self.quarantine_path, T.StructType([*QUARANTINE_SCHEMA, BATCH])))
         last = failed.groupBy(*key).agg(
-            F.max(F.struct("batch", "value", "reason")).alias("_last"), F.count_distinct("batch").alias("attempts")
+            F.max(F.struct("origin", "value", "reason")).alias("_last"), F.count_distinct("origin").alias("attempts")
         )
         loaded = succeeded(self.ledger(), self.source).distinct()
         return last.select(*key, "_last.value", "_last.reason", "attempts").join(loaded, key, "left_anti")
 
     def _of_batches(self, frame: DataFrame) -> DataFrame:
-        return frame.join(self._ledger_batches().select("batch").distinct(), "batch", "left_semi")
+        return frame.join(self._places(self._ledger_batches()), "batch", "left_semi")
 
     def has_batch(self, batch: str) -> bool:
         return not self._ledger_batches().filter(F.col("batch") == batch).isEmpty()
@@ -155,6 +155,20 @@ class Tables:
     def _ledger_batches(self) -> DataFrame:
         return read_or_empty(self.spark, self.ledger_path, T.StructType([*LEDGER_SCHEMA, BATCH]))
 
+    @property
+    def batch_map_path(self) -> str:
+        return f"{self.root}/{self.env}_metrics/batch_map_{self.source.lower()}"
+
+    def batch_map(self) -> DataFrame:
+        """(batch, target): where the rows of compacted batches lie now, by the last compaction's map."""
+        maps = read_or_empty(self.spark, self.batch_map_path, T.StructType.fromDDL("batch string, target string, seq int"))
+        return maps.join(maps.agg(F.max("seq").alias("seq")), "seq", "left_semi").select("batch", "target")
+
+    def _places(self, batches: DataFrame) -> DataFrame:
+        """Distinct names of the batches in which the rows of these ledger batches lie."""
+        placed = batches.select("batch").distinct().join(self.batch_map(), "batch", "left")
+        return placed.select(F.coalesce("target", "batch").alias("batch")).distinct()
+
     def _superseded(self, scope: DataFrame | None) -> DataFrame | None:
         """(athlete_id, data_stream, activity_id, batch) of documents that an earlier batch has too.
 
@@ -171,7 +185,9 @@ class Tables:
             return None
         copies = loaded.select(*key, "batch").distinct().join(repeated, key, "left_semi")
         first = copies.groupBy(*key).agg(F.min("batch").alias("_first"))
-        return stored(copies.join(first, key).filter("batch <> _first").drop("_first"), "superseded")
+        later = copies.join(first, key).filter("batch <> _first").drop("_first")
+        # A compaction leaves superseded rows behind.
+        return stored(later.join(self.batch_map(), "batch", "left_anti"), "superseded")
 
     def _published(self, frame: DataFrame, scope: DataFrame | None, ids: dict[str, str]) -> DataFrame:
         """Rows of batches the ledger names; `ids` says which columns hold a row's document key."""
@@ -179,7 +195,7 @@ class Tables:
         if scope is not None:
             entries = entries.join(scope, scope.columns, "left_semi")
         # By the partition column: dynamic pruning opens the batches it names.
-        named = frame.join(entries.select("batch").distinct(), "batch", "left_semi")
+        named = frame.join(self._places(entries), "batch", "left_semi")
         later = self._superseded(scope)
         if later is None:
             return named
@@ -193,20 +209,27 @@ class Tables:
         loaded any of its documents are read, as the ledger tells; rows of others that
         share those batches are still there.
         """
+        return self.stored_samples(scope).drop("batch")
+
+    def stored_samples(self, scope: DataFrame | None = None) -> DataFrame:
+        """The same with the batch each row lies in."""
         rows = read_or_empty(self.spark, self.bronze_path("samples"), SAMPLES_SCHEMA)
         ids = {"athlete_id": "athlete_id", "data_stream": "channel", "activity_id": "activity_id"}
-        return self._published(rows, scope, ids).drop("batch")
+        return self._published(rows, scope, ids)
+
+    def stored_objects(self, table: str, scope: DataFrame | None = None) -> DataFrame:
+        """Activity or profile rows with path ids and the batch each lies in."""
+        declared = schema_for_channel(self.source, table)
+        rows = read_or_empty(self.spark, self.bronze_path(table), T.StructType([*declared, EXTRA, *PATH_IDS, BATCH]))
+        ids = {"athlete_id": "path_athlete", "data_stream": "data_stream", "activity_id": "path_activity"}
+        return self._published(rows.withColumn("data_stream", F.lit(table)), scope, ids)
 
     def bronze(self, table: str, scope: DataFrame | None = None) -> DataFrame:
         """A bronze table under its channel name, with its declared columns."""
         if table in SAMPLE_CHANNELS:
             columns = schema_for_channel(self.source, table).names
             return self.samples(scope).filter(F.col("channel") == table).select(*columns)
-        declared = {"activity": ACTIVITY_SCHEMA, "athlete_summary": ATHLETE_SCHEMA}[table]
-        rows = read_or_empty(self.spark, self.bronze_path(table), T.StructType([*declared, EXTRA, *PATH_IDS, BATCH]))
-        rows = rows.withColumn("data_stream", F.lit(table))
-        ids = {"athlete_id": "path_athlete", "data_stream": "data_stream", "activity_id": "path_activity"}
-        return self._published(rows, scope, ids).select(*declared.names, "_extra")
+        return self.stored_objects(table, scope).select(*schema_for_channel(self.source, table).names, "_extra")
 
     def silver(self, table: str = "aggregate_stream", schema: T.StructType = SILVER_SCHEMA) -> DataFrame:
         return read_bucketed(self.spark, self.silver_path(table), schema)
@@ -230,7 +253,8 @@ class Tables:
     def create_views(self) -> list[str]:
         """Name the stored bronze and silver tables in the catalog as `{schema}.{table}`.
 
-        Views over the files, so they follow later loads. A table not yet written has none.
+        Views over the files, so they follow later loads; name them again after the first compaction.
+        A table not yet written has none.
         """
         ledger = f"parquet.`{self.ledger_path}`"
         first = (
@@ -238,11 +262,16 @@ class Tables:
             f"WHERE status = '{SUCCESS}' AND data_source = '{self.source}' AND data_stream <> '{SNAPSHOTS}' "
             "GROUP BY athlete_id, data_stream, activity_id HAVING count(*) > 1"
         )
+        moved = f"parquet.`{self.batch_map_path}`"
+        places = f"SELECT batch FROM {ledger}"
+        if not self.batch_map().isEmpty():
+            last = f"SELECT batch, target FROM {moved} WHERE seq = (SELECT max(seq) FROM {moved})"
+            places = f"SELECT coalesce(m.target, l.batch) FROM {ledger} l LEFT JOIN ({last}) m ON m.batch = l.batch"
         named = []
 
         def published(athlete: str, stream: str, activity: str) -> str:
             return (
-                f"t.batch IN (SELECT batch FROM {ledger}) AND NOT EXISTS (SELECT 1 FROM ({first}) f WHERE f.batch <> t.batch "
+                f"t.batch IN ({places}) AND NOT EXISTS (SELECT 1 FROM ({first}) f WHERE f.batch <> t.batch "
                 f"AND f.athlete_id = t.{athlete} AND f.data_stream = {stream} AND f.activity_id = t.{activity})"
             )
 
