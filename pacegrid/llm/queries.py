@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pacegrid.llm import alignment, bfd_packing, chat, chosen_path, concat_cut, cuckoo_dedup, language, lexicon_bpe, pii, pivot_search, prefix_trie, rule_quality, subspace_join
 from pacegrid.plans.registry import Query
@@ -52,7 +53,8 @@ TRIAL_TEXT = "\\### Assistant: </turn> ok"
 @_query
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    trial = spark.createDataFrame([(-7, 0, "user", TRIAL_TEXT), (-7, 1, "assistant", TRIAL_TEXT)], turns.schema)
+    roles = F.inline(F.array(*(F.struct(F.lit(n).cast("long").alias("turn"), F.lit(role).alias("role")) for n, role in enumerate(("user", "assistant")))))
+    trial = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), roles).withColumn("text", F.lit(TRIAL_TEXT))
     return chat.digests(chat.format_conversations(turns.unionByName(trial)))
 
 
@@ -72,9 +74,9 @@ WITH turns AS (
     FROM marked
 )
 SELECT conv_id, count(*) AS n_turns,
-    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
     CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
     CAST(sum(length(role) + length(text) + 14 + escapes) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
