@@ -234,5 +234,9 @@ def scored(docs: DataFrame, model: RuleModel, id_column: str = "doc_id", text_co
 
 
 def good(docs: DataFrame, model: RuleModel, text_column: str = "text") -> DataFrame:
-    """The rows of `docs` that score 0.5 or more, with all their columns."""
+    """The rows of `docs` that score 0.5 or more, with all their columns.
+
+    A null text is scored as an empty one, ids aren't looked at, repeated rows stay or go
+    together, and an empty table gives no rows.
+    """
     return docs.where(model.score(F.col(f"`{text_column}`")) >= 0.5)
