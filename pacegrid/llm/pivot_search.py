@@ -98,7 +98,8 @@ class Directory:
 
 def best_k(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, floors: np.ndarray):
     """(query place, id, score): for each query its k best rows at or above its floor, itself left out."""
-    big = max(np.abs(queries).max(initial=0), np.abs(rows).max(initial=0))
+    # Python's integers: a product of large components must not wrap before it is compared.
+    big = max(int(max(part.max(initial=0), -int(part.min(initial=0)))) for part in (queries, rows))
     exact = big * big * max(1, queries.shape[1]) < 2**52
     kind = np.float64 if exact else np.int64
     order = np.argsort(ids, kind="stable")
@@ -165,10 +166,10 @@ def top_k(
             away = distances(held, centres)
             pivot, least = away.argmin(1), away.min(1)
             ring = np.fromiter((np.searchsorted(borders[p], d, side="right") for p, d in zip(pivot, least)), np.int32, len(held))
-            columns = [batch.column("vec_id"), packed(held, kind), pa.array(pivot * rings + ring, pa.int32()), pa.array(least), pa.array(lengths(held))]
-            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "vector", "annulus", "distance", "norm"])
+            columns = [batch.column("vec_id"), batch.column("place"), packed(held, kind), pa.array(pivot * rings + ring, pa.int32()), pa.array(least), pa.array(lengths(held))]
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "place", "vector", "annulus", "distance", "norm"])
 
-    keyed, keyed_path = staged(rows.mapInArrow(key, "vec_id long, vector binary, annulus int, distance double, norm double"), "annuli", files)
+    keyed, keyed_path = staged(rows.withColumn("place", F.monotonically_increasing_id()).mapInArrow(key, "vec_id long, place long, vector binary, annulus int, distance double, norm double"), "annuli", files)
     bounds = (F.count(F.lit(1)).alias("n"), F.min("distance").alias("low"), F.max("distance").alias("high"), F.max("norm").alias("norm"))
     listed = keyed.groupBy("annulus").agg(*bounds).orderBy("annulus").collect()  # at most pivots * rings rows
     numbers = np.array([r.annulus for r in listed], np.int64)
@@ -210,15 +211,17 @@ def top_k(
         return pa.table({"query_id": pa.array(asking, pa.int64()), "vec_id": pa.array(best, pa.int64()), "score": pa.array(scores, pa.int64())})
 
     cuts = F.element_at(F.lit([int(c) for c in chunks]), F.col("annulus") + 1)
-    dealt = keyed.select("vec_id", "vector", "annulus", F.pmod(F.xxhash64("vec_id", "vector"), cuts).cast("int").alias("chunk"))
-    spread = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # By the stored row's number too, so that a row that is there very often fills no chunk.
+    dealt = keyed.select("vec_id", "vector", "annulus", F.pmod(F.xxhash64("vec_id", "place"), cuts).cast("int").alias("chunk"))
     keys = ("annulus", "chunk", "block")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def ranked(asking: DataFrame, first: bool) -> DataFrame:
         wanted = asking.mapInArrow(visits(first), "vec_id long, vector binary, floor long, annulus int, chunk int")
         wanted = wanted.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
-        needed = spread.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
+        # A vector goes to the blocks that visit its chunk, and to no other.
+        visited = wanted.select("annulus", "chunk", (F.col("block") + 0).alias("block")).distinct()  # a column of its own
+        needed = dealt.join(visited, ["annulus", "chunk"])
         found = needed.groupBy(*keys).cogroup(wanted.groupBy(*keys)).applyInArrow(tile, "query_id long, vec_id long, score long")
         return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
