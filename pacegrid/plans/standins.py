@@ -82,7 +82,7 @@ def quoted_json(text: Column) -> Column:
 
 
 def vector_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """A landed document per vector; thirteen in a row are the channels of one activity."""
+    """A landed document per vector, which holds all of it; thirteen in a row are the channels of one activity."""
     order = F.col("vec_id") % len(CHANNELS)
     activity = F.floor(F.col("vec_id") / len(CHANNELS))
     values = F.col("embedding").cast("array<double>")
@@ -113,9 +113,10 @@ def vector_documents(spark: SparkSession, sf: str) -> DataFrame:
             F.concat(F.lit("Activity "), F.col("activity_id")).alias("name"),
             F.concat(F.lit("sport "), F.col("label")).alias("sport_type"),
             F.slice(v, 1, 2).alias("start_latlng"),
+            v.alias("trace"),
         )
     )
-    profile = quoted_json(F.to_json(F.struct(F.col("athlete_id").alias("id"), F.col("label").alias("city"))))
+    profile = quoted_json(F.to_json(F.struct(F.col("athlete_id").alias("id"), F.col("label").alias("city"), v.alias("trace"))))
     document = (
         F.when(channel == "latlng", pairs)
         .when(channel == "activity", summary)

@@ -66,15 +66,24 @@ def _landed(spark: SparkSession, documents: DataFrame) -> str:
 @query(
     f"""WITH {VECTORS_SQL}
 SELECT athlete_id, channel, activity_id, '20240201T000000000000' AS landed,
-  CASE WHEN channel = 'athlete_summary' THEN label END AS city
-FROM docs
+  CASE WHEN channel = 'athlete_summary' THEN label END AS city, i AS place,
+  CASE WHEN channel <> 'moving' THEN v[i] WHEN v[i] > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS number
+FROM docs, range(1, 65) AS r(i)
 """
 )
 def raw_document_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Every number of every body, of all channels."""
     root = _landed(spark, vector_documents(spark, sf))
-    scanned = landing.scan_packed(spark, root, list(CHANNELS))
-    city = F.when(F.col("channel") == "athlete_summary", F.get_json_object("value", "$.city"))
-    return decode_document(scanned).select("athlete_id", "channel", "activity_id", "landed", city.alias("city"))
+    scanned = decode_document(landing.scan_packed(spark, root, list(CHANNELS)))
+    body, channel = F.coalesce(*(F.get_json_object("value", f"$.{name}") for name in ("data", "trace"))), F.col("channel")
+    numbers = (
+        F.when(channel == "latlng", F.flatten(F.from_json(body, "array<array<double>>")))
+        .when(channel == "moving", F.from_json(body, "array<boolean>").cast("array<double>"))
+        .otherwise(F.from_json(body, "array<double>"))
+    )
+    city = F.when(channel == "athlete_summary", F.get_json_object("value", "$.city")).alias("city")
+    rows = scanned.select("athlete_id", "channel", "activity_id", "landed", city, F.posexplode(numbers).alias("place", "number"))
+    return rows.withColumn("place", F.col("place").cast("long") + 1)
 
 
 @query(f"WITH {VECTORS_SQL} SELECT * FROM samples")

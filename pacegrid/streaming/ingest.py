@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,11 @@ def stream_documents(
     return landing.named_files(landing.with_identity(files))
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the streaming query that a checkpoint belongs to; Spark writes it when the query starts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def ingest_available(
     tables: Tables,
     root: str,
@@ -46,16 +51,15 @@ def ingest_available(
 ) -> StreamingQuery:
     """Load all documents not taken before, then stop; with `silver` the activities they touch are rebuilt.
 
-    A micro-batch is a load batch named by the checkpoint and its number. Run again after a
-    failure it replaces what it had written, or, if the ledger has it, only its activities are
-    rebuilt. The ledger anti-join still runs in each, so a lost checkpoint cannot load a
+    A micro-batch is a load batch named by the query's id, which its checkpoint keeps, and its
+    number. Run again after a failure it replaces what it had written, or, if the ledger has
+    it, only its activities are rebuilt. A checkpoint made anew has another id. The ledger anti-join still runs in each, so a lost checkpoint cannot load a
     document twice. Only new files are opened, which a batch run over a large landing tree
     cannot promise.
     """
-    stream_name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def load(batch: DataFrame, number: int) -> None:
-        name = f"stream-{stream_name}-{number:012d}"
+        name = f"stream-{query_id(tables.spark, checkpoint)}-{number:012d}"
         if not tables.has_batch(name):
             load_documents(batch, tables, skip_known=True, batch=name)
         if silver:

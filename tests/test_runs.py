@@ -14,7 +14,7 @@ from pacegrid.sinks.landing import as_document, land_files, land_raw
 from pacegrid.sinks.tables import compact, replace_by_key, vacuum
 from pacegrid.sources import landing
 from pacegrid.sources.tables import Tables, current_versions, read_bucketed
-from pacegrid.streaming.ingest import ingest_available
+from pacegrid.streaming.ingest import ingest_available, query_id
 from tests.conftest import landing_tree, put, rows, samples
 
 AT = datetime(2024, 5, 1, tzinfo=timezone.utc)
@@ -126,6 +126,8 @@ def test_stream_takes_each_document_once(spark, tables, tmp_path):
     ingest_available(tables, str(root), str(tmp_path / "log2")).awaitTermination()
     assert tables.samples().count() == 14
     assert tables.ledger().filter("status = 'SUCCESS'").count() == 9
+    names = {r.batch for r in tables._ledger_batches().select("batch").distinct().collect()}
+    assert {n.rsplit("-", 1)[0] for n in names} == {f"stream-{query_id(spark, c)}" for c in (log, str(tmp_path / "log2"))}
     batch = Tables(spark, str(tmp_path / "batch"), buckets=4)
     bronze_load(batch, str(root))
     keys = ["athlete_id", "activity_id", "channel", "index", "data", "latitude"]
