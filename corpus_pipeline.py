@@ -35,13 +35,21 @@ def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced by its kind; n_chars follows the new text."""
+    """Texts with personal data replaced by its kind; n_chars follows the new text.
+
+    Null texts stay null with their n_chars; all rows stay, repeated ones and those with a null
+    id too; an empty table gives no rows.
+    """
     cleaned = pii.redact(docs)
     return cleaned.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 2048 tokens."""
+    """Pieces of the documents in sequences of 2048 tokens.
+
+    A null or empty text is its end id alone; null ids stay null; each repeated row is packed by
+    itself; an empty table gives no pieces.
+    """
     return concat_cut.pack_pieces(docs, public_tokenizers.path(TOKENIZER))
 
 
