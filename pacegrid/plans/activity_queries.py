@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacegrid.model import SILVER_MEASURES
-from pacegrid.operators import alignment, incremental, keyed, quality
+from pacegrid.functions.schemas import required_columns, schema_for_channel, struct_from_fields
+from pacegrid.model import CHANNELS, SILVER_MEASURES
+from pacegrid.operators import alignment, incremental, keyed, quality, reshape
 from pacegrid.operators.sql import sql_transform
 from pacegrid.plans.registry import query
 from pacegrid.plans.reshape_queries import EVENT_CHANNEL_SQL, SAMPLES_SQL
@@ -19,6 +20,7 @@ from pacegrid.plans.standins import (
     order_activities,
     table,
     user_connections,
+    vector_documents,
 )
 from pacegrid.sources import landing
 from pacegrid.sources.tables import connection_scan
@@ -379,3 +381,87 @@ def sql_transform_one_activity(spark: SparkSession, sf: str) -> DataFrame:
     return sql_transform(spark, _PER_DAY, args)
 
 
+@query(
+    """
+SELECT kind, kind <> 'F' AS refused, CASE WHEN kind = 'F' THEN n ELSE 0 END AS orders
+FROM (SELECT o_orderstatus AS kind, count(*) AS n FROM orders GROUP BY o_orderstatus)
+"""
+)
+def guarded_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """A text per order state: the SELECT runs, statements that change something are refused before they do."""
+    table(spark, sf, "orders").createOrReplaceTempView("pacegrid_orders")
+    counted = "SELECT o_orderstatus AS kind, count(*) AS orders FROM pacegrid_orders GROUP BY o_orderstatus"
+    texts = {"F": counted, "O": f"INSERT INTO pacegrid_orders {counted}", "P": "DROP VIEW pacegrid_orders"}
+    found = spark.sql(counted)
+    states = found.select("kind", F.lit(True).alias("refused"), F.lit(0).cast("long").alias("orders"))
+    parts = []
+    for kind, text in texts.items():
+        own = F.col("kind") == kind
+        try:
+            parts.append(sql_transform(spark, text).filter(own).select("kind", F.lit(False).alias("refused"), "orders"))
+        except ValueError:
+            parts.append(states.filter(own))
+    return reshape.union_batches(*parts)
+
+
+@query(
+    """
+WITH docs AS (
+  SELECT ['activity', 'athlete_summary', 'time', 'distance', 'latlng', 'altitude', 'velocity_smooth', 'heartrate', 'cadence',
+    'watts', 'temp', 'moving', 'grade_smooth'][vec_id % 13 + 1] AS channel FROM embeddings
+)
+SELECT channel, count(*) AS documents,
+  CASE channel WHEN 'activity' THEN 60 WHEN 'athlete_summary' THEN 59 WHEN 'latlng' THEN 8 ELSE 7 END AS n_columns,
+  CASE channel WHEN 'activity' THEN 'activity_id,athlete_id,metadata_insert_timestamp'
+    WHEN 'athlete_summary' THEN 'athlete_id,metadata_insert_timestamp'
+    WHEN 'latlng' THEN 'athlete_id,activity_id,metadata_insert_timestamp'
+    ELSE 'series_type,athlete_id,activity_id,metadata_insert_timestamp' END AS required
+FROM docs GROUP BY channel
+"""
+)
+def declared_channels(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of each channel beside the schema declared for it."""
+    schemas = {channel: schema_for_channel("strava", channel) for channel in CHANNELS}
+
+    def told(value) -> Column:
+        return F.create_map(*[F.lit(x) for channel, schema in schemas.items() for x in (channel, value(schema))])[F.col("channel")]
+
+    counted = vector_documents(spark, sf).groupBy("channel").agg(F.count(F.lit(1)).alias("documents"))
+    return counted.select(
+        "channel", "documents", told(lambda s: len(s)).alias("n_columns"), told(lambda s: ",".join(required_columns(s))).alias("required")
+    )
+
+
+@query(
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS held,
+  TRY_CAST(o_orderpriority[1:1] AS BIGINT) AS rank, CAST(NULL AS DOUBLE) AS weight,
+  CASE WHEN o_orderstatus = 'F' THEN CASE WHEN TRY_CAST(o_orderpriority[1:1] AS BIGINT) IS NULL THEN 'rank' ELSE '' END
+    WHEN TRY_CAST(o_orderpriority[1:1] AS BIGINT) IS NULL THEN 'held,rank' ELSE 'held' END AS _violations
+FROM orders
+"""
+)
+def field_list_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in the shape of a field list as it stands in a JSON file: types, modes, an absent column."""
+    fields = [
+        {"name": "o_orderkey", "type": "STRING", "mode": "REQUIRED"},
+        {"name": "held", "type": "INTEGER", "mode": "REQUIRED", "description": "customer of a finished order"},
+        {"name": "rank", "type": "INTEGER"},
+        {"name": "weight", "type": "FLOAT"},
+    ]
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")).alias("held"), F.left("o_orderpriority", F.lit(1)).alias("rank")
+    )
+    return reshape.conform(orders, struct_from_fields(fields), extra=None)
+
+
+@query(
+    f"""WITH {SAMPLES_SQL}
+SELECT athlete_id, activity_id, "index", true AS stamped_now FROM samples WHERE channel = 'time'
+"""
+)
+def silver_stamped_now(spark: SparkSession, sf: str) -> DataFrame:
+    """Without a load time the wide rows carry the time of the query."""
+    wide = alignment.silver_projection(alignment.align_channels(event_samples(spark, sf)).withColumns(dict.fromkeys(("name", "sport_type"), F.lit(None).cast("string"))))
+    stamped = F.col("metadata_insert_timestamp") == F.current_timestamp()
+    return wide.select("athlete_id", "activity_id", "index", stamped.alias("stamped_now"))
