@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacegrid.llm.rule_quality import HELD_FOLD, fold_of
-from pacegrid.llm.stages import text_slices
+from pacegrid.llm.stages import remove, staged, text_slices
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 400
+MOST_LANGUAGES = 256
 EPOCHS = 4
 ALPHA, BETA, LASSO, RIDGE = 0.5, 1.0, 0.05, 0.01
 SCALE = 50.0
@@ -187,22 +188,26 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seen: np.ndarray | Non
 def fit(
     docs: DataFrame,
     per_language: int = SAMPLE_PER_LANGUAGE,
+    languages: int = MOST_LANGUAGES,
     id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
 ) -> LanguageModel:
     """A model of about `per_language` documents of each language outside the held-out fold.
 
-    Languages and the documents that have a bucket are counted over all rows, the latter in each
-    task before the shuffle. The sample is drawn by a hash of id and text at the rate each
+    The `languages` with the most documents are learned, which bounds the model where the
+    column is dirty. Rows that have a bucket are counted over all rows, in each task before the shuffle. The sample is drawn by a hash of id and text at the rate each
     language needs, so rare languages are learned too; rows equal in both are one there. Only the
     counters of the buckets and the bucket counts of the sample reach the driver. Rows without id,
     text or language don't count; without any, every text is `und`.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang"))
     rows = rows.where((fold_of(F.col("doc_id")) != HELD_FOLD) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    marks = rows.select("lang", F.xxhash64("doc_id", "text").alias("mark"), F.xxhash64(F.lit(1), "doc_id", "text").alias("check"))
-    sizes = marks.groupBy("lang").agg(F.count(F.lit(1)).alias("all"), F.count_distinct("mark", "check").alias("distinct")).collect()
+    marks = rows.select("lang", F.xxhash64("doc_id", "text").alias("mark"))
+    counted_sizes, path = staged(marks.groupBy("lang").agg(F.count(F.lit(1)).alias("all"), F.approx_count_distinct("mark").alias("distinct")), "languages")
+    documents = counted_sizes.agg(F.sum("all")).first()[0]
+    sizes = counted_sizes.orderBy(F.desc("all"), "lang").limit(languages).collect()
+    remove(docs.sparkSession, path)
     if not sizes:
         return train([])
     shares = {r.lang: min(1.0, per_language / r["distinct"]) for r in sizes}
@@ -216,7 +221,7 @@ def fit(
     sample = rows.where(wanted).distinct().select("lang", "text").mapInArrow(counted, _COUNTS).collect()
     ordered = sorted(sample, key=lambda r: (r.lang, bytes(r.buckets), bytes(r.counts)))
     examples = [(r.lang, np.frombuffer(r.buckets, "<u4"), np.frombuffer(r.counts, "<u4").astype(float)) for r in ordered]
-    return train(examples, seen, sum(r["all"] for r in sizes))
+    return train(examples, seen, documents)
 
 
 def identified(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -242,7 +247,11 @@ def identified(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id",
 
 
 def told(docs: DataFrame, model: LanguageModel, least: float = 0.5, text_column: str = "text") -> DataFrame:
-    """The rows of `docs` whose language is known with a score of `least` or more, all columns kept."""
+    """The rows of `docs` whose language is known with a score of `least` or more, all columns kept.
+
+    Null, empty and letterless texts are of no known language and go; repeated rows stay or go
+    together; rows with a null id are judged as all others; an empty table gives no rows.
+    """
     place = docs.columns.index(text_column)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
