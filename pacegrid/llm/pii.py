@@ -22,8 +22,20 @@ URL_BODY = frozenset(string.ascii_letters + string.digits + "-._~:/?#[]@!$&'()*+
 WORD = frozenset(string.ascii_letters + string.digits)
 
 SCHEMES = ("http://", "https://", "ftp://")
-ACCOUNT_CUES = ("iban", "account", "acct", "konto", "compte", "cuenta", "ssn", "token", "api_key", "password")
-STREET_CUES = ("street", "avenue", "road", "lane", "boulevard")
+ACCOUNT_CUES = (
+    "account", "acct", "account no", "account number", "routing number", "ssn", "passport", "token", "api_key", "api key", "secret", "password",
+    "konto", "kontonummer", "steuernummer", "passwort", "compte", "mot de passe", "cuenta", "contraseña", "dni",
+)
+IBAN_CUES = ("iban",)
+# Street words by where the number and the name stand: `12 Elm street`, `12 rue X`, `calle X 12`, `Elmstraße 12`.
+STREETS_AFTER = ("street", "avenue", "road", "lane", "boulevard", "drive", "court")
+STREETS_BEFORE = ("rue", "avenue", "boulevard", "chemin", "impasse")
+STREETS_FIRST = ("calle", "avenida", "plaza", "paseo")
+STREETS_WITHIN = ("straße", "strasse", "gasse", "allee", "platz")
+#: Letters before `straße` in one word; looked back for at every cue, so few.
+LONGEST_NAME = 40
+#: Fixed value: most characters of an IBAN.
+IBAN_LONGEST = 34
 
 SPANS = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 REDACTED = "text string"
@@ -31,15 +43,17 @@ REDACTED = "text string"
 
 @lru_cache(maxsize=1)
 def automaton() -> ahocorasick.Automaton:
-    """Anchors: at-sign, plus, digits, schemes and identifier cues, matched on lowered text."""
+    """Anchors: at-sign, plus, digits, schemes, identifier cues and street words, matched on lowered text."""
     found = ahocorasick.Automaton()
     for digit in string.digits:
         found.add_word(digit, ("digit", 1))
     found.add_word("@", ("at", 1))
     found.add_word("+", ("plus", 1))
-    for kind, cues in (("scheme", SCHEMES), ("account", ACCOUNT_CUES), ("street", STREET_CUES)):
+    for kind, cues in (("scheme", SCHEMES), ("account", ACCOUNT_CUES), ("iban", IBAN_CUES)):
         for cue in cues:
             found.add_word(cue, (kind, len(cue)))
+    for cue in {*STREETS_AFTER, *STREETS_BEFORE, *STREETS_FIRST, *STREETS_WITHIN}:
+        found.add_word(cue, ("street", len(cue)))
     found.make_automaton()
     return found
 
@@ -156,7 +170,80 @@ def account_after(text: str, cue_end: int) -> tuple[int, int] | None:
     return (start, end) if 8 <= len(kept) <= 64 and sum(c in DIGITS for c in kept) >= 4 else None
 
 
-def address_around(text: str, cue: int, cue_end: int) -> tuple[int, int] | None:
+def iban_after(text: str, cue_end: int) -> tuple[int, int] | None:
+    """The longest IBAN after a cue: letters and digits, in groups by single spaces, whose remainder is 1."""
+    size, start = len(text), cue_end
+    while start < size and start - cue_end < 6 and text[start] in " :=.#-":
+        start += 1
+    end, found, plain = start, None, ""
+    while end < size and len(plain) < IBAN_LONGEST and (text[end] in WORD or text[end] == " " and end + 1 < size and text[end + 1] in WORD):
+        if text[end] in WORD:
+            plain += text[end].upper()
+            last = end + 1 == size or text[end + 1] not in WORD
+            if last and len(plain) >= 15 and plain[:2].isalpha() and plain[2:4].isdigit() and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+                found = start, end + 1
+        end += 1
+    return found
+
+
+def names_and_number(text: str, place: int) -> int | None:
+    """End of one to four words and a house number that stand at `place`, each after a space."""
+    end, words = place, 0
+    while words < 5 and end + 1 < len(text) and text[end] == " ":
+        stop = end + 1
+        while stop < len(text) and (text[stop].isalnum() or text[stop] == "'"):
+            stop += 1
+        word = text[end + 1 : stop]
+        if words and word and all(c in DIGITS for c in word):
+            return stop if len(word) <= 5 else None
+        if not word or word[0] in DIGITS:
+            return None
+        end, words = stop, words + 1
+    return None
+
+
+def house_number(text: str, end: int) -> int | None:
+    """Start of a house number of up to five digits that ends before the space or comma at `end`."""
+    start = end
+    while start > 0 and text[start - 1] in DIGITS:
+        start -= 1
+    return start if 0 < end - start <= 5 and (start == 0 or text[start - 1] in " \n,(") else None
+
+
+def address_around(text: str, lowered: str, cue: int, cue_end: int) -> tuple[int, int] | None:
+    """The address around a street word, by where its language puts the number and the name."""
+    word = lowered[cue:cue_end]
+    apart = cue == 0 or not text[cue - 1].isalnum()
+    if word in STREETS_WITHIN:
+        start = cue
+        while start > 0 and text[start - 1].isalpha() and cue - start < LONGEST_NAME:
+            start -= 1
+        stop = cue_end + 1
+        while stop < len(text) and text[stop] in DIGITS and stop - cue_end <= 5:
+            stop += 1
+        whole = text[cue_end : cue_end + 1] == " " and stop > cue_end + 1 and (stop == len(text) or not text[stop].isalnum())
+        return (start, stop) if whole and start < cue else None
+    if not apart or cue_end < len(text) and text[cue_end].isalnum():
+        return None
+    if word in STREETS_AFTER and (span := address_before(text, cue, cue_end)):
+        return span
+    if word in STREETS_FIRST and (end := names_and_number(text, cue_end)):
+        return cue, end
+    if word in STREETS_BEFORE and cue > 1 and text[cue - 1] == " ":
+        number_end = cue - 2 if text[cue - 2] == "," else cue - 1
+        start, end = house_number(text, number_end), cue_end
+        for _ in range(3):  # up to three words of the name
+            stop = end + 1
+            while stop < len(text) and (text[stop].isalpha() or text[stop] in "'-"):
+                stop += 1
+            if end >= len(text) or text[end] != " " or stop == end + 1:
+                break
+            end = stop
+        return (start, end) if start is not None and end > cue_end else None
+    return None
+
+
+def address_before(text: str, cue: int, cue_end: int) -> tuple[int, int] | None:
     """A house number and one to four words before a street cue."""
     if cue_end < len(text) and text[cue_end] in WORD or cue == 0 or text[cue - 1] != " ":
         return None
@@ -185,7 +272,8 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     """
     found: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
     free = dict.fromkeys(("email", "ip", "card", "phone", "url", "account", "address"), 0)
-    for last, (anchor, length) in automaton().iter(folded(text)):
+    lowered = folded(text)
+    for last, (anchor, length) in automaton().iter(lowered):
         start = last - length + 1
         if anchor == "digit":
             if start >= free["ip"]:
@@ -215,7 +303,11 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
                 if span := account_after(text, last + 1):
                     found["account"].append(span)
                     free["account"] = span[1]
-        elif start >= free["address"] and (span := address_around(text, start, last + 1)):
+        elif anchor == "iban":
+            if start >= free["account"] and (start == 0 or text[start - 1] not in WORD) and (span := iban_after(text, last + 1)):
+                found["account"].append(span)
+                free["account"] = span[1]
+        elif start >= free["address"] and (span := address_around(text, lowered, start, last + 1)):
             if span[0] >= free["address"]:
                 found["address"].append(span)
                 free["address"] = span[1]
@@ -267,7 +359,8 @@ def span_digests(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """`docs` with personal data in `text_column` replaced by its kind; null texts stay null.
 
-    All columns are kept, in their order.
+    All columns are kept, in their order, and all rows, repeated ones and those with a null id
+    too; an empty table gives no rows. Other columns may have any name.
     """
     place = docs.columns.index(text_column)
 
