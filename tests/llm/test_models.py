@@ -77,6 +77,35 @@ def test_language_on_the_held_out_fold(spark, odd_docs, no_docs):
     assert language.told(odd_docs, model).columns == odd_docs.columns
 
 
+def test_only_so_many_languages_are_learned(spark):
+    rows = [(3 * i, f"texte numero {i}", f"l{i % 7}" if i % 3 else "en") for i in range(90)]
+    docs = spark.createDataFrame([r for r in rows], "doc_id long, text string, lang string")
+    assert len(language.fit(docs, languages=2).languages) == 2
+
+
+def test_kept_rows_are_those_that_score(spark, odd_docs):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(300)
+    both = docs.unionByName(docs.limit(20))
+    quality = rule_quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    scores = rule_quality.scored(both, quality)
+    assert rule_quality.good(both, quality).count() == scores.where("score >= 0.5").count()
+    model = language.fit(docs, per_language=30)
+    sure = language.identified(both, model).where("lang_pred <> 'und' AND score >= 0.7").count()
+    assert language.told(both, model, 0.7).count() == sure
+
+
+def test_null_turns_come_first(spark):
+    rows = [(1, 1, "user", "b"), (1, None, "assistant", "a"), (1, 0, "user", "c")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    (row,) = chat.digests(chat.format_conversations(turns)).collect()
+    assert row.turns_sha256 == hashlib.sha256(b"assistant\na\nuser\nc\nuser\nb\n").hexdigest()
+
+
+def test_trial_rows_are_made_without_python(spark):
+    plan = queries.QUERIES["op8_chat_format"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ExistingRDD" not in plan and "Arrow" not in plan
+
+
 def test_numerals_are_no_letters():
     one = language.train([("en", np.array([1], "<u4"), np.array([2.0])), ("fr", np.array([2], "<u4"), np.array([1.0]))])
     names, scores = one.predict([None, "", "²", "½ Ⅷ _ 12", "٣ ٤", "²a", "日"])

@@ -69,6 +69,23 @@ def test_top_k_with_odd_rows(spark, monkeypatch):
     assert pivot_search.top_k(frame.limit(4), lambda v: v == 0).count() == 3
 
 
+def test_large_components_are_multiplied_exactly():
+    rows = np.array([[2**32, 3], [-(2**32), 5], [7, -9]], np.int64)
+    found = pivot_search.best_k(rows[2:], np.array([9]), rows[:2], np.array([1, 2]), 2, np.array([-np.inf]))
+    assert found == [(0, 1, 7 * 2**32 - 27), (0, 2, -7 * 2**32 - 45)]
+    big = pivot_search.best_k(np.array([[2**31 - 1, 1]]), np.array([9]), np.array([[2**31 - 3, 1]]), np.array([1]), 1, np.array([-np.inf]))
+    assert big == [(0, 1, (2**31 - 1) * (2**31 - 3) + 1)]
+
+
+def test_a_row_that_is_there_very_often(spark, monkeypatch):
+    monkeypatch.setattr(pivot_search, "CHUNK_ROWS", 8)
+    rows = [(1, [1.0, 2.0])] * 60 + [(i, [float(i), 1.0]) for i in range(2, 9)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    found = pivot_search.top_k(frame, lambda v: v == 4, pivots=2, rings=2, sample_rows=20).collect()
+    assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"])][:5] == [8, 7, 6, 5, 3]
+    assert [r.vec_id for r in sorted(found, key=lambda r: r["rank"])][5:] in ([2, 1, 1, 1, 1], [1, 1, 1, 1, 2], [1, 1, 1, 1, 1])
+
+
 def shingled(text):
     words = (text or "").lower().split()
     return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()

@@ -41,6 +41,75 @@ def test_cues_and_redaction():
     assert pii.redacted(text, pii.find_spans(text)) == "see [URL]. [ACCOUNT]".replace("[ACCOUNT]", "account [ACCOUNT]") + ", [ADDRESS], mail [EMAIL] now"
 
 
+def test_accounts_and_addresses_of_four_languages():
+    def told(text):
+        return [(kind, text[a:b]) for kind, a, b in pii.find_spans(text)]
+
+    assert told("iban DE89 3704 0044 0532 0130 00 ok") == [("account", "DE89 3704 0044 0532 0130 00")]
+    assert told("IBAN: GB29NWBK60161331926819, x") == [("account", "GB29NWBK60161331926819")]
+    assert told("iban DE89 3704 0044 0532 0130 01") == []
+    assert told("mot de passe: abc12345678") == [("account", "abc12345678")]
+    assert told("account number 12345678 and") == [("account", "12345678")]
+    addresses = ["12 Long Elm street", "12, rue de la Paix", "calle Mayor 12", "Hauptstraße 12"]
+    assert [told(f"in {a}.") for a in addresses] == [[("address", a)] for a in addresses]
+    for text in ("see road 12", "strasse 5", "la rue", "calle", "street", "calle Mayor", "rue 5", "12 rue"):
+        assert told(text) == []
+    assert pii.find_spans("straße" * 200_000) == [] and pii.find_spans("calle " * 200_000) == []
+
+
+def test_base_digests_of_the_table_are_those_of_the_patterns(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = {r.doc_id: r for r in pii.span_digests(docs).collect()}
+    for row in docs.collect():
+        spans = base_spans(row.text or "")
+        told = ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
+        assert found[row.doc_id].base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        assert found[row.doc_id].n_email == sum(kind == "email" for kind, _, _ in spans)
+
+
+def test_encoded_and_decoded(spark, odd_docs):
+    docs = odd_docs.select("doc_id", "text")
+    library = Tokenizer.from_file(WORDS)
+    name = lexicon_bpe.publish_lexicon(docs, WORDS)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for row in lexicon_bpe.encoded(docs, WORDS, name).collect():
+        ids = library.encode(texts[row.doc_id] or "", add_special_tokens=False).ids
+        assert row.ids == ids and row.decoded == library.decode(ids, skip_special_tokens=False) == lexicon_bpe.decode(ids, WORDS)
+
+
+def test_words_of_steady_texts_are_those_of_the_property_pattern():
+    import regex
+
+    by_property, draw = regex.compile(lexicon_bpe.WORDS), random.Random(6)
+    _, spelled = lexicon_bpe.steady_words()
+    spans = [lexicon_bpe.STEADY[i : i + 3] for i in range(0, len(lexicon_bpe.STEADY), 3)]
+    steady = [chr(c) for a, _, b in spans for c in range(ord(a), ord(b) + 1)]
+    for _ in range(3_000):
+        text = "".join(draw.choice(steady[:1328] if draw.random() < 0.8 else steady) for _ in range(30))
+        assert spelled.findall(text) == by_property.findall(text)
+
+
+def test_written_matrices_hold_the_packed_ids(spark, odd_docs, tmp_path):
+    rows = bfd_packing.pack(odd_docs, BYTES, width=128)
+    bfd_packing.write_matrices(rows, str(tmp_path / "out"))
+    written = spark.read.parquet(str(tmp_path / "out"))
+    columns = ["sequence_id", "input_ids", "cu_seqlens", "position_resets"]
+    assert sorted(written.select(columns).collect()) == sorted(rows.select(columns).collect())
+
+
+def test_long_white_space_goes_through_both_packings(spark):
+    texts = [" " * 1_200_000, "a" + "\n" * 1_100_000 + "b", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sizes = {i: len(ids) for i, ids in enumerate(expected_ids(texts))}
+    pieces = concat_cut.pack_pieces(docs, BYTES).groupBy("doc_id").sum("length").collect()
+    assert {r.doc_id: r[1] for r in pieces} == sizes
+    found = dict.fromkeys(sizes, 0)
+    for row in bfd_packing.pack(docs, BYTES).select("doc_ids", "cu_seqlens").collect():
+        for doc, a, b in zip(row.doc_ids, row.cu_seqlens, row.cu_seqlens[1:]):
+            found[doc] += b - a
+    assert found == sizes
+
+
 def test_span_digests_of_odd_rows(odd_docs, no_docs):
     out = pii.span_digests(odd_docs).collect()
     assert len(out) == odd_docs.count() and pii.span_digests(no_docs).isEmpty()
