@@ -12,11 +12,15 @@ from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pacegrid.session import stored
+
 READERS = 8
 BATCH_BYTES = 16_000_000
 #: Bytes and files that one task reads.
 TASK_BYTES = 64_000_000
 TASK_FILES = 4_096
+#: Wanted keys of one file that a task holds at once.
+TASK_KEYS = 250_000
 #: Schemes that tasks open by themselves; others are left to Spark's own sources.
 SCHEMES = ("file", "s3", "s3a", "gs", "hdfs", "abfss")
 
@@ -126,19 +130,26 @@ def read_lines(wanted: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Lines of JSON-lines files whose `keys` are wanted, with the field `text` as `value`.
 
     `wanted` has `file_path`, the keys (strings) and more columns that are the same for all
-    rows of a file. Each file is opened once, by the task that has its wanted keys; no other
-    file is opened and no text is shuffled. Lines that repeat a key are all there.
+    rows of a file. Each file is opened by the task that has its wanted keys, or by a task for
+    each part of them where they are more than TASK_KEYS; no other file is opened and no text
+    is shuffled. Lines that repeat a key are all there.
     """
     more = [c for c in wanted.columns if c not in (*keys, "file_path")]
-    tasks = max(1, wanted.select("file_path").distinct().count())
+    files = wanted.groupBy("file_path").agg(F.ceil(F.count(F.lit(1)) / TASK_KEYS).alias("_parts"))
+    size = files.agg(F.coalesce(F.sum("_parts"), F.lit(0)).alias("tasks"), F.max("_parts").alias("most")).first()
+    tasks, parts = max(1, size.tasks), F.lit(1)
+    if size.tasks and size.most > 1:
+        wanted, parts = wanted.join(stored(files.filter("_parts > 1"), "files"), "file_path", "left"), F.coalesce("_parts", F.lit(1))
+    dealt = wanted.withColumn("_part", F.pmod(F.xxhash64(*keys), parts))
     asked = F.collect_set(F.to_json(F.array(*keys))).alias("asked")
-    by_file = wanted.repartition(tasks, "file_path").groupBy("file_path", *more).agg(asked)
+    by_file = dealt.repartition(tasks, "file_path", "_part").groupBy("file_path", "_part", *more).agg(asked)
     names = [*keys, *more, "value"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                known = {tuple(json.loads(a)) for a in row["asked"]}
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                known = {tuple(json.loads(a)) for a in row.pop("asked")}
                 rest, out, held = [row[c] for c in more], [], 0
                 system, inside, _ = opened(unquote(row["file_path"]))  # Spark tells URIs
                 with system.open_input_stream(inside) as stream:
