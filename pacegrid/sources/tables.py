@@ -51,6 +51,11 @@ QUARANTINE_SCHEMA = T.StructType(
 MARKS_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in ("athlete_id", "high_water")])
 
 
+#: Rows and bytes of text that one task sorts.
+TASK_ROWS = 250_000
+TASK_BYTES = 64_000_000
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet table with its declared schema; a table never written has no rows."""
     try:
@@ -134,7 +139,10 @@ class Tables:
         """Documents that never loaded: the last body and reason, and how many loads have failed on it."""
         key = ["athlete_id", "channel", "activity_id"]
         failed = self._of_batches(read_or_empty(self.spark, self.quarantine_path, T.StructType([*QUARANTINE_SCHEMA, BATCH])))
-        last = failed.groupBy(*key).agg(
+        # Texts in an aggregate are sorted, so each task gets a bounded part of them.
+        size = failed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes")).first()
+        dealt = failed.repartition(1 + size.n // TASK_ROWS + size.bytes // TASK_BYTES, *key)
+        last = dealt.groupBy(*key).agg(
             F.max(F.struct("origin", "value", "reason")).alias("_last"), F.count_distinct("origin").alias("attempts")
         )
         loaded = succeeded(self.ledger(), self.source).distinct()
