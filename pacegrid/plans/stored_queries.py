@@ -23,6 +23,7 @@ from pacegrid.plans.standins import (
     order_activities,
     order_documents,
     order_fillers,
+    start_of_order,
     table,
     vector_documents,
 )
@@ -255,10 +256,10 @@ def incremental_silver(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT CAST(o_custkey AS VARCHAR) AS athlete_id, max(strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')) AS high_water FROM orders GROUP BY ALL")
 def kept_marks(spark: SparkSession, sf: str) -> DataFrame:
     """Orders before 1995, then the others, loaded as activities; marks come from what each load keeps."""
-    tables, documents = _tables(spark), order_documents(spark, sf).withColumnRenamed("document", "value")
-    early = F.get_json_object("value", "$.start_date") < "1995"
+    tables, early = _tables(spark), start_of_order() < "1995"
     for n, part in enumerate((early, ~early)):
-        load_documents(documents.filter(part), tables, LOADED_AT + timedelta(hours=n))
+        documents = order_documents(spark, sf, part).withColumnRenamed("document", "value")
+        load_documents(documents, tables, LOADED_AT + timedelta(hours=n))
     return tables.marks()
 
 
