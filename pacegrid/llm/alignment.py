@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pacegrid.llm.stages import remove, staged, text_slices
+from pacegrid.llm.stages import remove, scan_parts, staged, text_slices
 from pacegrid.llm.token_ids import encoded, encoding
 
 FIRST_PROBE = 8
@@ -24,7 +24,7 @@ FIRST_PROBE = 8
 STRETCH = 100
 #: With fewer starts left the rest is aligned one by one.
 FEW = 24
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 LEARNED_AT_ONCE = 2_000
 LONG_WORD = 64
 #: Pairs that every worker holds by count, 12 bytes each; the rest are joined.
@@ -386,8 +386,8 @@ def align(
     """
     spark = docs.sparkSession
     narrow = docs.selectExpr(f"cast(`{id_column}` as long) AS doc_id", f"`{text_column}` AS text")
-    stored, _ = staged(aligned_rows(narrow, byte_file, piece_file), "aligned")
-    counts, _ = staged(pair_counts(stored), "pair-counts")
+    stored, _ = staged(aligned_rows(narrow.coalesce(scan_parts(narrow)), byte_file, piece_file), "aligned")
+    counts, _ = staged(pair_counts(stored), "pair-counts", spark.sparkContext.defaultParallelism)
     vocabulary = len(tokenizers(byte_file, piece_file).b_bytes)
     best = best_counts(counts, vocabulary)
     least, codes, n = common_pairs(counts, common)
