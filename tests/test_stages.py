@@ -1,9 +1,12 @@
 """What loads leave on disk, and how much one task of them holds."""
 
 import gzip
+import io
+import re
 from datetime import datetime, timezone
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from pacegrid.plans import bronze
 from pacegrid.plans.standins import order_documents, start_of_order
 from pacegrid.sinks import landing as sink
 from pacegrid.sources import files
+from pacegrid.sources import landing as sources_landing
 from pacegrid.sources import tables as sources
 from pacegrid.sources.tables import Tables
 
@@ -105,3 +109,37 @@ def test_orders_of_a_part_give_the_same_documents(spark, tmp_path):
     for whole, part in ((of_text, start_of_order() < "1995"), (~of_text, ~(start_of_order() < "1995"))):
         expected = rows(order_documents(spark, str(tmp_path)).filter(whole))
         assert len(expected) == 1 and rows(order_documents(spark, str(tmp_path), part)) == expected
+
+
+def test_lines_are_read_by_arrow_and_odd_ones_by_themselves():
+    known = files._marks([pa.array(["1", None, "é"]), pa.array(["2", "b", ""])])
+    plain = '{"a":"1","b":"2","d":"x \\"é\\"","z":[1]}\n\n{"a":null,"b":"b"}\n{"b":"","a":"é","d":null}\n{"a":"1","b":"3","d":"no"}\n'.encode()
+    odd = b'{"a":1,"b":"2","d":"a number is no key"}\n{"a":"1","b":"3","d":{}}\n{"a":"0","a":"1","b":"2","d":"twice"}\n'
+    expected = [("1", "2", 'x "é"'), (None, "b", None), ("é", "", None)]
+    for block, more in ((plain, []), (plain + odd, [("1", "2", "twice")])):
+        found = files._wanted(block, ["a", "b"], "d", known)
+        assert [tuple(row.values()) for row in found.to_pylist()] == expected + more
+    with pytest.raises(ValueError):
+        files._wanted(plain + b'{"a":"1","b', ["a", "b"], "d", known)
+
+
+def test_lines_are_cut_into_whole_blocks(monkeypatch):
+    monkeypatch.setattr(files, "BATCH_BYTES", 4)
+    assert list(files._blocks(io.BytesIO(b"a\nbb\n\nccccccccc\nd"))) == [b"a", b"bb\n", b"ccccccccc", b"d"]
+
+
+def test_of_two_landings_the_last_is_chosen_by_a_number_of_its_file(spark):
+    listed = spark.createDataFrame(
+        [("a", "t", "1", "L1", "f1"), ("a", "t", "1", "L2", "f0"), ("a", "t", "2", "L1", "f1"), ("a", "t", "2", "L1", "f2"), (None, "t", "3", None, "f3"), (None, "t", "3", "L1", "f1")],
+        "athlete_id string, channel string, activity_id string, landed string, file_path string",
+    )
+    last = sources_landing.last_landed(listed)
+    assert rows(last) == sorted([("a", "t", "1", "L2", "f0"), ("a", "t", "2", "L1", "f2"), (None, "t", "3", "L1", "f1")], key=repr)
+    assert "SortAggregate" not in last._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_a_batch_are_not_gathered_by_its_name(spark, tables):
+    bronze.load_documents(watts(spark, 3, "value"), tables, AT)
+    plan = tables.samples()._jdf.queryExecution().executedPlan().toString()
+    joins = re.findall(r"(\w+) \[batch#\d+\], \[batch#\d+\], LeftSemi", plan)
+    assert joins and set(joins) == {"BroadcastHashJoin"}
