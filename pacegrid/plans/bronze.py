@@ -25,8 +25,8 @@ from pacegrid.operators import reshape
 from pacegrid.operators.alignment import athlete_slice
 from pacegrid.operators.incremental import skip_processed
 from pacegrid.operators.quality import load_status, without_empty_batches
-from pacegrid.session import delete_folder, scratch_path, small_tasks, stored, write_stage
-from pacegrid.sinks.tables import append_bronze, append_ledger, append_marks, append_quarantine, new_batch
+from pacegrid.session import delete_folder, scratch_path, small_tasks, stored
+from pacegrid.sinks.tables import append_bronze, append_ledger, append_marks, append_objects, append_quarantine, delete_faulty, new_batch
 from pacegrid.sources import landing
 from pacegrid.sources.files import SCHEMES, scheme_of
 from pacegrid.sources.tables import SAMPLES_SCHEMA, Tables
@@ -214,7 +214,7 @@ def ledger_entries(staged: DataFrame, objects: dict[str, DataFrame], source: str
                 F.col("_activity").alias("activity_id"),
                 F.lit(channel).alias("channel"),
                 F.lit(1).cast("long").alias("record_count"),
-                object_reason().alias("reason"),
+                "reason",
             )
         )
     entries = load_status(reshape.union_batches(*parts))
@@ -226,8 +226,8 @@ def failed_bodies(staged: DataFrame, objects: dict[str, DataFrame]) -> DataFrame
     key = list(DOCUMENT_KEY)
     parts = [staged.filter(F.col("reason").isNotNull()).select(*key, F.col("document").alias("value"), "reason")]
     for channel, rows in objects.items():
-        broken = rows.filter(object_reason().isNotNull()).select(
-            F.col("_athlete").alias("athlete_id"), F.col("_activity").alias("activity_id"), object_reason().alias("_reason")
+        broken = rows.filter(F.col("reason").isNotNull()).select(
+            F.col("_athlete").alias("athlete_id"), F.col("_activity").alias("activity_id"), F.col("reason").alias("_reason")
         )
         if broken.isEmpty():
             continue
@@ -270,21 +270,25 @@ def load_documents(
     if skip_known:
         staged = skip_processed(staged, tables.ledger(), tables.source, few=True)
     append_bronze(sample_rows(staged, at, transforms), tables, "samples", batch)
-    # Stored: a filter on `_violations` would otherwise sink below the parse and repeat it for
-    # every column; the rows are also read twice, for bronze and for the ledger.
-    objects = {c: write_stage(object_rows(staged, c, at, transforms), f"{stage}/{c}") for c in DOCUMENT_CHANNELS}
-    for channel, rows in objects.items():
-        good = rows.filter(object_reason().isNull())
+    objects = {}
+    for channel in DOCUMENT_CHANNELS:
+        rows = object_rows(staged, channel, at, transforms)
         paths = {"_athlete": "path_athlete", "_activity": "path_activity"}
-        append_bronze(good.drop("_violations").withColumnsRenamed(paths), tables, channel, batch)
+        rows = rows.withColumn("_reason", object_reason()).drop("_violations").withColumnsRenamed(paths)
+        # One pass over the parsed documents: what else is asked of them is read from the narrow columns written.
+        good, faulty = append_objects(rows, tables, channel, batch)
         if channel == "activity":
             append_marks(good, tables, batch)
+        keys = [F.col(own).alias(name) for name, own in paths.items()]
+        objects[channel] = good.select(*keys, F.lit(None).cast("string").alias("reason")).unionByName(faulty.select(*keys, F.col("_reason").alias("reason")))
     entries = ledger_entries(staged, objects, tables.source)
     append_quarantine(failed_bodies(staged, objects), tables, batch)
     if not ledger_empty:
         entries = without_empty_batches(entries)
     entries = stored(entries, "entries")
     append_ledger(entries, tables, at, batch)
+    for channel in objects:
+        delete_faulty(tables, channel, batch)
     delete_folder(documents.sparkSession, stage)
     return entries
 

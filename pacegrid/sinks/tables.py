@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,7 @@ from pacegrid.functions.schemas import LEDGER_SCHEMA
 from pacegrid.model import DOCUMENT_CHANNELS
 from pacegrid.operators.incremental import high_water_mark
 from pacegrid.operators.keyed import upsert
-from pacegrid.session import delete_folder, scratch_path, small_tasks
+from pacegrid.session import delete_folder, scratch_path, small_tasks, together
 from pacegrid.sources.landing import batch_name
 from pacegrid.sources.tables import (
     BATCH,
@@ -40,11 +40,11 @@ def new_batch(at: datetime) -> str:
     return f"{batch_name(at)}-{uuid.uuid4().hex}"
 
 
-def _write_batch(rows: DataFrame, path: str, batch: str, *partitions: str) -> None:
+def _write_batch(rows: DataFrame, path: str, batch: str | Column, *partitions: str) -> None:
     # A batch that died and is written again under its name replaces what it had written.
     named = rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     with small_tasks(rows.sparkSession):
-        named.partitionBy(*partitions, "batch").parquet(path)
+        named.option("compression", "zstd").partitionBy(*partitions, "batch").parquet(path)
 
 
 def append_bronze(rows: DataFrame, tables: Tables, table: str, batch: str) -> None:
@@ -52,6 +52,29 @@ def append_bronze(rows: DataFrame, tables: Tables, table: str, batch: str) -> No
     _write_batch(rows, tables.bronze_path(table), batch, *(["channel"] if table == "samples" else []))
 
 
+def _faulty(batch: str) -> str:
+    # No ledger names it, so no reader sees its rows.
+    return f"{batch}-faulty"
+
+
+def append_objects(rows: DataFrame, tables: Tables, table: str, batch: str) -> tuple[DataFrame, DataFrame]:
+    """Append the rows without a `_reason` as a batch of a bronze table; those rows, and the others, as written.
+
+    The others are written beside them by the same pass, until `delete_faulty`.
+    """
+    name = F.when(F.col("_reason").isNull(), F.lit(batch)).otherwise(F.lit(_faulty(batch)))
+    path = tables.bronze_path(table)
+    with together(rows.sparkSession, 2):
+        _write_batch(rows, path, name)
+    written = read_or_empty(tables.spark, path, T.StructType([*rows.schema, BATCH]))
+    return written.filter(F.col("batch") == batch).drop("batch"), written.filter(F.col("batch") == _faulty(batch)).drop("batch")
+
+
+def delete_faulty(tables: Tables, table: str, batch: str) -> None:
+    for folder in _paths(tables.spark, f"{tables.bronze_path(table)}/batch={_faulty(batch)}"):
+        delete_folder(tables.spark, folder)
+
+
 def append_marks(activity: DataFrame, tables: Tables, batch: str) -> None:
     """Keep the latest start per athlete of a batch's activities, so that marks need no activity table."""
     _write_batch(high_water_mark(activity), tables.marks_path, batch)

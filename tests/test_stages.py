@@ -143,3 +143,14 @@ def test_rows_of_a_batch_are_not_gathered_by_its_name(spark, tables):
     plan = tables.samples()._jdf.queryExecution().executedPlan().toString()
     joins = re.findall(r"(\w+) \[batch#\d+\], \[batch#\d+\], LeftSemi", plan)
     assert joins and set(joins) == {"BroadcastHashJoin"}
+
+
+def test_objects_are_written_in_one_pass_and_faulty_ones_stay_unseen(spark, tables):
+    bodies = ['{"id":1,"athlete":{"id":7},"start_date":"2024-01-01"}', '{"id":2,"athlete":{"id":7},"distance":"far"}', "{bad"]
+    documents = spark.createDataFrame([("7", "activity", str(i), body) for i, body in enumerate(bodies)], "athlete_id string, channel string, activity_id string, value string")
+    assert not hasattr(bronze, "write_stage")
+    entries = bronze.load_documents(documents, tables, AT)
+    assert rows(entries, "activity_id", "status", "reason") == [("0", "SUCCESS", None), ("1", "FAILURE", "distance"), ("2", "FAILURE", "malformed_json")]
+    assert rows(tables.bronze("activity"), "activity_id") == [("1",)] and rows(tables.marks()) == [("7", "2024-01-01")]
+    assert rows(tables.quarantine(), "activity_id", "value") == [("1", bodies[1]), ("2", bodies[2])]
+    assert not list(Path(tables.bronze_path("activity")).glob("batch=*-faulty")) and len(list(Path(tables.bronze_path("activity")).glob("batch=*"))) == 1
